@@ -8,80 +8,151 @@ metadata check and costs no job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+STRING, INT, LONG = StringType(), IntegerType(), LongType()
+DOUBLE, DATE = DoubleType(), DateType()
+
+
+def columns(**types: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in types.items()])
+
 
 # One retail upload file. CustomerID is a double because exports of a nullable
 # integer column carry "17850.0"; InvoiceDate is text until the landing step.
-RETAIL_UPLOAD = StructType.fromDDL(
-    "InvoiceNo string, StockCode string, Description string, Quantity int, "
-    "InvoiceDate string, UnitPrice double, CustomerID double, Country string"
+RETAIL_UPLOAD = columns(
+    InvoiceNo=STRING,
+    StockCode=STRING,
+    Description=STRING,
+    Quantity=INT,
+    InvoiceDate=STRING,
+    UnitPrice=DOUBLE,
+    CustomerID=DOUBLE,
+    Country=STRING,
 )
 
-_DAILY_TEXT = (
-    "time string, temperature_2m_max string, temperature_2m_min string, "
-    "temperature_2m_mean string, precipitation_sum string, rain_sum string, "
-    "snowfall_sum string, windspeed_10m_max string, weathercode string"
-)
-_DAILY_ARRAYS = (
-    "time array<string>, temperature_2m_max array<double>, "
-    "temperature_2m_min array<double>, temperature_2m_mean array<double>, "
-    "precipitation_sum array<double>, rain_sum array<double>, "
-    "snowfall_sum array<double>, windspeed_10m_max array<double>, "
-    "weathercode array<bigint>"
-)
-_META = "city string, country string, lat double, lon double, extracted_at string, source string"
+# The series of a weather document: parallel arrays, one element per day.
+_SERIES = {
+    "time": STRING,
+    "temperature_2m_max": DOUBLE,
+    "temperature_2m_min": DOUBLE,
+    "temperature_2m_mean": DOUBLE,
+    "precipitation_sum": DOUBLE,
+    "rain_sum": DOUBLE,
+    "snowfall_sum": DOUBLE,
+    "windspeed_10m_max": DOUBLE,
+    "weathercode": LONG,
+}
 
 # A weather payload as it arrives: one JSON object, parallel arrays under `daily`.
-WEATHER_PAYLOAD = StructType.fromDDL(
-    "latitude double, longitude double, timezone string, "
-    f"daily_units struct<{_DAILY_TEXT}>, daily struct<{_DAILY_ARRAYS}>"
+WEATHER_PAYLOAD = columns(
+    latitude=DOUBLE,
+    longitude=DOUBLE,
+    timezone=STRING,
+    daily_units=columns(**dict.fromkeys(_SERIES, STRING)),
+    daily=columns(**{name: ArrayType(kind) for name, kind in _SERIES.items()}),
 )
 
 # The same document in the raw layer, with provenance and its partition column.
-WEATHER_DOCUMENT = StructType.fromDDL(
-    "latitude double, longitude double, timezone string, "
-    f"daily_units struct<{_DAILY_TEXT}>, daily struct<{_DAILY_ARRAYS}>, "
-    f"_meta struct<{_META}>, city string"
+WEATHER_DOCUMENT = StructType(
+    [
+        *WEATHER_PAYLOAD.fields,
+        StructField(
+            "_meta",
+            columns(
+                city=STRING,
+                country=STRING,
+                lat=DOUBLE,
+                lon=DOUBLE,
+                extracted_at=STRING,
+                source=STRING,
+            ),
+        ),
+        StructField("city", STRING),
+    ]
 )
 
 CONTRACTS: dict[str, StructType] = {
-    name: StructType.fromDDL(ddl)
-    for name, ddl in {
-        "bronze_sales": (
-            "InvoiceNo string, StockCode string, Description string, Quantity int, "
-            "UnitPrice double, CustomerID int, Country string, city string, date date"
-        ),
-        "bronze_weather": (
-            "city string, date string, temp_max double, temp_min double, precipitation double"
-        ),
-        "silver_sales_daily": "date date, city string, total_sales double",
-        "silver_product_grain": (
-            "date date, city string, StockCode string, Description string, "
-            "Quantity int, UnitPrice double, total_price double"
-        ),
-        "silver_weather": "date date, city string, avg_temp double, precipitation double",
-        "gold_sales_weather": (
-            "date date, city string, total_sales double, avg_temp double, "
-            "precipitation double, is_rainy int, temp_category string, "
-            "sales_category string, rolling_7d_sales double"
-        ),
-        "dim_date": (
-            "date date, year int, month int, day int, day_of_week int, "
-            "week_of_year int, date_id string"
-        ),
-        "dim_location": "city string, location_id bigint",
-        "dim_product": "stock_code string, product_description string, product_id bigint",
-        "fact_sales_weather": (
-            "date_id string, location_id bigint, total_sales double, avg_temp double, "
-            "precipitation double, is_rainy int, rolling_7d_sales double"
-        ),
-        "fact_sales_weather_product": (
-            "date_id string, location_id bigint, product_id bigint, stock_code string, "
-            "product_description string, Quantity int, UnitPrice double, "
-            "total_price double, avg_temp double, precipitation double, is_rainy int, "
-            "temp_category string"
-        ),
-    }.items()
+    "bronze_sales": columns(
+        InvoiceNo=STRING,
+        StockCode=STRING,
+        Description=STRING,
+        Quantity=INT,
+        UnitPrice=DOUBLE,
+        CustomerID=INT,
+        Country=STRING,
+        city=STRING,
+        date=DATE,
+    ),
+    "bronze_weather": columns(
+        city=STRING, date=STRING, temp_max=DOUBLE, temp_min=DOUBLE, precipitation=DOUBLE
+    ),
+    "silver_sales_daily": columns(date=DATE, city=STRING, total_sales=DOUBLE),
+    "silver_product_grain": columns(
+        date=DATE,
+        city=STRING,
+        StockCode=STRING,
+        Description=STRING,
+        Quantity=INT,
+        UnitPrice=DOUBLE,
+        total_price=DOUBLE,
+    ),
+    "silver_weather": columns(date=DATE, city=STRING, avg_temp=DOUBLE, precipitation=DOUBLE),
+    "gold_sales_weather": columns(
+        date=DATE,
+        city=STRING,
+        total_sales=DOUBLE,
+        avg_temp=DOUBLE,
+        precipitation=DOUBLE,
+        is_rainy=INT,
+        temp_category=STRING,
+        sales_category=STRING,
+        rolling_7d_sales=DOUBLE,
+    ),
+    "dim_date": columns(
+        date=DATE,
+        year=INT,
+        month=INT,
+        day=INT,
+        day_of_week=INT,
+        week_of_year=INT,
+        date_id=STRING,
+    ),
+    "dim_location": columns(city=STRING, location_id=LONG),
+    "dim_product": columns(stock_code=STRING, product_description=STRING, product_id=LONG),
+    "fact_sales_weather": columns(
+        date_id=STRING,
+        location_id=LONG,
+        total_sales=DOUBLE,
+        avg_temp=DOUBLE,
+        precipitation=DOUBLE,
+        is_rainy=INT,
+        rolling_7d_sales=DOUBLE,
+    ),
+    "fact_sales_weather_product": columns(
+        date_id=STRING,
+        location_id=LONG,
+        product_id=LONG,
+        stock_code=STRING,
+        product_description=STRING,
+        Quantity=INT,
+        UnitPrice=DOUBLE,
+        total_price=DOUBLE,
+        avg_temp=DOUBLE,
+        precipitation=DOUBLE,
+        is_rainy=INT,
+        temp_category=STRING,
+    ),
 }
 
 
