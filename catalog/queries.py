@@ -76,14 +76,10 @@ def add_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validate_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
     sales = fx.raw_sales(spark, sf_dir)
-    fx.write_csv(
-        fx.upload_text(sales).withColumn("batch", F.substring_index("InvoiceDate", " ", 1)).
-        withColumn("batch", F.substring_index("batch", "/", -1)),
-        path,
-        "UTF-8",
-        "batch",
-    )
-    fx.write_csv(fx.upload_text(sales).filter(F.lit(False)), f"{path}/batch=none")
+    text = fx.upload_text(sales)
+    year = F.regexp_extract("InvoiceDate", r"/(\d{4}) ", 1)
+    fx.write_csv(text.withColumn("batch", year), path, "UTF-8", "batch")
+    fx.write_csv(text.filter(F.lit(False)), f"{path}/batch=none")
     return (
         uploads.validate_uploads(spark, f"{path}/*")
         .groupBy(F.regexp_extract("path", "batch=([^/]+)", 1).alias("batch"))

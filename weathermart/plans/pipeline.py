@@ -118,12 +118,12 @@ def _silver_sales(spark: SparkSession, lake: Lake) -> dict[str, int]:
     lines = silver.product_grain(lake.read(spark, "bronze_sales"))
     counts = lake.write(lines, "silver_product_grain", "city")
     daily = silver.daily_sales(lake.read(spark, "silver_product_grain"))
-    return counts | lake.write(daily, "silver_sales_daily", "city", rebalance=True)
+    return counts | lake.write(daily, "silver_sales_daily", "city")
 
 
 def _silver_weather(spark: SparkSession, lake: Lake) -> dict[str, int]:
     days = silver.weather(lake.read(spark, "bronze_weather"))
-    return lake.write(days, "silver_weather", "city", rebalance=True)
+    return lake.write(days, "silver_weather", "city")
 
 
 def _gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -132,22 +132,22 @@ def _gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
         lake.read(spark, "silver_weather"),
         lake.options.rolling_frame,
     )
-    return lake.write(df, "gold_sales_weather", "city", rebalance=True)
+    return lake.write(df, "gold_sales_weather", "city")
 
 
 def _dim_date(spark: SparkSession, lake: Lake) -> dict[str, int]:
     df = dimensions.dim_date(lake.read(spark, "gold_sales_weather"))
-    return lake.write(df, "dim_date", rebalance=True)
+    return lake.write(df, "dim_date")
 
 
 def _dim_location(spark: SparkSession, lake: Lake) -> dict[str, int]:
     df = dimensions.dim_location(lake.read(spark, "gold_sales_weather"))
-    return lake.write(df, "dim_location", rebalance=True)
+    return lake.write(df, "dim_location")
 
 
 def _dim_product(spark: SparkSession, lake: Lake) -> dict[str, int]:
     df = dimensions.dim_product(lake.read(spark, "silver_product_grain"))
-    return lake.write(df, "dim_product", rebalance=True)
+    return lake.write(df, "dim_product")
 
 
 def _fact(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -156,7 +156,7 @@ def _fact(spark: SparkSession, lake: Lake) -> dict[str, int]:
         lake.read(spark, "dim_date"),
         lake.read(spark, "dim_location"),
     )
-    return lake.write(df, "fact_sales_weather", ["location_id"], rebalance=True)
+    return lake.write(df, "fact_sales_weather", ["location_id"])
 
 
 def _fact_product(spark: SparkSession, lake: Lake) -> dict[str, int]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weathermart.functions.measures import rain_flag, round_half_up
+from weathermart.functions.measures import round_half_up
 from weathermart.functions.temporal import weekday_name
 from weathermart.operators.gold import join_weather
 
@@ -118,7 +118,7 @@ def rainy_products_from_lines(
     descriptions: the join sees one row per product instead of every repeated
     line, and a hot code weighs no more than any other.
     """
-    rainy = weather.filter(rain_flag(F.col("precipitation")) == 1).select("date", "city")
+    rainy = weather.filter(F.col("precipitation") > 0).select("date", "city")
     sold = (
         join_weather(lines, rainy)
         .groupBy("StockCode", "Description")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Scratch roots of local sessions, by application id.
 _local_scratch: dict[str, str] = {}
 
 
@@ -28,8 +29,9 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.conf.get("spark.app.id", "local")
-        root = _local_scratch.setdefault(app, "") or tempfile.mkdtemp(prefix="weathermart-")
-        _local_scratch[app] = root
+        if app not in _local_scratch:
+            _local_scratch[app] = tempfile.mkdtemp(prefix="weathermart-")
+        root = _local_scratch[app]
     return f"{root.rstrip('/')}/weathermart/{uuid.uuid4().hex}"
 
 

@@ -46,18 +46,20 @@ def write(
 ) -> None:
     """Write a table, by one or several partition columns.
 
-    ``rebalance`` shuffles rows by the partition columns first, for tables with
-    many partition values whose tasks would each leave a file in every one of
-    them; adaptive execution splits a hot value over several tasks and merges
-    small ones. Leave it off where each task meets only a few values (line grain
-    by city): there the shuffle costs more than the files it saves.
-    ``observation`` collects the row count during the write, without a second job.
+    ``rebalance`` shuffles rows by the partition columns first, for scans whose
+    tasks would each leave a file in every one of many partition values; adaptive
+    execution splits a hot value over several tasks and merges small ones. Leave
+    it off where each task meets only a few values (line grain by city), since
+    the shuffle then costs more than the files it saves, and after a shuffle,
+    where adaptive execution already merges small partitions.
+    ``observation`` collects the row count during the write, without a second
+    job. It sits in the writing stage, so a repeated shuffle stage adds nothing.
     """
     columns = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols or ())
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     if rebalance:
         df = df.hint("rebalance", *columns)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     writer = df.write.format(format).mode(mode)
     if format == "delta":
         writer = writer.option("mergeSchema", True)

@@ -63,31 +63,36 @@ def scan_csv(
     schema: StructType = RETAIL_UPLOAD,
     null_markers: Sequence[str] = NULL_MARKERS,
     multiline: bool = False,
+    encoding: str | None = None,
 ) -> DataFrame:
     """Scan CSV files with a header, each as UTF-8 if it is valid UTF-8, else Latin-1.
 
     The encoding pass returns only the names of the odd files: never more than
-    the file list the driver already holds. A header that does not match
-    ``schema`` is an error instead of shifted columns. ``multiline`` allows
-    quoted line breaks but makes a file unsplittable, so it is off by default.
+    the file list the driver already holds. Name an ``encoding`` to spare that
+    pass when all files share one. A header that does not match ``schema`` is an
+    error instead of shifted columns. ``multiline`` allows quoted line breaks but
+    makes a file unsplittable, so it is off by default.
     """
-    latin = {row.path for row in non_utf8_files(spark, paths).toLocalIterator()}
-    groups = {
-        "UTF-8": [path for path in paths if path not in latin],
-        "ISO-8859-1": [path for path in paths if path in latin],
-    }
+    if encoding is None:
+        latin = {row.path for row in non_utf8_files(spark, paths).toLocalIterator()}
+        groups = {
+            "UTF-8": [path for path in paths if path not in latin],
+            "ISO-8859-1": [path for path in paths if path in latin],
+        }
+    else:
+        groups = {encoding: list(paths)}
     frames = [
         spark.read.schema(schema)
         .options(
             header=True,
             enforceSchema=False,
-            encoding=encoding,
+            encoding=charset,
             escape='"',
             multiLine=multiline,
         )
         .csv(members)
         .select("*", "_metadata")
-        for encoding, members in groups.items()
+        for charset, members in groups.items()
         if members
     ]
     df = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
@@ -104,7 +109,7 @@ def scan_parquet(
 
     The date column keeps its own type here, since uploads carry real timestamps.
     """
-    df = spark.read.parquet(*paths)
+    df = spark.read.option("mergeSchema", True).parquet(*paths)
     declared = {f.name: f.dataType for f in schema.fields}
     return df.select(
         *(
@@ -168,6 +173,7 @@ def read_uploads(
     file_name: str | None = None,
     schema: StructType = RETAIL_UPLOAD,
     multiline: bool = False,
+    encoding: str | None = None,
 ) -> DataFrame | None:
     """All uploads of a folder as one frame with parsed dates; ``None`` if there are none.
 
@@ -183,7 +189,11 @@ def read_uploads(
 
     frames = []
     if "csv" in by_suffix:
-        frames.append(scan_csv(spark, by_suffix["csv"], schema, multiline=multiline))
+        frames.append(
+            scan_csv(
+                spark, by_suffix["csv"], schema, multiline=multiline, encoding=encoding
+            )
+        )
     if "parquet" in by_suffix:
         frames.append(scan_parquet(spark, by_suffix["parquet"], schema))
     if not frames:
@@ -234,6 +244,7 @@ def land_uploads(
     ingested_at: str | None = None,
     schema: StructType = RETAIL_UPLOAD,
     multiline: bool = False,
+    encoding: str | None = None,
 ) -> str | None:
     """Append uploads to the raw layer by year and month; returns the table path.
 
@@ -242,7 +253,7 @@ def land_uploads(
     """
     if format not in ("parquet", "csv"):
         raise ValueError(f"Unsupported output format: {format}")
-    uploads = read_uploads(spark, directory, file_name, schema, multiline)
+    uploads = read_uploads(spark, directory, file_name, schema, multiline, encoding)
     if uploads is None:
         return None
     landed = add_provenance(uploads, entity, ingested_at).drop("_metadata")
