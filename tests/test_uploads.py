@@ -71,6 +71,47 @@ def test_quoted_line_breaks_need_the_multiline_option(spark, tmp_path):
     assert scan(spark, tmp_path, multiline=True).first().Description == "two\nlines"
 
 
+def test_quoted_line_breaks_are_an_error_without_the_option(spark, tmp_path):
+    put(tmp_path, "a.csv", '1,A,"two\nlines",1,12/1/2010 8:26,2.5,1,UK')
+    with pytest.raises(Exception, match="multiline=True"):
+        scan(spark, tmp_path).collect()
+
+
+def test_line_break_in_the_last_cell_is_an_error_without_the_option(spark, tmp_path):
+    put(tmp_path, "a.csv", '1,A,x,1,12/1/2010 8:26,2.5,1,"U\nK"', "2,A,x,1,12/1/2010 8:26,2.5,1,UK")
+    with pytest.raises(Exception, match="multiline=True"):
+        scan(spark, tmp_path).select("InvoiceNo").collect()
+
+
+def test_rows_of_the_wrong_width(spark, tmp_path):
+    put(tmp_path, "short.csv", "1,A,x,1")
+    assert rows(scan(spark, tmp_path).select("InvoiceNo", "Quantity", "Country")) == [("1", 1, None)]
+    put(tmp_path, "long.csv", '1,A,"x,y",1,12/1/2010 8:26,2.5,1,UK,more')
+    with pytest.raises(Exception, match="too many cells"):
+        scan(spark, tmp_path).collect()
+
+
+def test_numbers_as_exports_write_them(spark, tmp_path):
+    put(
+        tmp_path,
+        "a.csv",
+        "1,A,x,6.0,12/1/2010 8:26,2,17850,UK",
+        "2,A,x,NA,12/1/2010 8:26,1e2, 5 ,UK",
+        "3,A,x,-3,12/1/2010 8:26,nan,,UK",
+    )
+    found = scan(spark, tmp_path).select("InvoiceNo", "Quantity", "UnitPrice", "CustomerID")
+    assert rows(found) == [
+        ("1", 6, 2.0, 17850.0), ("2", None, 100.0, 5.0), ("3", -3, None, None),
+    ]
+
+
+@pytest.mark.parametrize("quantity, message", [("6.5", "not a whole number"), ("six", "six")])
+def test_unreadable_numbers_are_an_error(spark, tmp_path, quantity, message):
+    put(tmp_path, "a.csv", f"1,A,x,{quantity},12/1/2010 8:26,2,17850,UK")
+    with pytest.raises(Exception, match=message):
+        scan(spark, tmp_path).collect()
+
+
 def test_a_foreign_header_is_an_error(spark, tmp_path):
     put(tmp_path, "a.csv", "1,A,x,1,12/1/2010 8:26,2.5,1,UK", header=HEADER.replace("StockCode", "Sku"))
     with pytest.raises(Exception, match="(?i)header"):

@@ -7,6 +7,7 @@ sizes. Overwriting stages can be repeated; the two landing stages append.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -19,6 +20,8 @@ from weathermart.schemas import check_contract
 from weathermart.sources import tables, uploads, weather
 from weathermart.sources.paths import layer_path, materialize
 
+logger = logging.getLogger(__name__)
+
 # Where each table lives below the lake root: layer, entity, source.
 LOCATIONS = {
     "raw_sales": ("raw", "retail_sales", "uci_online_retail"),
@@ -80,21 +83,35 @@ class Lake:
 
 
 def _land_weather(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    seen = Observation("raw_weather")
     weather.land_payloads(
-        spark, lake.landing, lake.root, cities=lake.cities, extracted_at=lake.ingested_at
+        spark,
+        lake.landing,
+        lake.root,
+        cities=lake.cities,
+        extracted_at=lake.ingested_at,
+        observation=seen,
     )
-    return {}
+    counts = seen.get
+    if counts["rejected"]:
+        logger.warning("%d weather payloads failed validation", counts["rejected"])
+    return {"raw_weather": counts["documents"]}
 
 
 def _land_retail(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    uploads.land_uploads(
+    seen = Observation("raw_sales")
+    landed = uploads.land_uploads(
         spark,
         lake.uploads,
         lake.root,
         file_name=lake.upload_file,
         ingested_at=lake.ingested_at,
+        observation=seen,
     )
-    return {}
+    if landed is None:
+        logger.warning("no uploads in %s", lake.uploads)
+        return {"raw_sales": 0}
+    return {"raw_sales": seen.get["rows"]}
 
 
 def _bronze_sales(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -199,5 +216,7 @@ def run(
     counts: dict[str, int] = {}
     for name, stage in STAGES.items():
         if name in wanted:
-            counts |= stage(spark, lake)
+            written = stage(spark, lake)
+            logger.info("stage %s wrote %s", name, written)
+            counts |= written
     return counts

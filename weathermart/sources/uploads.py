@@ -6,9 +6,19 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from weathermart.functions.temporal import UPLOAD_DATE_FORMATS, parse_timestamp
 from weathermart.schemas import RETAIL_UPLOAD
@@ -26,6 +36,8 @@ NULL_MARKERS = (
 
 SOURCE_FILE, ENTITY, INGESTED_AT = "_source_file", "_entity", "_ingested_at"
 
+_MALFORMED = "__malformed"
+
 
 def list_uploads(spark: SparkSession, directory: str, file_name: str | None = None) -> DataFrame:
     """``path`` of one named file, or of every ``*.csv`` and ``*.parquet`` in a folder.
@@ -57,6 +69,47 @@ def non_utf8_files(spark: SparkSession, csv_paths: Sequence[str]) -> DataFrame:
     )
 
 
+def _typed(text: Column, kind: DataType, name: str) -> Column:
+    """A cell's text as its declared type; unreadable numbers fail under ANSI mode.
+
+    Whole numbers may be written with a decimal point, as exports of nullable
+    integer columns do; a real fraction is an error rather than cut off.
+    """
+    if isinstance(kind, StringType):
+        return text.alias(name)
+    if not isinstance(kind, (IntegerType, LongType)):
+        return text.cast(kind).alias(name)
+    number = text.cast("double")
+    fraction = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), text))
+    return F.when(number != F.floor(number), fraction).otherwise(number).cast(kind).alias(name)
+
+
+def _well_formed(names: Sequence[str]) -> Column:
+    """True for complete rows; raises for rows cut by a quoted line break or too long.
+
+    Spark keeps the text of a row whose cell count is off in the corrupt-record
+    column. Rows that are merely short stay, padded with nulls. The message quotes
+    every cell, which also keeps the scan from pruning columns: Spark counts the
+    cells of a row only against the columns it reads.
+    """
+    line = F.col(_MALFORMED)
+    cells = F.concat_ws(",", *names)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
+    outside = F.regexp_replace(line, r'"[^"]*"', "")
+    commas = F.length(outside) - F.length(F.replace(outside, F.lit(",")))
+    return (
+        F.when(
+            quotes % 2 == 1,
+            F.raise_error(F.concat(F.lit("quoted line break, read with multiline=True: "), cells)),
+        )
+        .when(
+            commas >= len(names), F.raise_error(F.concat(F.lit("too many cells, from: "), cells))
+        )
+        .otherwise(True)
+        .cast("boolean")
+    )
+
+
 def scan_csv(
     spark: SparkSession,
     paths: Sequence[str],
@@ -71,35 +124,42 @@ def scan_csv(
     the file list the driver already holds. Name an ``encoding`` to spare that
     pass when all files share one. A header that does not match ``schema`` is an
     error instead of shifted columns. ``multiline`` allows quoted line breaks but
-    makes a file unsplittable, so it is off by default.
+    makes a file unsplittable, so it is off by default; without it such a file
+    is an error, too.
     """
     if encoding is None:
-        latin = {row.path for row in non_utf8_files(spark, paths).toLocalIterator()}
+        latin = {row.path for row in non_utf8_files(spark, paths).collect()}
         groups = {
             "UTF-8": [path for path in paths if path not in latin],
             "ISO-8859-1": [path for path in paths if path in latin],
         }
     else:
         groups = {encoding: list(paths)}
+    # Cells are read as text, so that a null marker in a number is not an error.
+    text = StructType([StructField(name, StringType()) for name in [*schema.names, _MALFORMED]])
     frames = [
-        spark.read.schema(schema)
+        spark.read.schema(text)
         .options(
             header=True,
             enforceSchema=False,
             encoding=charset,
             escape='"',
             multiLine=multiline,
+            columnNameOfCorruptRecord=_MALFORMED,
         )
         .csv(members)
-        .select("*", "_metadata")
+        .filter(_well_formed(schema.names))
+        .select(
+            *(
+                _typed(F.when(~F.col(f.name).isin(*null_markers), F.col(f.name)), f.dataType, f.name)
+                for f in schema.fields
+            ),
+            "_metadata",
+        )
         for charset, members in groups.items()
         if members
     ]
-    df = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-    text = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
-    return df.withColumns(
-        {c: F.when(~F.col(c).isin(*null_markers), F.col(c)) for c in text}
-    )
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
 def scan_parquet(
@@ -167,6 +227,14 @@ def with_year_month(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.withColumns(parts), list(parts)
 
 
+def _paths_by_suffix(listed: DataFrame) -> dict[str, list[str]]:
+    """Upload paths by lower-case suffix: file names only, as the reader needs them."""
+    found: dict[str, list[str]] = {}
+    for row in listed.collect():
+        found.setdefault(row.path.rsplit(".", 1)[-1].lower(), []).append(row.path)
+    return found
+
+
 def read_uploads(
     spark: SparkSession,
     directory: str,
@@ -179,10 +247,7 @@ def read_uploads(
 
     Keeps the hidden ``_metadata`` struct as a column, for ``add_provenance``.
     """
-    paths = [row.path for row in list_uploads(spark, directory, file_name).toLocalIterator()]
-    by_suffix: dict[str, list[str]] = {}
-    for path in paths:
-        by_suffix.setdefault(path.rsplit(".", 1)[-1].lower(), []).append(path)
+    by_suffix = _paths_by_suffix(list_uploads(spark, directory, file_name))
     unknown = sorted(by_suffix.keys() - {"csv", "parquet"})
     if unknown:
         raise ValueError(f"Unsupported file type: {', '.join(unknown)}")
@@ -209,15 +274,12 @@ def validate_uploads(
 ) -> DataFrame:
     """``path, rows, accepted`` for every listed upload; files without rows are rejected."""
     listed = list_uploads(spark, directory)
-    found = {
-        suffix: listed.filter(F.lower("path").endswith(suffix)) for suffix in (".csv", ".parquet")
-    }
-    paths = {s: [row.path for row in df.toLocalIterator()] for s, df in found.items()}
+    paths = _paths_by_suffix(listed)
     scans = []
-    if paths[".csv"]:
-        scans.append(spark.read.schema(schema).option("header", True).csv(paths[".csv"]))
-    if paths[".parquet"]:
-        scans.append(spark.read.parquet(*paths[".parquet"]))
+    if "csv" in paths:
+        scans.append(spark.read.schema(schema).option("header", True).csv(paths["csv"]))
+    if "parquet" in paths:
+        scans.append(spark.read.parquet(*paths["parquet"]))
     report = listed.withColumn("rows", F.lit(0).cast("bigint"))
     for scan in scans:
         report = report.unionByName(
@@ -245,11 +307,12 @@ def land_uploads(
     schema: StructType = RETAIL_UPLOAD,
     multiline: bool = False,
     encoding: str | None = None,
+    observation: Observation | None = None,
 ) -> str | None:
     """Append uploads to the raw layer by year and month; returns the table path.
 
     Appending twice keeps both batches, told apart by ``_ingested_at``. Returns
-    ``None`` if the folder holds no uploads.
+    ``None`` if the folder holds no uploads. ``observation`` collects ``rows``.
     """
     if format not in ("parquet", "csv"):
         raise ValueError(f"Unsupported output format: {format}")
@@ -259,5 +322,13 @@ def land_uploads(
     landed = add_provenance(uploads, entity, ingested_at).drop("_metadata")
     landed, partition_cols = with_year_month(landed)
     path = layer_path(lake_root, "raw", entity, source)
-    write(landed, path, format, partition_cols, mode="append", rebalance=True)
+    write(
+        landed,
+        path,
+        format,
+        partition_cols,
+        mode="append",
+        rebalance=bool(partition_cols),
+        observation=observation,
+    )
     return path

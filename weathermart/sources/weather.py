@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -48,13 +48,21 @@ def with_rejection(payloads: DataFrame) -> DataFrame:
     )
 
 
-def valid_payloads(payloads: DataFrame) -> DataFrame:
-    """The documents that pass every check: their fields and ``city``."""
+def valid_payloads(payloads: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """The documents that pass every check: their fields and ``city``.
+
+    ``observation`` counts ``documents`` and ``rejected`` while they are used.
+    """
     fields = [f.name for f in payloads.schema["doc"].dataType.fields if f.name != _CORRUPT]
-    return (
-        with_rejection(payloads)
-        .filter(F.col("reason").isNull())
-        .select("city", *(F.col(f"doc.{name}") for name in fields))
+    checked = with_rejection(payloads)
+    if observation is not None:
+        checked = checked.observe(
+            observation,
+            F.count_if(F.col("reason").isNull()).alias("documents"),
+            F.count("reason").alias("rejected"),
+        )
+    return checked.filter(F.col("reason").isNull()).select(
+        "city", *(F.col(f"doc.{name}") for name in fields)
     )
 
 
@@ -114,9 +122,14 @@ def land_payloads(
     source: str = "open_meteo",
     cities: Sequence[City] = CITIES,
     extracted_at: str | None = None,
+    observation: Observation | None = None,
 ) -> str:
-    """Validate, enrich and append landed payloads to the raw layer; returns its path."""
-    documents = valid_payloads(read_payloads(spark, landing))
+    """Validate, enrich and append landed payloads to the raw layer; returns its path.
+
+    Rejected payloads are skipped and counted in ``observation``; read them with
+    ``rejected_payloads``.
+    """
+    documents = valid_payloads(read_payloads(spark, landing), observation)
     path = layer_path(lake_root, "raw", "weather", source)
     write_documents(enrich_payloads(documents, cities, extracted_at), path)
     return path
