@@ -1,8 +1,11 @@
 import dataclasses
 import json
+import shutil
+from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from weathermart.plans import pipeline, reports
@@ -21,9 +24,8 @@ LINES = [
 ]
 
 
-@pytest.fixture
-def lake(tmp_path):
-    uploads, landing = tmp_path / "uploads", tmp_path / "landing"
+def prepare(folder) -> pipeline.Lake:
+    uploads, landing = folder / "uploads", folder / "landing"
     uploads.mkdir()
     (uploads / "sales.csv").write_text(HEADER + "".join(line + "\n" for line in LINES))
     for city in ("London", "Manchester"):
@@ -36,13 +38,33 @@ def lake(tmp_path):
         }
         (landing / f"city={city}" / "d.json").write_text(json.dumps({"daily": daily}))
     return pipeline.Lake(
-        root=str(tmp_path / "lake"),
+        root=str(folder / "lake"),
         uploads=str(uploads),
         landing=str(landing),
         ingested_at="2025-01-01",
     )
 
 
+@pytest.fixture
+def lake(tmp_path):
+    """Inputs only; nothing has run."""
+    return prepare(tmp_path)
+
+
+@pytest.fixture(scope="module")
+def full(spark, tmp_path_factory):
+    """A lake after one full run, and the counts it returned; tests only read it."""
+    done = prepare(tmp_path_factory.mktemp("full"))
+    return done, pipeline.run(spark, done)
+
+
+@pytest.fixture
+def copy(full, tmp_path):
+    """A private copy of the written lake."""
+    shutil.copytree(full[0].root, tmp_path / "lake")
+    return dataclasses.replace(full[0], root=str(tmp_path / "lake"))
+
+
 FULL = {
     "raw_weather": 2,
     "raw_sales": 6,
@@ -60,13 +82,11 @@ FULL = {
 }
 
 
-def test_full_run_writes_every_table_with_its_contract(spark, lake):
-    assert pipeline.run(spark, lake) == FULL
-    for table, count in FULL.items():
-        if table.startswith("raw"):
-            continue
+def test_full_run_writes_every_table_with_its_contract(spark, full):
+    lake, counts = full
+    assert counts == FULL
+    for table in CONTRACTS:
         found = lake.read(spark, table)
-        assert found.count() == count
         kinds = {f.name: f.dataType.simpleString() for f in found.schema.fields}
         expected = {f.name: f.dataType.simpleString() for f in CONTRACTS[table].fields}
         if "location_id" in kinds and table.startswith("fact"):
@@ -74,7 +94,8 @@ def test_full_run_writes_every_table_with_its_contract(spark, lake):
             expected["location_id"] = kinds["location_id"]
         assert kinds == expected, table
     gold = lake.read(spark, "gold_sales_weather")
-    assert [tuple(r) for r in reports.city(gold).collect()] == [("London", 1255.0), ("Manchester", 100.0)]
+    cities = [tuple(r) for r in reports.city(gold).collect()]
+    assert cities == [("London", 1255.0), ("Manchester", 100.0)]
     fact = lake.read(spark, "fact_sales_weather_product")
     assert [tuple(r) for r in reports.rainy_products(fact).collect()] == [
         ("apple", 1200.0, 6),
@@ -82,11 +103,9 @@ def test_full_run_writes_every_table_with_its_contract(spark, lake):
     ]
 
 
-def test_layout_on_disk(spark, lake, tmp_path):
-    pipeline.run(spark, lake)
-    found = {
-        str(p.parent.relative_to(lake.root)) for p in (tmp_path / "lake").glob("**/part-*.parquet")
-    }
+def test_layout_on_disk(full):
+    root = Path(full[0].root)
+    found = {str(p.parent.relative_to(root)) for p in root.glob("**/part-*.parquet")}
     assert {
         "raw/retail_sales/uci_online_retail/year=2010/month=01",
         "bronze/sales/online_retail/city=London",
@@ -103,25 +122,44 @@ def test_layout_on_disk(spark, lake, tmp_path):
     } <= found
 
 
-def test_stages_run_alone_in_order_and_can_be_repeated(spark, lake):
-    pipeline.run(spark, lake)
-    again = pipeline.run(spark, lake, ["gold", "sales_silver"])
+def test_stages_run_alone_in_order_and_can_be_repeated(spark, copy):
+    again = pipeline.run(spark, copy, ["gold", "sales_silver"])
     assert list(again) == ["silver_product_grain", "silver_sales_daily", "gold_sales_weather"]
-    assert lake.read(spark, "gold_sales_weather").count() == 3
+    assert copy.read(spark, "gold_sales_weather").count() == 3
     with pytest.raises(ValueError, match="unknown stages: platinum"):
-        pipeline.run(spark, lake, ["platinum"])
+        pipeline.run(spark, copy, ["platinum"])
 
 
-def test_second_ingestion_doubles_unless_latest_only(spark, lake):
-    pipeline.run(spark, lake)
-    later = dataclasses.replace(lake, ingested_at="2025-02-01")
-    pipeline.run(spark, later, ["weather", "retail_sales"])
-    doubled = pipeline.run(spark, later, set(pipeline.STAGES) - {"weather", "retail_sales"})
+def test_second_ingestion_doubles_unless_latest_only(spark, copy):
+    later = dataclasses.replace(copy, ingested_at="2025-02-01")
+    stages = ["sales_bronze", "weather_bronze", "sales_silver", "weather_silver", "gold"]
+    doubled = pipeline.run(spark, later, ["weather", "retail_sales", *stages])
     assert (doubled["bronze_sales"], doubled["bronze_weather"]) == (10, 8)
     assert doubled["gold_sales_weather"] == 6
     latest = dataclasses.replace(later, latest_only=True)
-    once = pipeline.run(spark, latest, set(pipeline.STAGES) - {"weather", "retail_sales"})
-    assert once == {name: n for name, n in FULL.items() if not name.startswith("raw")}
+    once = pipeline.run(spark, latest, stages)
+    assert once == {name: FULL[name] for name in once}
+
+
+def test_options_reach_the_stages(spark, copy):
+    matched = Options(product_match="code_and_description")
+    counts = pipeline.run(spark, dataclasses.replace(copy, options=matched), ["fact_product"])
+    assert counts["fact_sales_weather_product"] == 4
+    unshifted = dataclasses.replace(copy, options=Options(shift_months=0))
+    pipeline.run(spark, unshifted, ["sales_bronze"])
+    years = copy.read(spark, "bronze_sales").select(F.year("date")).distinct()
+    assert rows(years) == [(2010,)]
+
+
+@pytest.mark.parametrize("store", [None, paths.materialize])
+def test_the_lazy_mart_equals_the_written_pipeline(spark, full, store):
+    lake, _ = full
+    raw = spark.read.parquet(lake.path("raw_sales"))
+    days = lake.read(spark, "bronze_weather")
+    mart = Mart(raw, days, store=store) if store else Mart(raw, days)
+    for name in ("gold_sales_weather", "fact_sales_weather", "fact_sales_weather_product"):
+        df = mart.tables()[name]
+        assert rows(df) == rows(lake.read(spark, name).select(*df.columns)), name
 
 
 def test_rejected_payloads_are_counted_and_missing_uploads_reported(spark, lake, tmp_path, caplog):
@@ -179,17 +217,17 @@ def test_one_json_document_per_file(spark, tmp_path):
 def test_columns_added_later_read_as_null(spark, tmp_path):
     path = str(tmp_path)
     tables.write(spark.range(1).select(F.lit(1).alias("a")), path, mode="append")
-    tables.write(spark.range(1).select(F.lit(2).alias("a"), F.lit("n").alias("b")), path, mode="append")
+    later = spark.range(1).select(F.lit(2).alias("a"), F.lit("n").alias("b"))
+    tables.write(later, path, mode="append")
     assert rows(tables.read(spark, path, merge_schema=True)) == [(1, None), (2, "n")]
 
 
 def test_row_counts_come_with_the_write(spark, tmp_path):
-    from pyspark.sql import Observation
-
     for rebalance in (False, True):
         seen = Observation()
         df = spark.range(1000).withColumn("p", F.col("id") % 3)
-        tables.write(df, f"{tmp_path}/{rebalance}", "parquet", "p", rebalance=rebalance, observation=seen)
+        path = f"{tmp_path}/{rebalance}"
+        tables.write(df, path, partition_cols="p", rebalance=rebalance, observation=seen)
         assert seen.get["rows"] == 1000
 
 
