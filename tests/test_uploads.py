@@ -29,8 +29,11 @@ def test_each_file_is_decoded_by_its_own_encoding(spark, tmp_path):
     put(tmp_path, "ascii.csv", "3,C,Tea,1,12/1/2010 8:26,2.5,17850.0,France")
     found = scan(spark, tmp_path).select("InvoiceNo", "Description")
     assert rows(found) == [("1", "Café"), ("2", "Crème"), ("3", "Tea")]
-    odd = uploads.non_utf8_files(spark, [str(p) for p in tmp_path.glob("*.csv")])
-    assert [os.path.basename(row.path) for row in odd.collect()] == ["latin.csv"]
+    seen = uploads.inspect_csv(spark, [str(p) for p in tmp_path.glob("*.csv")]).collect()
+    assert {os.path.basename(row.path): row.utf8 for row in seen} == {
+        "utf8.csv": True, "latin.csv": False, "ascii.csv": True,
+    }
+    assert len({row.layout for row in seen}) == 1
 
 
 def test_one_bad_byte_late_in_a_file_decides_for_the_whole_file(spark, tmp_path):
@@ -112,16 +115,53 @@ def test_unreadable_numbers_are_an_error(spark, tmp_path, quantity, message):
         scan(spark, tmp_path).collect()
 
 
-def test_a_foreign_header_is_an_error(spark, tmp_path):
-    put(tmp_path, "a.csv", "1,A,x,1,12/1/2010 8:26,2.5,1,UK", header=HEADER.replace("StockCode", "Sku"))
+def test_columns_are_found_by_name_in_every_file(spark, tmp_path):
+    put(tmp_path, "a.csv", "1,A,x,1,12/1/2010 8:26,2.5,1,UK")
+    put(
+        tmp_path,
+        "b.csv",
+        "FR,2,2.5,6,B,yes,12/1/2010 8:26,y",
+        "FR,3,2.5,6,B,no,12/1/2010 8:26,z",
+        header="country,CustomerID,UnitPrice,Quantity,StockCode,Gift.Wrap,InvoiceDate,Description\n",
+    )
+    found = scan(spark, tmp_path)
+    assert found.filter("InvoiceDate = '2010-12-01 08:26:00'").count() == 3
+    columns = ("StockCode", "Quantity", "CustomerID", "Country", "`Gift.Wrap`")
+    assert rows(found.select("InvoiceNo", *columns)) == [
+        (None, "B", 6, 2.0, "FR", "yes"),
+        (None, "B", 6, 3.0, "FR", "no"),
+        ("1", "A", 1, 1.0, "UK", None),
+    ]
+
+
+def test_header_is_the_first_line_whatever_the_split_size(spark, tmp_path, conf):
+    conf(spark__sql__files__maxPartitionBytes="20000")
+    for name, first in (("a.csv", "Alpha"), ("b.csv", "Beta")):
+        lines = [f"{i:05},A,x,1,12/1/2010 8:26,2.5,1,UK" for i in range(3000)]
+        put(tmp_path, name, *lines, header=HEADER.replace("StockCode", first))
+    found = scan(spark, tmp_path)
+    assert {"Alpha", "Beta"} < set(found.columns)
+    assert found.filter("Alpha = 'A'").count() == found.filter("Beta = 'A'").count() == 3000
+
+
+def test_a_named_encoding_expects_the_declared_header(spark, tmp_path):
+    header = HEADER.replace("StockCode", "Sku")
+    put(tmp_path, "a.csv", "1,A,x,1,12/1/2010 8:26,2.5,1,UK", header=header)
     with pytest.raises(Exception, match="(?i)header"):
-        scan(spark, tmp_path).collect()
+        scan(spark, tmp_path, encoding="UTF-8").collect()
+
+
+def test_files_without_a_line_add_nothing(spark, tmp_path):
+    put(tmp_path, "blank.csv", header="\n\n")
+    assert uploads.read_uploads(spark, str(tmp_path)) is None
+    put(tmp_path, "a.csv", "1,A,x,1,12/1/2010 8:26,2.5,1,UK", header="\n" + HEADER)
+    assert rows(scan(spark, tmp_path).select("InvoiceNo")) == [("1",)]
 
 
 def test_header_case_is_ignored(spark, tmp_path):
     header = HEADER.replace("Country", "country")
     put(tmp_path, "a.csv", "1,A,x,1,12/1/2010 8:26,2.5,1,UK", header=header)
-    assert scan(spark, tmp_path).first().Country == "UK"
+    assert scan(spark, tmp_path).first().country == "UK"
 
 
 def test_pruned_columns_still_match_the_header(spark, tmp_path):

@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.types import StructType
 
 from weathermart.functions.cities import CITIES, City
 from weathermart.operators import bronze, dedupe, dimensions, facts, gold, silver
 from weathermart.plans.mart import Options
-from weathermart.schemas import check_contract
+from weathermart.schemas import RETAIL_UPLOAD, check_contract
 from weathermart.sources import tables, uploads, weather
 from weathermart.sources.paths import layer_path, materialize
 
@@ -47,6 +48,9 @@ class Lake:
     uploads: str
     landing: str
     upload_file: str | None = None
+    upload_schema: StructType = RETAIL_UPLOAD
+    upload_multiline: bool = False
+    upload_encoding: str | None = None
     format: str = "parquet"
     options: Options = Options()
     cities: Sequence[City] = field(default=CITIES)
@@ -106,6 +110,9 @@ def _land_retail(spark: SparkSession, lake: Lake) -> dict[str, int]:
         lake.root,
         file_name=lake.upload_file,
         ingested_at=lake.ingested_at,
+        schema=lake.upload_schema,
+        multiline=lake.upload_multiline,
+        encoding=lake.upload_encoding,
         observation=seen,
     )
     if landed is None:

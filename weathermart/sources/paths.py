@@ -22,17 +22,19 @@ def layer_path(root: str, layer: str, entity: str, source: str, **partition: obj
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only by a local-mode session that names none.
+    Paths carry the application id, so a finished application's tables can be
+    removed together. A machine-local folder is used only by a local-mode session
+    that names none.
     """
+    app = spark.conf.get("spark.app.id", "unnamed")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.conf.get("spark.app.id", "local")
         if app not in _local_scratch:
             _local_scratch[app] = tempfile.mkdtemp(prefix="weathermart-")
         root = _local_scratch[app]
-    return f"{root.rstrip('/')}/weathermart/{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/weathermart/{app}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

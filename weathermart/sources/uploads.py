@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -58,14 +59,29 @@ def list_uploads(spark: SparkSession, directory: str, file_name: str | None = No
         raise
 
 
-def non_utf8_files(spark: SparkSession, csv_paths: Sequence[str]) -> DataFrame:
-    """``path`` of every CSV file with at least one byte sequence that is not UTF-8."""
+def inspect_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, utf8, layout`` per CSV file, in one pass over the text.
+
+    ``utf8`` tells whether every byte sequence is valid UTF-8; ``layout`` is a hash
+    of the header, the first line that is not empty. Both are fixed-size
+    aggregates, so each task keeps one small entry per file it reads.
+    """
+    at_start = F.col("_metadata.file_block_start") == 0
     return (
-        spark.read.text(list(csv_paths))
-        .groupBy(F.col("_metadata.file_path").alias("uri"))
-        .agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-        .filter(~F.col("utf8"))
-        .select(plain_path(F.col("uri")).alias("path"))
+        spark.read.text(list(paths))
+        .filter(F.col("value") != "")
+        .select(
+            F.col("_metadata.file_path").alias("uri"),
+            F.is_valid_utf8("value").alias("valid"),
+            F.xxhash64("value").alias("line"),
+            F.when(at_start, F.monotonically_increasing_id()).alias("position"),
+        )
+        .groupBy("uri")
+        .agg(
+            F.bool_and("valid").alias("utf8"),
+            F.min_by("line", "position").alias("layout"),
+        )
+        .select(plain_path(F.col("uri")).alias("path"), "utf8", "layout")
     )
 
 
@@ -84,7 +100,7 @@ def _typed(text: Column, kind: DataType, name: str) -> Column:
     return F.when(number != F.floor(number), fraction).otherwise(number).cast(kind).alias(name)
 
 
-def _well_formed(names: Sequence[str]) -> Column:
+def _well_formed(columns: Sequence[Column]) -> Column:
     """True for complete rows; raises for rows cut by a quoted line break or too long.
 
     Spark keeps the text of a row whose cell count is off in the corrupt-record
@@ -93,7 +109,7 @@ def _well_formed(names: Sequence[str]) -> Column:
     cells of a row only against the columns it reads.
     """
     line = F.col(_MALFORMED)
-    cells = F.concat_ws(",", *names)
+    cells = F.concat_ws(",", *columns)
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
     outside = F.regexp_replace(line, r'"[^"]*"', "")
     commas = F.length(outside) - F.length(F.replace(outside, F.lit(",")))
@@ -103,13 +119,58 @@ def _well_formed(names: Sequence[str]) -> Column:
             F.raise_error(F.concat(F.lit("quoted line break, read with multiline=True: "), cells)),
         )
         .when(
-            commas >= len(names), F.raise_error(F.concat(F.lit("too many cells, from: "), cells))
+            commas >= len(columns), F.raise_error(F.concat(F.lit("too many cells, from: "), cells))
         )
         .otherwise(True)
         .cast("boolean")
     )
 
 
+def _scan_csv_layout(
+    spark: SparkSession,
+    paths: Sequence[str],
+    charset: str,
+    schema: StructType,
+    null_markers: Sequence[str],
+    multiline: bool,
+    check_header: bool,
+) -> DataFrame:
+    """Scan files of one encoding and one header."""
+    options = {
+        "header": True,
+        "encoding": charset,
+        "escape": '"',
+        "multiLine": multiline,
+        "enforceSchema": not check_header,
+        "columnNameOfCorruptRecord": _MALFORMED,
+    }
+    if check_header:
+        names = schema.names
+    else:
+        names = spark.read.options(**options).csv(paths[0]).columns
+    declared = {f.name.lower(): f.dataType for f in schema.fields}
+    # Cells are read as text, so that a null marker in a number is not an error.
+    text = StructType([StructField(name, StringType()) for name in [*names, _MALFORMED]])
+    cells = {name: F.col(f"`{name}`") for name in names}
+    return (
+        spark.read.schema(text)
+        .options(**options)
+        .csv(list(paths))
+        .filter(_well_formed(list(cells.values())))
+        .select(
+            *(
+                _typed(
+                    F.when(~cell.isin(*null_markers), cell),
+                    declared.get(name.lower(), StringType()),
+                    name,
+                )
+                for name, cell in cells.items()
+            ),
+            "_metadata",
+        )
+    )
+
+
 def scan_csv(
     spark: SparkSession,
     paths: Sequence[str],
@@ -117,49 +178,38 @@ def scan_csv(
     null_markers: Sequence[str] = NULL_MARKERS,
     multiline: bool = False,
     encoding: str | None = None,
-) -> DataFrame:
+) -> DataFrame | None:
     """Scan CSV files with a header, each as UTF-8 if it is valid UTF-8, else Latin-1.
 
-    The encoding pass returns only the names of the odd files: never more than
-    the file list the driver already holds. Name an ``encoding`` to spare that
-    pass when all files share one. A header that does not match ``schema`` is an
-    error instead of shifted columns. ``multiline`` allows quoted line breaks but
-    makes a file unsplittable, so it is off by default; without it such a file
-    is an error, too.
+    Columns are found by name: files may order them differently or carry more of
+    them. Declared columns get their declared type, the others stay text. The
+    inspection pass returns a few values per file, never more than the file list
+    the driver already holds. Name an ``encoding`` to spare that pass when all
+    files share it and have exactly the declared header; another header is then
+    an error. ``multiline`` allows quoted line breaks but makes a file
+    unsplittable, so it is off by default; without it such a file is an error.
+    Returns ``None`` if no file has a line.
     """
+    layouts: dict[tuple[str, int | None], list[str]] = {}
     if encoding is None:
-        latin = {row.path for row in non_utf8_files(spark, paths).collect()}
-        groups = {
-            "UTF-8": [path for path in paths if path not in latin],
-            "ISO-8859-1": [path for path in paths if path in latin],
-        }
+        for row in inspect_csv(spark, paths).collect():
+            charset = "UTF-8" if row.utf8 else "ISO-8859-1"
+            layouts.setdefault((charset, row.layout), []).append(row.path)
     else:
-        groups = {encoding: list(paths)}
-    # Cells are read as text, so that a null marker in a number is not an error.
-    text = StructType([StructField(name, StringType()) for name in [*schema.names, _MALFORMED]])
+        layouts[encoding, None] = list(paths)
     frames = [
-        spark.read.schema(text)
-        .options(
-            header=True,
-            enforceSchema=False,
-            encoding=charset,
-            escape='"',
-            multiLine=multiline,
-            columnNameOfCorruptRecord=_MALFORMED,
-        )
-        .csv(members)
-        .filter(_well_formed(schema.names))
-        .select(
-            *(
-                _typed(F.when(~F.col(f.name).isin(*null_markers), F.col(f.name)), f.dataType, f.name)
-                for f in schema.fields
-            ),
-            "_metadata",
+        _scan_csv_layout(
+            spark, members, charset, schema, null_markers, multiline, encoding is not None
         )
-        for charset, members in groups.items()
-        if members
+        for (charset, _), members in sorted(layouts.items(), key=lambda item: item[1])
     ]
-    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    return _union(frames)
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame | None:
+    if not frames:
+        return None
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def scan_parquet(
@@ -255,18 +305,11 @@ def read_uploads(
     frames = []
     if "csv" in by_suffix:
         frames.append(
-            scan_csv(
-                spark, by_suffix["csv"], schema, multiline=multiline, encoding=encoding
-            )
+            scan_csv(spark, by_suffix["csv"], schema, multiline=multiline, encoding=encoding)
         )
     if "parquet" in by_suffix:
         frames.append(scan_parquet(spark, by_suffix["parquet"], schema))
-    if not frames:
-        return None
-    first, *rest = [parse_date_column(df) for df in frames]
-    for other in rest:
-        first = first.unionByName(other, allowMissingColumns=True)
-    return first
+    return _union([parse_date_column(df) for df in frames if df is not None])
 
 
 def validate_uploads(
