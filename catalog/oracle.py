@@ -76,7 +76,8 @@ _TABLES = {
                Quantity * UnitPrice AS total_price
         FROM bronze_sales WHERE Quantity > 0 AND UnitPrice > 0""",
     "daily": """
-        SELECT date, city, sum(total_price) AS total_sales FROM product_grain GROUP BY date, city""",
+        SELECT date, city, sum(total_price) AS total_sales
+        FROM product_grain GROUP BY date, city""",
     "weather": """
         SELECT CAST(date AS DATE) AS date, city, (temp_max + temp_min) / 2 AS avg_temp,
                precipitation FROM raw_weather""",
@@ -135,7 +136,10 @@ _WEEKDAY = (
 )
 _AVG, _SUM = _round("avg(total_sales)"), _round("sum(total_sales)")
 _TOTAL, _ROLLING = _round("total_sales"), _round("rolling_7d_sales", 4)
-_UPLOAD = "InvoiceNo, StockCode, {}, Quantity, CAST(InvoiceDate AS DATE) AS InvoiceDate, UnitPrice, CustomerID, Country"
+_UPLOAD = (
+    "InvoiceNo, StockCode, {}, Quantity, CAST(InvoiceDate AS DATE) AS InvoiceDate, UnitPrice, "
+    "CustomerID, Country"
+)
 _RAINY_PRODUCTS = f"""
     SELECT product_description, {_round("total_revenue")} AS total_revenue, total_units
     FROM (SELECT product_description, sum(total_price) AS total_revenue,

@@ -51,8 +51,11 @@ def _with_date(df: DataFrame) -> DataFrame:
 
 def scan_csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
-    text = fx.upload_text(fx.raw_sales(spark, sf_dir)).withColumn(
-        "Description", F.concat("Description", F.lit(" é"))
+    text = materialize(
+        fx.upload_text(fx.raw_sales(spark, sf_dir)).withColumn(
+            "Description", F.concat("Description", F.lit(" é"))
+        ),
+        "upload_text",
     )
     returned = F.col("InvoiceNo").startswith("C")
     fx.write_csv(text.filter(~returned), path, "UTF-8")
@@ -235,7 +238,7 @@ def silver_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_latest_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = fx.raw_sales(spark, sf_dir).withColumn(
+    sales = materialize(fx.raw_sales(spark, sf_dir), "raw_sales").withColumn(
         "_source_file", F.concat(F.lit("sales_"), F.year("InvoiceDate"), F.lit(".csv"))
     )
     first = sales.withColumn("_ingested_at", F.lit(STAMP_1))
@@ -244,7 +247,7 @@ def sales_latest_only(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("Quantity", F.col("Quantity") + 1)
         .withColumn("_ingested_at", F.lit(STAMP_2))
     )
-    raw = materialize(first.unionByName(second), "raw_sales")
+    raw = first.unionByName(second)
     newest = materialize(dedupe.newest_batches(raw), "newest_batches")
     return dedupe.latest_uploads(raw, newest).select(
         "InvoiceNo", "StockCode", "Quantity", "_source_file", "_ingested_at"

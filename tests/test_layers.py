@@ -200,7 +200,13 @@ def test_rainy_products_agree_on_both_paths(small):
 
 def test_latest_uploads_keep_equal_lines_of_the_newest_batch(spark):
     batch = spark.createDataFrame(
-        [(1, "a.csv", "t1"), (1, "a.csv", "t2"), (1, "a.csv", "t2"), (2, "b.csv", "t1"), (3, None, "t1")],
+        [
+            (1, "a.csv", "t1"),
+            (1, "a.csv", "t2"),
+            (1, "a.csv", "t2"),
+            (2, "b.csv", "t1"),
+            (3, None, "t1"),
+        ],
         "line int, _source_file string, _ingested_at string",
     )
     found = dedupe.latest_uploads(batch, dedupe.newest_batches(batch))
@@ -231,8 +237,8 @@ def test_tables_answer_sql_by_name(spark, small):
     reports.register_views(small["gold"], fact_of(small))
     top = spark.sql("SELECT city FROM sales_weather ORDER BY total_sales DESC LIMIT 1;")
     assert top.first().city == "London"
-    by_month = spark.sql("SELECT MONTH(date) AS m, SUM(total_sales) AS s FROM sales_weather GROUP BY m")
-    assert rows(by_month) == [(1, 2615.0)]
+    by_month = "SELECT MONTH(date) AS m, SUM(total_sales) AS s FROM sales_weather GROUP BY m"
+    assert rows(spark.sql(by_month)) == [(1, 2615.0)]
     assert spark.sql("SELECT * FROM fact_sales_weather_product WHERE is_rainy = 1").count() == 6
 
 

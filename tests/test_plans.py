@@ -22,7 +22,7 @@ def lines(spark):
     hot = n % 3 == 0
     df = spark.range(40000).select(
         F.when(hot, F.lit(DAY)).otherwise(F.date_add(F.lit(DAY), n % 300)).alias("date"),
-        F.when(hot, "London").otherwise(F.element_at(F.array(*map(F.lit, ("Leeds", "Glasgow", "London"))), n % 3 + 1)).alias("city"),
+        F.when(hot, "London").when(n % 3 == 1, "Leeds").otherwise("Glasgow").alias("city"),
         F.when(hot, "HOT").otherwise(F.concat(F.lit("S"), n % 700)).alias("StockCode"),
         F.when(n % 2 == 0, F.sha2(F.col("id").cast("string"), 256))
         .otherwise(F.concat(F.lit("name "), n % 5))

@@ -25,7 +25,8 @@ def scan(spark, folder, **options):
 
 def test_each_file_is_decoded_by_its_own_encoding(spark, tmp_path):
     put(tmp_path, "utf8.csv", "1,A,Café,1,12/1/2010 8:26,2.5,17850.0,France")
-    put(tmp_path, "latin.csv", "2,B,Cr\xe8me,1,12/1/2010 8:26,2.5,17850.0,France", encoding="latin-1")
+    creme = "2,B,Cr\xe8me,1,12/1/2010 8:26,2.5,17850.0,France"
+    put(tmp_path, "latin.csv", creme, encoding="latin-1")
     put(tmp_path, "ascii.csv", "3,C,Tea,1,12/1/2010 8:26,2.5,17850.0,France")
     found = scan(spark, tmp_path).select("InvoiceNo", "Description")
     assert rows(found) == [("1", "Café"), ("2", "Crème"), ("3", "Tea")]
@@ -38,7 +39,8 @@ def test_each_file_is_decoded_by_its_own_encoding(spark, tmp_path):
 
 def test_one_bad_byte_late_in_a_file_decides_for_the_whole_file(spark, tmp_path):
     lines = [f"{i},A,plain,1,12/1/2010 8:26,2.5,1.0,UK" for i in range(2000)]
-    put(tmp_path, "late.csv", *lines, "x,A,\xa3 sign,1,12/1/2010 8:26,2.5,1.0,UK", encoding="latin-1")
+    last = "x,A,\xa3 sign,1,12/1/2010 8:26,2.5,1.0,UK"
+    put(tmp_path, "late.csv", *lines, last, encoding="latin-1")
     found = scan(spark, tmp_path)
     assert found.count() == 2001
     assert found.filter("InvoiceNo = 'x'").first().Description == "£ sign"
@@ -81,7 +83,8 @@ def test_quoted_line_breaks_are_an_error_without_the_option(spark, tmp_path):
 
 
 def test_line_break_in_the_last_cell_is_an_error_without_the_option(spark, tmp_path):
-    put(tmp_path, "a.csv", '1,A,x,1,12/1/2010 8:26,2.5,1,"U\nK"', "2,A,x,1,12/1/2010 8:26,2.5,1,UK")
+    split = '1,A,x,1,12/1/2010 8:26,2.5,1,"U\nK"'
+    put(tmp_path, "a.csv", split, "2,A,x,1,12/1/2010 8:26,2.5,1,UK")
     with pytest.raises(Exception, match="multiline=True"):
         scan(spark, tmp_path).select("InvoiceNo").collect()
 
@@ -122,7 +125,7 @@ def test_columns_are_found_by_name_in_every_file(spark, tmp_path):
         "b.csv",
         "FR,2,2.5,6,B,yes,12/1/2010 8:26,y",
         "FR,3,2.5,6,B,no,12/1/2010 8:26,z",
-        header="country,CustomerID,UnitPrice,Quantity,StockCode,Gift.Wrap,InvoiceDate,Description\n",
+        header="country,CustomerID,UnitPrice,Quantity,StockCode,Gift.Wrap,InvoiceDate,Text\n",
     )
     found = scan(spark, tmp_path)
     assert found.filter("InvoiceDate = '2010-12-01 08:26:00'").count() == 3
@@ -220,7 +223,8 @@ def test_csv_and_parquet_uploads_are_read_together(spark, tmp_path):
     ).coalesce(1).write.parquet(str(staging))
     part = next(staging.glob("part-*.parquet"))
     (tmp_path / "b.parquet").write_bytes(part.read_bytes())
-    found = scan(spark, tmp_path).select("InvoiceNo", "InvoiceDate", "Quantity", "CustomerID", "note")
+    columns = ("InvoiceNo", "InvoiceDate", "Quantity", "CustomerID", "note")
+    found = scan(spark, tmp_path).select(*columns)
     assert rows(found) == [
         ("1", dt.datetime(2010, 12, 1, 8, 26), 1, 1.0, None),
         ("2", dt.datetime(2011, 1, 2, 3, 4), 3, 7.0, "extra"),
@@ -279,6 +283,32 @@ def test_landing_partitions_by_month_and_appends(spark, tmp_path):
     assert rows(found) == [(n, "a.csv", t) for n in "123" for t in ("t1", "t2")]
 
 
+def test_the_date_column_is_detected_per_file(spark, tmp_path):
+    line = "1,A,x,1,1/5/2011 8:26,2.5,1,UK"
+    put(tmp_path / "in", "a.csv", line)
+    put(tmp_path / "in", "b.csv", line, header=HEADER.replace("InvoiceDate", "invoice_date"))
+    put(tmp_path / "in", "c.csv", line, header=HEADER.replace("InvoiceDate", "moment"))
+    path = uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
+    found = spark.read.parquet(path).select("_source_file", "year", "month", "moment")
+    assert rows(found) == [
+        ("a.csv", 2011, 1, None), ("b.csv", 2011, 1, None), ("c.csv", None, None, "1/5/2011 8:26"),
+    ]
+    assert spark.read.parquet(path).select("_ingested_at").distinct().count() == 1
+
+
+def test_uploads_without_any_date_land_unpartitioned(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "1,x", header="sku,name\n")
+    path = uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
+    assert rows(spark.read.parquet(path).select("sku", "name")) == [("1", "x")]
+
+
+@pytest.mark.parametrize("quantity", ["6.5D", "3000000000L"])
+def test_parquet_quantities_that_do_not_fit_are_an_error(spark, tmp_path, quantity):
+    spark.sql(f"SELECT 'A' AS StockCode, {quantity} AS Quantity").write.parquet(str(tmp_path / "u"))
+    with pytest.raises(Exception, match="(?i)whole number|overflow"):
+        scan(spark, tmp_path / "u").collect()
+
+
 def test_landing_as_csv_keeps_values(spark, tmp_path):
     put(tmp_path / "in", "a.csv", '1,A," say ""x"" ",1,1/5/2011 8:26,2.5,1,UK')
     path = uploads.land_uploads(

@@ -95,7 +95,7 @@ def test_unequal_arrays_pad_with_nulls(spark, tmp_path):
 
 
 def test_documents_without_a_series_give_no_rows(spark, tmp_path):
-    put(tmp_path, "London", payload(time=[], temperature_2m_max=[], temperature_2m_min=[], precipitation_sum=[]))
+    put(tmp_path, "London", payload(**dict.fromkeys(DAYS, [])))
     put(tmp_path, "Leeds", {"latitude": 1.0})
     assert bronze_rows(spark, tmp_path) == []
 

@@ -85,18 +85,18 @@ def inspect_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _typed(text: Column, kind: DataType, name: str) -> Column:
-    """A cell's text as its declared type; unreadable numbers fail under ANSI mode.
+def _typed(value: Column, kind: DataType, name: str) -> Column:
+    """A cell as its declared type; unreadable numbers fail under ANSI mode.
 
     Whole numbers may be written with a decimal point, as exports of nullable
     integer columns do; a real fraction is an error rather than cut off.
     """
-    if isinstance(kind, StringType):
-        return text.alias(name)
     if not isinstance(kind, (IntegerType, LongType)):
-        return text.cast(kind).alias(name)
-    number = text.cast("double")
-    fraction = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), text))
+        return value.cast(kind).alias(name)
+    number = value.cast("double")
+    fraction = F.raise_error(
+        F.concat(F.lit(f"{name} is not a whole number: "), value.cast("string"))
+    )
     return F.when(number != F.floor(number), fraction).otherwise(number).cast(kind).alias(name)
 
 
@@ -178,9 +178,10 @@ def scan_csv(
     null_markers: Sequence[str] = NULL_MARKERS,
     multiline: bool = False,
     encoding: str | None = None,
-) -> DataFrame | None:
+) -> list[DataFrame]:
     """Scan CSV files with a header, each as UTF-8 if it is valid UTF-8, else Latin-1.
 
+    Returns one frame per encoding and header, none for files without a line.
     Columns are found by name: files may order them differently or carry more of
     them. Declared columns get their declared type, the others stay text. The
     inspection pass returns a few values per file, never more than the file list
@@ -188,7 +189,6 @@ def scan_csv(
     files share it and have exactly the declared header; another header is then
     an error. ``multiline`` allows quoted line breaks but makes a file
     unsplittable, so it is off by default; without it such a file is an error.
-    Returns ``None`` if no file has a line.
     """
     layouts: dict[tuple[str, int | None], list[str]] = {}
     if encoding is None:
@@ -197,13 +197,12 @@ def scan_csv(
             layouts.setdefault((charset, row.layout), []).append(row.path)
     else:
         layouts[encoding, None] = list(paths)
-    frames = [
+    return [
         _scan_csv_layout(
             spark, members, charset, schema, null_markers, multiline, encoding is not None
         )
         for (charset, _), members in sorted(layouts.items(), key=lambda item: item[1])
     ]
-    return _union(frames)
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame | None:
@@ -220,16 +219,20 @@ def scan_parquet(
     The date column keeps its own type here, since uploads carry real timestamps.
     """
     df = spark.read.option("mergeSchema", True).parquet(*paths)
-    declared = {f.name: f.dataType for f in schema.fields}
+    declared = {f.name.lower(): f.dataType for f in schema.fields if f.name not in DATE_COLUMNS}
     return df.select(
         *(
-            F.col(f.name).try_cast(declared[f.name])
-            if f.name in declared and f.name not in DATE_COLUMNS
-            else F.col(f.name)
-            for f in df.schema.fields
+            _typed(F.col(f"`{name}`"), declared[name.lower()], name)
+            if name.lower() in declared
+            else F.col(f"`{name}`")
+            for name in df.columns
         ),
         "_metadata",
-    ).toDF(*df.columns, "_metadata")
+    )
+
+
+def utc_now() -> str:
+    return datetime.now(timezone.utc).isoformat()
 
 
 def add_provenance(df: DataFrame, entity: str, ingested_at: str | None = None) -> DataFrame:
@@ -237,7 +240,7 @@ def add_provenance(df: DataFrame, entity: str, ingested_at: str | None = None) -
 
     The stamp is one constant per call, so a retried task writes the same value.
     """
-    stamp = ingested_at or datetime.now(timezone.utc).isoformat()
+    stamp = ingested_at or utc_now()
     return df.withColumns(
         {
             SOURCE_FILE: plain_path(F.col("_metadata.file_name")),
@@ -285,17 +288,18 @@ def _paths_by_suffix(listed: DataFrame) -> dict[str, list[str]]:
     return found
 
 
-def read_uploads(
+def scan_uploads(
     spark: SparkSession,
     directory: str,
     file_name: str | None = None,
     schema: StructType = RETAIL_UPLOAD,
     multiline: bool = False,
     encoding: str | None = None,
-) -> DataFrame | None:
-    """All uploads of a folder as one frame with parsed dates; ``None`` if there are none.
+) -> list[DataFrame]:
+    """Uploads of a folder, one frame per file layout, with parsed dates.
 
-    Keeps the hidden ``_metadata`` struct as a column, for ``add_provenance``.
+    The date column is detected per layout. Frames keep the hidden ``_metadata``
+    struct as a column, for ``add_provenance``.
     """
     by_suffix = _paths_by_suffix(list_uploads(spark, directory, file_name))
     unknown = sorted(by_suffix.keys() - {"csv", "parquet"})
@@ -304,12 +308,24 @@ def read_uploads(
 
     frames = []
     if "csv" in by_suffix:
-        frames.append(
-            scan_csv(spark, by_suffix["csv"], schema, multiline=multiline, encoding=encoding)
+        frames += scan_csv(
+            spark, by_suffix["csv"], schema, multiline=multiline, encoding=encoding
         )
     if "parquet" in by_suffix:
         frames.append(scan_parquet(spark, by_suffix["parquet"], schema))
-    return _union([parse_date_column(df) for df in frames if df is not None])
+    return [parse_date_column(df) for df in frames]
+
+
+def read_uploads(
+    spark: SparkSession,
+    directory: str,
+    file_name: str | None = None,
+    schema: StructType = RETAIL_UPLOAD,
+    multiline: bool = False,
+    encoding: str | None = None,
+) -> DataFrame | None:
+    """``scan_uploads`` as one frame; ``None`` if there are no uploads."""
+    return _union(scan_uploads(spark, directory, file_name, schema, multiline, encoding))
 
 
 def validate_uploads(
@@ -359,11 +375,15 @@ def land_uploads(
     """
     if format not in ("parquet", "csv"):
         raise ValueError(f"Unsupported output format: {format}")
-    uploads = read_uploads(spark, directory, file_name, schema, multiline, encoding)
-    if uploads is None:
+    frames = scan_uploads(spark, directory, file_name, schema, multiline, encoding)
+    if not frames:
         return None
-    landed = add_provenance(uploads, entity, ingested_at).drop("_metadata")
-    landed, partition_cols = with_year_month(landed)
+    stamp = ingested_at or utc_now()
+    parted = [
+        with_year_month(add_provenance(df, entity, stamp).drop("_metadata")) for df in frames
+    ]
+    landed = _union([df for df, _ in parted])
+    partition_cols = max((columns for _, columns in parted), key=len)
     path = layer_path(lake_root, "raw", entity, source)
     write(
         landed,
