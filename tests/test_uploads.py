@@ -283,6 +283,25 @@ def test_landing_partitions_by_month_and_appends(spark, tmp_path):
     assert rows(found) == [(n, "a.csv", t) for n in "123" for t in ("t1", "t2")]
 
 
+def test_landing_without_the_shuffle_gives_the_same_rows(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", *(f"{i},A,x,1,{i}/5/2011 8:26,2.5,1,UK" for i in range(1, 13)))
+    found = [
+        rows(
+            spark.read.parquet(
+                uploads.land_uploads(
+                    spark,
+                    str(tmp_path / "in"),
+                    f"{tmp_path}/lake-{rebalance}",
+                    ingested_at=STAMP,
+                    rebalance=rebalance,
+                )
+            )
+        )
+        for rebalance in (True, False)
+    ]
+    assert len(found[0]) == 12 and found[0] == found[1]
+
+
 def test_the_date_column_is_detected_per_file(spark, tmp_path):
     line = "1,A,x,1,1/5/2011 8:26,2.5,1,UK"
     put(tmp_path / "in", "a.csv", line)

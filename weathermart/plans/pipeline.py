@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from weathermart.functions.cities import CITIES, City
 from weathermart.operators import bronze, dedupe, dimensions, facts, gold, silver
 from weathermart.plans.mart import Options
-from weathermart.schemas import RETAIL_UPLOAD, check_contract
+from weathermart.schemas import CONTRACTS, RETAIL_UPLOAD, check_contract
 from weathermart.sources import tables, uploads, weather
 from weathermart.sources.paths import layer_path, materialize
 
@@ -40,6 +40,7 @@ class Lake:
     """Where the inputs and the tables are, and how the stages treat them.
 
     ``format`` is the table format of silver and gold; bronze is always Parquet.
+    The ``upload_`` fields are passed to ``uploads.land_uploads``.
     ``latest_only`` keeps only the newest ingestion run of each upload and of each
     weather day, instead of every appended one.
     """
@@ -51,6 +52,7 @@ class Lake:
     upload_schema: StructType = RETAIL_UPLOAD
     upload_multiline: bool = False
     upload_encoding: str | None = None
+    upload_rebalance: bool = True
     format: str = "parquet"
     options: Options = Options()
     cities: Sequence[City] = field(default=CITIES)
@@ -63,8 +65,14 @@ class Lake:
         return f"{self.root.rstrip('/')}/gold/{table.removeprefix('gold_')}"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
+        """A bronze, silver or gold table with the types of its contract.
+
+        Parquet tables are read with the contract as their schema: no footer is
+        opened for it, and a partition value that looks like a number stays text.
+        """
         fmt = "parquet" if table.startswith("bronze_") else self.format
-        return tables.read(spark, self.path(table), fmt)
+        schema = CONTRACTS[table] if fmt == "parquet" else None
+        return tables.read(spark, self.path(table), fmt, schema)
 
     def write(
         self,
@@ -113,6 +121,7 @@ def _land_retail(spark: SparkSession, lake: Lake) -> dict[str, int]:
         schema=lake.upload_schema,
         multiline=lake.upload_multiline,
         encoding=lake.upload_encoding,
+        rebalance=lake.upload_rebalance,
         observation=seen,
     )
     if landed is None:

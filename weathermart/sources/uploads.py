@@ -366,12 +366,15 @@ def land_uploads(
     schema: StructType = RETAIL_UPLOAD,
     multiline: bool = False,
     encoding: str | None = None,
+    rebalance: bool = True,
     observation: Observation | None = None,
 ) -> str | None:
     """Append uploads to the raw layer by year and month; returns the table path.
 
     Appending twice keeps both batches, told apart by ``_ingested_at``. Returns
-    ``None`` if the folder holds no uploads. ``observation`` collects ``rows``.
+    ``None`` if the folder holds no uploads. Uploads whose lines are in date order
+    touch few months per task and can do without the shuffle of ``rebalance``.
+    ``observation`` collects ``rows``.
     """
     if format not in ("parquet", "csv"):
         raise ValueError(f"Unsupported output format: {format}")
@@ -391,7 +394,7 @@ def land_uploads(
         format,
         partition_cols,
         mode="append",
-        rebalance=bool(partition_cols),
+        rebalance=rebalance and bool(partition_cols),
         observation=observation,
     )
     return path
