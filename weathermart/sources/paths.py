@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Scratch roots of local sessions, by application id.
-_local_scratch: dict[str, str] = {}
-
 
 def layer_path(root: str, layer: str, entity: str, source: str, **partition: object) -> str:
     """``<root>/<layer>/<entity>/<source>/k=v/...``; Spark creates it on write."""
@@ -20,21 +16,24 @@ def layer_path(root: str, layer: str, entity: str, source: str, **partition: obj
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path in storage that the driver and all executors share.
 
-    Paths carry the application id, so a finished application's tables can be
-    removed together. A machine-local folder is used only by a local-mode session
-    that names none.
+    That is the folder named in ``spark.checkpoint.dir``, else the warehouse. Paths
+    carry the application id, so ``drop_scratch`` (or a bucket rule) can remove a
+    finished application's tables together.
     """
-    app = spark.conf.get("spark.app.id", "unnamed")
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if app not in _local_scratch:
-            _local_scratch[app] = tempfile.mkdtemp(prefix="weathermart-")
-        root = _local_scratch[app]
-    return f"{root.rstrip('/')}/weathermart/{app}/{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/weathermart/{spark.conf.get('spark.app.id', 'unnamed')}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove every scratch table of this application; frames that read them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
