@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weathermart.llm.common import text_or_empty, unused
+from weathermart.llm.common import key_filter, may_hold, text_or_empty, unused
 
 # Token offsets that each mask selects. Together they hit every window of 13 tokens
 # with at most two substitutions, of 16 with at most three, and of 10 with at most
@@ -27,8 +27,6 @@ WINDOW = 13
 MAX_SUBSTITUTIONS = 2
 # Items shorter than this can't be told from common phrases and are not searched.
 MIN_ITEM = max(m[-1] for m in MASKS) + 1
-# Bits of the filter: 512 KB, fixed.
-FILTER_WORDS = 1 << 16
 _TOKENS_AROUND = WINDOW - 1
 
 
@@ -98,40 +96,6 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _slot(seed: Column, shift: int) -> tuple[Column, Column]:
-    bits = F.shiftrightunsigned(seed, shift)
-    word = F.pmod(F.shiftrightunsigned(bits, 6), F.lit(FILTER_WORDS)).cast("int")
-    return word, bits.bitwiseAND(F.lit(63)).cast("int")
-
-
-_SHIFTS = (0, 29)
-
-
-def seed_filter(seeds: DataFrame) -> Column:
-    """A Bloom filter of the seeds as one array of longs, evaluated once as a subquery."""
-    spark = seeds.sparkSession
-    slots = F.array(
-        *[F.struct(w.alias("word"), b.alias("bit")) for w, b in (_slot(F.col("seed"), s) for s in _SHIFTS)]
-    )
-    filled = (
-        seeds.select(F.inline(slots))
-        .groupBy("word")
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits"))
-    )
-    every = spark.range(FILTER_WORDS).select(F.col("id").cast("int").alias("word"))
-    dense = every.join(filled, "word", "left").select("word", F.coalesce("bits", F.lit(0)).alias("bits"))
-    return (
-        dense.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("all"))
-        .select(F.col("all.bits"))
-        .scalar()
-    )
-
-
-def _passes(seed: Column, known: Column) -> Column:
-    tests = [F.getbit(F.get(known, word), bit) == 1 for word, bit in (_slot(seed, s) for s in _SHIFTS)]
-    return F.coalesce(tests[0] & tests[1], F.lit(False))
-
-
 def seed_hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     """Positions of ``docs`` (keys, text) whose seeds the benchmark may have, with surroundings."""
     keys = [c for c in docs.columns if c != "text"]
@@ -139,7 +103,7 @@ def seed_hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     texts = docs.select(*keys, tokens(F.col("text")).alias("_words"))
     return (
         _with_seeds(texts, keys)
-        .where(_passes(F.col("seed"), seed_filter(seeds)))
+        .where(may_hold(F.col("seed"), key_filter(seeds, "seed")))
         .select(*keys, "_at", near.alias("near"), (F.col("_at") - first).alias("hit"), "seed")
     )
 

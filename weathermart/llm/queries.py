@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weathermart.llm import (
     decontaminate,
+    jaccard,
     line_rules,
     mixing,
     preferences,
@@ -113,6 +114,12 @@ def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -125,6 +132,7 @@ def queries() -> dict[str, Query]:
             op6_secret_scan,
             op7_preference_pairs,
             op8_pseudonyms,
+            op10_jaccard_join,
         )
     }
 
