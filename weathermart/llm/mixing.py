@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weathermart.llm.common import text_or_empty, utf8_crc32, words
+from weathermart.llm.common import text_or_empty, unused, utf8_crc32, words
 from weathermart.sources.paths import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -249,3 +249,35 @@ def mix(
     facts = {s: (sizes[s], wanted[s]) for s in sizes}
     return inner.select(*out).unionAll(edge_rows.select(*out)), facts
 
+
+
+def repeat_documents(docs: DataFrame, sources: Column, **options) -> DataFrame:
+    """The rows of ``docs`` with all their columns, each as often as ``mix`` takes it.
+
+    A part pass is rounded to none or one, so documents stay whole; that concerns one
+    document of each pattern. Documents that the mix does not take are left out.
+    """
+    mixed, _ = mix(docs, sources, **options)
+    names = {k: unused(docs.columns, k) for k in ("_id", "_crc", "_times", "_hash", "_one")}
+    # Rows with equal id and text are interchangeable: each gets an equal share of what they give.
+    times = (
+        mixed.where("size > 0")
+        .groupBy("doc_id", "text_crc32", "pattern")
+        .agg((F.sum("taken") / F.sum("size")).alias("times"))
+        .groupBy("doc_id", "text_crc32")
+        .agg(F.max("times").alias("times"))
+        .toDF(names["_id"], names["_crc"], names["_times"])
+    )
+    return (
+        docs.withColumn(names["_hash"], utf8_crc32(F.col("text")))
+        .join(
+            times,
+            F.col("doc_id").cast("long").eqNullSafe(F.col(names["_id"]))
+            & (F.col(names["_hash"]) == F.col(names["_crc"])),
+        )
+        .withColumn(
+            names["_one"], F.explode(F.sequence(F.lit(0), F.round(names["_times"]).cast("int")))
+        )
+        .where(F.col(names["_one"]) > 0)
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    )

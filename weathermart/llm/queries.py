@@ -14,6 +14,7 @@ from weathermart.llm import (
     jaccard,
     line_rules,
     mixing,
+    passages,
     preferences,
     pseudonyms,
     secrets,
@@ -114,6 +115,10 @@ def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id"
@@ -132,6 +137,7 @@ def queries() -> dict[str, Query]:
             op6_secret_scan,
             op7_preference_pairs,
             op8_pseudonyms,
+            op9_repeated_passages,
             op10_jaccard_join,
         )
     }
