@@ -72,7 +72,7 @@ def payload_of(doc_id: int | None, ids: bytes) -> bytes:
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-_SIMPLE = re.compile("[a-z]+")
+_SIMPLE = re.compile("[a-zß-öø-ÿ]+")
 
 
 class WordEncoder:
@@ -84,20 +84,21 @@ class WordEncoder:
     go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {"": b""}
         self.limit = limit
 
     def _whole(self, pieces: list[str]) -> None:
-        # Neither normaliser nor pre-tokeniser changes a run of a-z.
-        simple = [p for p in pieces if _SIMPLE.fullmatch(p)]
-        for piece in simple:
-            ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
-            self.known[piece] = np.array(ids, "<u4").tobytes()
+        # Of normaliser and pre-tokeniser only the byte alphabet changes a run of lower-case letters.
+        model = self.tokenizer.model
+        for piece in filter(_SIMPLE.fullmatch, pieces):
+            plain = piece if piece.isascii() else self.bytes.pre_tokenize_str(piece)[0][0]
+            self.known[piece] = np.array([t.id for t in model.tokenize(plain)], "<u4").tobytes()
         pieces = [p for p in pieces if p not in self.known]
         for piece, done in zip(
             pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True
