@@ -69,6 +69,16 @@ def bit_sketch(tokens: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+# Longs of the small sketch that candidate pairs are met with: 1,024 bits.
+BIT_LONGS = 16
+
+
+def small_sketch(tokens: np.ndarray) -> np.ndarray:
+    bits = np.zeros(64 * BIT_LONGS, np.uint8)
+    bits[(tokens % np.uint64(64 * BIT_LONGS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _folded(sketch: bytes, width: int) -> np.ndarray:
     bits = np.frombuffer(sketch, np.uint8)
     return np.bitwise_or.reduce(bits.reshape(-1, width), axis=0)
@@ -96,9 +106,16 @@ def _scheme_groups(scheme: int) -> int:
     return max(1, (1 << scheme) // 16)
 
 
-def entries(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
+def entries(
+    tokens: np.ndarray, classes: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Index entries of a set: rare tokens and combinations of frequent ones in its prefix.
 
+    Beside each entry stands its reach: an upper bound of the intersection with a set for
+    which it is the first common entry. For a token that is what stands from it on. A
+    combination of frequent tokens comes first only if no rare token is common (all of
+    them are in the prefix then), so it reaches over the frequent tokens.
+
     Groups depend on the size of the smaller set of a pair, so a set whose partners
     may be of a smaller magnitude has the combinations of both. Sets of fewer than
     eight tokens index every token alone.
@@ -109,12 +126,15 @@ def entries(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray
     kinds = classes[(tokens & np.uint64(CLASS_SLOTS - 1)).astype(np.int64)]
     order = np.argsort(kinds, kind="stable")
     tokens, kinds = tokens[order], kinds[order]
-    if may_differ < n and (kinds[may_differ] == 0):
-        return tokens[: may_differ + 1]
-    found = []
+    reach = n - np.arange(n)
+    if kinds[may_differ] == 0:
+        return tokens[: may_differ + 1], reach[: may_differ + 1]
+    frequent = int((kinds > 0).sum())
+    found, reaches = [], []
     for scheme in range(least_size.bit_length() - 1, n.bit_length()):
         if scheme < 3:
             found.append(tokens[: may_differ + 1])
+            reaches.append(reach[: may_differ + 1])
             continue
         groups = _scheme_groups(scheme)
         dealt = ((tokens >> np.uint64(40)) % np.uint64(groups)).astype(np.int64)
@@ -125,6 +145,7 @@ def entries(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray
         end = int(np.searchsorted(useful, may_differ + 1)) + 1
         head, kind, part = tokens[:end], kinds[:end], group[:end]
         found.append(head[kind == 0])
+        reaches.append(reach[:end][kind == 0])
         salt = np.uint64(scheme)
         for g in np.unique(part[kind > 0]):
             own = np.sort(head[part == g])
@@ -134,7 +155,10 @@ def entries(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray
             for column in picked.T:
                 mixed = stir(mixed + own[column])
             found.append(mixed)
-    return np.unique(np.concatenate(found))
+            reaches.append(np.full(len(mixed), frequent))
+    # Where schemes share an entry its position is the same.
+    values, first = np.unique(np.concatenate(found), return_index=True)
+    return values, np.concatenate(reaches)[first]
 
 
 def _nth_in_group(group: np.ndarray) -> np.ndarray:
@@ -169,7 +193,11 @@ def _sets_of(batch: pa.RecordBatch, words: WordHashes) -> Iterator[np.ndarray]:
     return (token_set(data, words) for data in batch.column("text").to_pylist())
 
 
-_DIGEST = "doc_id long, key long, set_id long, n long, sketch binary, token long, texts long"
+_BITS = [f"bits{i}" for i in range(BIT_LONGS)]
+_DIGEST = (
+    "doc_id long, key long, set_id long, n long, sketch binary, token long, texts long, "
+    + ", ".join(f"{b} long" for b in _BITS)
+)
 
 
 def _digest(docs: DataFrame) -> DataFrame:
@@ -182,17 +210,18 @@ def _digest(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen, gathered, count = WordHashes(), set(), [], 0
         for batch in slices(batches, 500):
-            ids, sizes, sketches = [], [], []
+            ids, sizes, sketches, bits = [], [], [], []
             for tokens in _sets_of(batch, words):
                 n = len(tokens)
                 ids.append(set_id(tokens) if n else None)
                 sizes.append(n)
                 sketches.append(bit_sketch(tokens) if n else None)
+                bits.append(small_sketch(tokens))
                 if n and ids[-1] not in seen:
                     seen.add(ids[-1])
                     gathered.append(tokens)
                     count += n
-            yield _digest_rows(batch, ids, sizes, sketches)
+            yield _digest_rows(batch, ids, sizes, sketches, bits)
             if count >= _COUNTED:
                 yield _count_rows(gathered)
                 gathered, count = [], 0
@@ -210,15 +239,19 @@ _DIGEST_SCHEMA = pa.schema(
         ("sketch", pa.binary()),
         ("token", pa.int64()),
         ("texts", pa.int64()),
+        *[(b, pa.int64()) for b in _BITS],
     ]
 )
 
 
-def _digest_rows(batch: pa.RecordBatch, ids: list, sizes: list, sketches: list) -> pa.RecordBatch:
+def _digest_rows(
+    batch: pa.RecordBatch, ids: list, sizes: list, sketches: list, bits: list
+) -> pa.RecordBatch:
     none = pa.nulls(len(ids), pa.int64())
     columns = [batch.column("doc_id"), batch.column("key")]
     columns += [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64())]
     columns += [pa.array(sketches, pa.binary()), none, none]
+    columns += [pa.array(b, pa.int64()) for b in np.array(bits, np.int64).reshape(-1, BIT_LONGS).T]
     return pa.RecordBatch.from_arrays(columns, schema=_DIGEST_SCHEMA)
 
 
@@ -229,6 +262,7 @@ def _count_rows(gathered: list[np.ndarray]) -> pa.RecordBatch:
     none = pa.nulls(int(often.sum()), pa.int64())
     columns = [none, none, none, none, pa.nulls(len(none), pa.binary())]
     columns += [pa.array(as_long(tokens[often])), pa.array(counts[often].astype(np.int64))]
+    columns += [none] * BIT_LONGS
     return pa.RecordBatch.from_arrays(columns, schema=_DIGEST_SCHEMA)
 
 
@@ -247,17 +281,19 @@ def _classes(counts: DataFrame, total: int) -> np.ndarray:
 
 
 def _index(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
-    """entry and set_id, for every set once per task."""
+    """entry, set_id, n and reach, for every set once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen, table = WordHashes(), set(), shared.value.astype(np.int64)
         for batch in slices(batches, 500):
-            keys, ids, sizes = [], [], []
+            keys, reaches, ids, sizes = [], [], [], []
             for tokens in _sets_of(batch, words):
                 if len(tokens) and (one := set_id(tokens)) not in seen:
                     seen.add(one)
-                    keys.append(entries(tokens, table, percent))
+                    values, reach = entries(tokens, table, percent)
+                    keys.append(values)
+                    reaches.append(reach)
                     ids.append(one)
                     sizes.append(len(tokens))
             if keys:
@@ -267,11 +303,12 @@ def _index(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
                         pa.array(as_long(np.concatenate(keys))),
                         pa.array(np.repeat(np.array(ids, np.int64), times)),
                         pa.array(np.repeat(np.array(sizes, np.int64), times)),
+                        pa.array(np.concatenate(reaches).astype(np.int64)),
                     ],
-                    ["entry", "set_id", "n"],
+                    ["entry", "set_id", "n", "reach"],
                 )
 
-    return _texts(docs).mapInArrow(run, "entry long, set_id long, n long")
+    return _texts(docs).mapInArrow(run, "entry long, set_id long, n long, reach long")
 
 
 def _token_table(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -335,9 +372,46 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int)
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
 
-def _ratio(n: Column, m: Column, percent: int) -> Column:
-    """Sizes alone do not rule a link out."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def _in_reach(a: str, b: str, percent: int) -> Column:
+    """Sizes, reaches and small sketches do not rule a link out."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    reach = F.least(F.col(f"{a}.reach"), F.col(f"{b}.reach"))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (
+        (100 + percent) * reach >= percent * (n + m)
+    ) & _bits_allow(a, b, n, n + m, percent) & _bits_allow(b, a, m, n + m, percent)
+
+
+def _bits_allow(a: str, b: str, n: Column, both: Column, percent: int) -> Column:
+    """Every bit that ``b`` lacks is a token of ``a`` that is not common."""
+    lacking = sum(
+        (F.bit_count(F.col(f"{a}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{b}.{c}")))) for c in _BITS),
+        F.lit(0),
+    )
+    return (100 + percent) * (n - lacking) >= percent * both
+
+
+def _open_groups(placed: DataFrame) -> DataFrame:
+    """Members of entries that links have not joined yet, once for each distinct list of members.
+
+    Near copies share many entries; what counts is who meets whom, and the best reach.
+    """
+    prints = [F.bit_xor(F.xxhash64("set_id", F.lit(seed))).alias(f"print{seed}") for seed in (1, 2)]
+    lists = (
+        placed.groupBy("entry")
+        .agg(
+            *prints,
+            F.count("*").alias("members"),
+            F.min("component").alias("x"),
+            F.max("component").alias("y"),
+        )
+        .where("x < y")
+        .select("entry", "print1", "print2", "members")
+    )
+    return (
+        placed.join(lists, "entry")
+        .groupBy("print1", "print2", "members", "set_id")
+        .agg(*[F.max(c).alias(c) for c in ("n", "component", "reach")])
+    )
 
 
 def _links(docs: DataFrame, sets: DataFrame, index: DataFrame, percent: int) -> DataFrame:
@@ -354,29 +428,24 @@ def _links(docs: DataFrame, sets: DataFrame, index: DataFrame, percent: int) ->
     first = materialize(_plausible(first, sets, percent), "first")
     links = materialize(_verified(first, docs, sets, percent), "links")
     labels = materialize(components(links), "labels").withColumnRenamed("node", "set_id")
-    placed = members.select("entry", "set_id", "n").join(labels, "set_id", "left")
+    placed = members.select("entry", "set_id", "n", "reach").join(labels, "set_id", "left")
     placed = materialize(
-        placed.select(
-            "entry", "set_id", "n", F.coalesce("component", "set_id").alias("component")
-        ),
-        "placed",
+        placed.withColumn("component", F.coalesce("component", "set_id")), "placed"
     )
-    # Entries whose sets are joined already need nothing more.
-    open_ = (
-        placed.groupBy("entry")
-        .agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("x < y")
-        .select("entry")
+    groups = materialize(
+        _open_groups(placed).join(sets.select("set_id", *_BITS), "set_id"), "groups"
     )
-    rest = placed.join(open_, "entry", "left_semi")
-    a, b = rest.alias("a"), rest.alias("b")
+    same_list = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("print1", "print2", "members")]
     second = (
-        a.join(
-            b,
-            (F.col("a.entry") == F.col("b.entry"))
+        groups.alias("a")
+        .join(
+            groups.alias("b"),
+            same_list[0]
+            & same_list[1]
+            & same_list[2]
             & (F.col("a.set_id") < F.col("b.set_id"))
             & (F.col("a.component") != F.col("b.component"))
-            & _ratio(F.col("a.n"), F.col("b.n"), percent),
+            & _in_reach("a", "b", percent),
         )
         .select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b"))
         .distinct()
@@ -405,7 +474,7 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = materialize(
         table.where("n > 0")
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sketch").alias("sketch")),
+        .agg(F.min("doc_id").alias("doc_id"), *[F.max(c).alias(c) for c in ("n", "sketch", *_BITS)]),
         "sets",
     )
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
