@@ -1,6 +1,7 @@
 """Every registered query against the independent engine, on whole small tables."""
 
 import datetime as dt
+import re
 
 import duckdb
 import pytest
@@ -33,7 +34,9 @@ def plain(value):
 
 
 def test_every_query_has_sql_except_the_unsorted_sample():
-    assert QUERIES.keys() - SQL.keys() == {"check_sample"}
+    # Queries of the training-data package are tested beside it.
+    own = {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)}
+    assert own - SQL.keys() == {"check_sample"}
     assert SQL.keys() <= QUERIES.keys()
 
 
