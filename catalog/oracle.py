@@ -308,6 +308,10 @@ _SELECTS = {
         FROM gold GROUP BY 1, 2""",
     "report_rainy_products": _RAINY_PRODUCTS,
     "report_rainy_products_from_fact": _RAINY_PRODUCTS,
+    "check_sample": f"""
+        SELECT date, city, {_TOTAL} AS total_sales, avg_temp, precipitation, is_rainy,
+               temp_category, sales_category, {_ROLLING} AS rolling_7d_sales
+        FROM (SELECT * FROM gold ORDER BY date, city LIMIT 10)""",
     "check_row_count": "SELECT count(*) AS row_count FROM gold",
     "check_date_range": "SELECT min(date) AS first_date, max(date) AS last_date FROM gold",
     "check_avg_city": f"""

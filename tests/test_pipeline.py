@@ -145,27 +145,6 @@ def test_second_ingestion_doubles_unless_latest_only(spark, copy):
     assert once == {name: FULL[name] for name in once}
 
 
-def test_options_reach_the_stages(spark, copy):
-    matched = Options(product_match="code_and_description")
-    counts = pipeline.run(spark, dataclasses.replace(copy, options=matched), ["fact_product"])
-    assert counts["fact_sales_weather_product"] == 4
-    unshifted = dataclasses.replace(copy, options=Options(shift_months=0))
-    pipeline.run(spark, unshifted, ["sales_bronze"])
-    years = copy.read(spark, "bronze_sales").select(F.year("date")).distinct()
-    assert rows(years) == [(2010,)]
-
-
-@pytest.mark.parametrize("store", [None, paths.materialize])
-def test_the_lazy_mart_equals_the_written_pipeline(spark, full, store):
-    lake, _ = full
-    raw = spark.read.parquet(lake.path("raw_sales"))
-    days = lake.read(spark, "bronze_weather")
-    mart = Mart(raw, days, store=store) if store else Mart(raw, days)
-    for name in ("gold_sales_weather", "fact_sales_weather", "fact_sales_weather_product"):
-        df = mart.tables()[name]
-        assert rows(df) == rows(lake.read(spark, name).select(*df.columns)), name
-
-
 def test_rejected_payloads_are_counted_and_missing_uploads_reported(spark, lake, tmp_path, caplog):
     bad = tmp_path / "landing" / "city=Leeds"
     bad.mkdir()

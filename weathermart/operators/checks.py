@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def sample(df: DataFrame, rows: int = 10) -> DataFrame:
-    return df.limit(rows)
+    """The first rows by date and city: any ten are a sample, these are the same every time."""
+    return df.orderBy("date", "city").limit(rows)
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -31,14 +32,6 @@ def average_sales(df: DataFrame, by: str) -> DataFrame:
     )
 
 
-def top_days(df: DataFrame, rows: int = 10) -> DataFrame:
-    return (
-        df.orderBy(F.desc("total_sales"), "date", "city")
-        .select("date", "city", "total_sales")
-        .limit(rows)
-    )
-
-
 def null_counts(df: DataFrame) -> DataFrame:
     """Number of nulls in every column, in one pass and one row."""
     return df.agg(*(F.sum(F.col(c).isNull().cast("int")).alias(c) for c in df.columns))
