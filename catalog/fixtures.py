@@ -138,6 +138,7 @@ def weather_payloads(weather: DataFrame) -> DataFrame:
             F.lit(51.5).alias("latitude"),
             F.lit(-0.13).alias("longitude"),
             F.lit("Europe/London").alias("timezone"),
+            F.lit(25.5).alias("elevation"),
             F.struct(F.lit("iso8601").alias("time"), F.lit("mm").alias("precipitation_sum")).alias(
                 "daily_units"
             ),
@@ -147,6 +148,7 @@ def weather_payloads(weather: DataFrame) -> DataFrame:
                 F.col("d.temp_min").alias("temperature_2m_min"),
                 F.col("d.precipitation").alias("precipitation_sum"),
                 F.transform("d", lambda day: F.lit(3).cast("bigint")).alias("weathercode"),
+                F.col("d.temp_max").alias("sunshine_duration"),
             ).alias("daily"),
         ).alias("document"),
     ).select("city", "year", F.to_json("document").alias("payload"))

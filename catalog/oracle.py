@@ -134,7 +134,8 @@ _WEEKDAY = (
     "CASE dayofweek(date) WHEN 0 THEN 'Sunday' WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday' "
     "WHEN 3 THEN 'Wednesday' WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday' ELSE 'Saturday' END"
 )
-_AVG, _SUM = _round("avg(total_sales)"), _round("sum(total_sales)")
+# A mean may end in half a cent; both engines round it up.
+_AVG, _SUM = "ROUND(avg(total_sales) + 1e-9, 2)", "ROUND(sum(total_sales), 2)"
 _TOTAL, _ROLLING = _round("total_sales"), _round("rolling_7d_sales", 4)
 _UPLOAD = (
     "InvoiceNo, StockCode, {}, Quantity, CAST(InvoiceDate AS DATE) AS InvoiceDate, UnitPrice, "
@@ -180,6 +181,17 @@ _SELECTS = {
                CAST({_META.format(-0.1278, -2.2426, -1.8904, -1.5491, -4.2518)} AS DOUBLE) AS lon,
                '2025-01-01T00:00:00+00:00' AS extracted_at, 'open_meteo_archive' AS source, days
         FROM payload_days WHERE {_REASON} IS NULL""",
+    "weather_raw_document": """
+        SELECT city, min(date) AS first_day, CAST(count(*) AS INTEGER) AS days,
+               25.5::DOUBLE AS elevation, sum(temp_max) AS sunshine,
+               '2025-01-01T00:00:00+00:00' AS extracted_at
+        FROM raw_weather GROUP BY city, substr(date, 1, 4)""",
+    "raw_sales_mixed_uploads": """
+        SELECT InvoiceNo, StockCode, CASE WHEN Description <> '' THEN Description END AS Description,
+               Quantity, UnitPrice, CustomerID,
+               CASE WHEN CAST(StockCode AS INTEGER) % 3 <> 1 THEN Country END AS Country, city,
+               CASE WHEN CAST(StockCode AS INTEGER) % 3 <> 0 THEN date END AS date
+        FROM bronze_sales""",
     "read_dispatch": """
         SELECT city, date, temp_max, temp_min, precipitation, f.format
         FROM raw_weather CROSS JOIN (VALUES ('parquet'), ('json')) AS f(format)""",
@@ -289,6 +301,12 @@ _SELECTS = {
     "report_top_days": f"""
         SELECT date, city, {_TOTAL} AS total_sales
         FROM (SELECT * FROM gold ORDER BY total_sales DESC, date, city LIMIT 10)""",
+    "report_sql_views": """
+        SELECT 'day' AS grain, city, count(*) AS rows, CAST(sum(is_rainy) AS BIGINT) AS rainy,
+               CAST(NULL AS BIGINT) AS units FROM gold GROUP BY city
+        UNION ALL
+        SELECT 'line', temp_category, count(*), CAST(sum(is_rainy) AS BIGINT),
+               CAST(sum(Quantity) AS BIGINT) FROM fact_product GROUP BY temp_category""",
     "report_top_days_label": f"""
         SELECT date, city, {_TOTAL} AS total_sales,
                CAST(date AS VARCHAR) || ' (' || city || ')' AS label

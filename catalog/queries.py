@@ -24,6 +24,7 @@ from weathermart.functions.measures import (
 )
 from weathermart.operators import bronze, checks, dedupe, dimensions, facts, gold, silver
 from weathermart.plans import reports
+from weathermart.schemas import RAW_SALES
 from weathermart.sources import tables, uploads, weather
 from weathermart.sources.paths import materialize, scratch_dir
 
@@ -133,6 +134,41 @@ def weather_enrich_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weather_raw_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields and series that no schema lists, as the raw layer holds them."""
+    landing, lake = scratch_dir(spark), scratch_dir(spark)
+    fx.write_payloads(fx.weather_payloads(fx.raw_weather(spark, sf_dir)), landing)
+    path = weather.land_payloads(spark, landing, lake, extracted_at=STAMP_1)
+    text = spark.read.schema("value string, city string").text(path, wholetext=True)
+    kind = "elevation double, daily struct<time: array<string>, sunshine_duration: array<double>>, "
+    doc = text.select("city", F.from_json("value", kind + "_meta struct<extracted_at: string>").alias("d"))
+    return doc.select(
+        "city",
+        F.array_min("d.daily.time").alias("first_day"),
+        F.size("d.daily.time").alias("days"),
+        "d.elevation",
+        F.aggregate("d.daily.sunshine_duration", F.lit(0.0), lambda a, x: a + x).alias("sunshine"),
+        "d._meta.extracted_at",
+    )
+
+
+def raw_sales_mixed_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three uploads, landed one by one: undated, without a country, with one more column."""
+    folder, lake = scratch_dir(spark), scratch_dir(spark)
+    text = materialize(fx.upload_text(fx.raw_sales(spark, sf_dir)), "upload_text")
+    third = F.col("StockCode").cast("int") % 3
+    uploads_ = [
+        text.filter(third == 0).drop("InvoiceDate"),
+        text.filter(third == 1).drop("Country"),
+        text.filter(third == 2).withColumn("GiftWrap", F.lit("no")),
+    ]
+    for number, upload in enumerate(uploads_):
+        fx.write_csv(upload, f"{folder}/{number}")
+        uploads.land_uploads(spark, f"{folder}/{number}", lake, ingested_at=STAMP_1)
+    raw = spark.read.schema(RAW_SALES).parquet(f"{lake}/raw/retail_sales/uci_online_retail")
+    return bronze.sales(raw, shift_months=fx.FIXTURE_OPTIONS.shift_months)
+
+
 def read_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark)
     flat = fx.raw_weather(spark, sf_dir)
@@ -374,10 +410,31 @@ def fact_product_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reports and checks ------------------------------------------------------
 
 
+# Added to every day's sales before a report rounds: engines add doubles in different
+# orders, and a mean that ends in half a cent must not hang on that.
+NUDGE = 1e-9
+
+
 def _report(function: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: rounded(
-        function(fx.mart(spark, sf_dir).gold_sales_weather), **SALES_PLACES
-    )
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        gold = fx.mart(spark, sf_dir).gold_sales_weather
+        nudged = gold.withColumn("total_sales", F.col("total_sales") + NUDGE)
+        return rounded(function(nudged), **SALES_PLACES)
+
+    return query
+
+
+def report_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = fx.stored_mart(spark, sf_dir)
+    reports.register_views(mart.gold_sales_weather, mart.fact_sales_weather_product)
+    return spark.sql("""
+        SELECT 'day' AS grain, city, count(*) AS rows, CAST(sum(is_rainy) AS BIGINT) AS rainy,
+               CAST(NULL AS BIGINT) AS units
+        FROM sales_weather GROUP BY city
+        UNION ALL
+        SELECT 'line', temp_category, count(*), CAST(sum(is_rainy) AS BIGINT),
+               CAST(sum(Quantity) AS BIGINT)
+        FROM fact_sales_weather_product GROUP BY temp_category""")
 
 
 def report_rainy_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,6 +473,8 @@ def queries() -> dict[str, Query]:
         "weather_payload_valid": weather_payload_valid,
         "weather_payload_rejects": weather_payload_rejects,
         "weather_enrich_meta": weather_enrich_meta,
+        "weather_raw_document": weather_raw_document,
+        "raw_sales_mixed_uploads": raw_sales_mixed_uploads,
         "read_dispatch": read_dispatch,
         "write_dispatch": write_dispatch,
         "schema_evolution": schema_evolution,
@@ -451,6 +510,7 @@ def queries() -> dict[str, Query]:
         "fact_sales_weather_product": fact_sales_weather_product,
         "fact_product_matched": fact_product_matched,
         **{f"report_{name}": _report(fn) for name, fn in reports.GOLD_REPORTS.items()},
+        "report_sql_views": report_sql_views,
         "report_top_days_label": _report(reports.top_days_label),
         "report_rainy_products": report_rainy_products,
         "report_rainy_products_from_fact": report_rainy_products_from_fact,

@@ -3,9 +3,10 @@ import os
 
 import pytest
 from conftest import plan, rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from weathermart.schemas import RETAIL_UPLOAD
+from weathermart.schemas import RAW_SALES, RETAIL_UPLOAD
 from weathermart.sources import uploads
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -255,10 +256,10 @@ def test_first_known_date_column_wins(columns, expected):
     assert uploads.date_column(columns) == expected
 
 
-def test_frames_without_a_date_column_stay_unpartitioned(spark):
+def test_frames_without_a_date_column_have_empty_parts(spark):
     df = spark.createDataFrame([(1,)], "x int")
-    same, parts = uploads.with_year_month(uploads.parse_date_column(df))
-    assert parts == [] and same.columns == ["x"]
+    parted, parts = uploads.with_year_month(uploads.parse_date_column(df))
+    assert parts == ["year", "month"] and rows(parted) == [(1, None, None)]
 
 
 def test_landing_partitions_by_month_and_appends(spark, tmp_path):
@@ -315,10 +316,49 @@ def test_the_date_column_is_detected_per_file(spark, tmp_path):
     assert spark.read.parquet(path).select("_ingested_at").distinct().count() == 1
 
 
-def test_uploads_without_any_date_land_unpartitioned(spark, tmp_path):
-    put(tmp_path / "in", "a.csv", "1,x", header="sku,name\n")
-    path = uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
-    assert rows(spark.read.parquet(path).select("sku", "name")) == [("1", "x")]
+def test_undated_uploads_stay_visible_beside_dated_ones(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "1,x", header="StockCode,name\n")
+    uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
+    put(tmp_path / "more", "b.csv", "1,A,x,1,1/5/2011 8:26,2.5,1,UK")
+    path = uploads.land_uploads(spark, str(tmp_path / "more"), str(tmp_path / "lake"))
+    found = spark.read.schema(RAW_SALES).parquet(path)
+    columns = ("_source_file", "StockCode", "Quantity", "Country", "year", "month")
+    assert rows(found.select(*columns)) == [
+        ("a.csv", "1", None, None, None, None), ("b.csv", "A", 1, "UK", 2011, "01"),
+    ]
+
+
+def test_file_names_are_taken_literally(spark, tmp_path):
+    names = ["s_201?.csv", "s_2011.csv", "s [2011].csv", "s*.csv", "a{1,2}.csv", "a1.csv", "b\\c.csv"]
+    for number, name in enumerate(names):
+        turned = name in ("s_2011.csv", "a1.csv")
+        header = "StockCode,InvoiceNo\n" if turned else "InvoiceNo,StockCode\n"
+        put(tmp_path, name, f"S,{number}" if turned else f"{number},S", header=header)
+    assert rows(scan(spark, tmp_path).select("InvoiceNo", "StockCode")) == [
+        (str(number), "S") for number in range(len(names))
+    ]
+    assert rows(scan(spark, tmp_path, file_name="s_201?.csv").select("InvoiceNo")) == [("0",)]
+
+
+def test_common_date_layouts_and_the_count_of_unreadable_ones(spark, tmp_path):
+    texts = [
+        "12/1/2010 8:26", "12/1/2010 8:26:00", "2010/12/01 08:26", "01-Dec-2010 08:26",
+        "12/1/2010 8:26 AM", "1.12.2010 8:26", "12/1/10 8:26", "2010-12-01T08:26:00",
+    ]
+    days = ["20101201", "Dec 1 2010", "13.01.2010"]
+    lines = [f"{i:02},A,x,1,{t},2.5,1,UK" for i, t in enumerate([*texts, *days, "soon", ""])]
+    put(tmp_path / "in", "a.csv", *lines)
+    moment, day = dt.datetime(2010, 12, 1, 8, 26), dt.datetime(2010, 12, 1)
+    expected = [moment] * len(texts) + [day, day, dt.datetime(2010, 1, 13), None, None]
+    found = scan(spark, tmp_path / "in").orderBy("InvoiceNo").select("InvoiceDate").collect()
+    assert [row.InvoiceDate for row in found] == expected
+    seen = Observation()
+    uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"), dates=seen)
+    assert seen.get["unreadable_dates"] == 1
+    own = ("yyyy~MM~dd",)
+    put(tmp_path / "own", "a.csv", "1,A,x,1,2010~12~01,2.5,1,UK")
+    path = uploads.land_uploads(spark, str(tmp_path / "own"), f"{tmp_path}/own-lake", formats=own)
+    assert spark.read.parquet(path).first().InvoiceDate == day
 
 
 @pytest.mark.parametrize("quantity", ["6.5D", "3000000000L"])

@@ -86,6 +86,27 @@ def test_landing_keeps_documents_and_city_names_with_spaces(spark, tmp_path):
     ]
 
 
+def test_whole_documents_are_landed(spark, tmp_path):
+    landing, lake = tmp_path / "in", tmp_path / "lake"
+    whole = payload(sunshine_duration=[4, 5.5]) | {"elevation": 25, "generationtime_ms": 0.25}
+    put(landing, "London", whole)
+    weather.land_payloads(spark, str(landing), str(lake), extracted_at="t1")
+    landed = json.loads(next((lake / "raw").glob("**/*.txt")).read_text())
+    assert landed.pop("_meta")["extracted_at"] == "t1"
+    assert landed == whole and isinstance(landed["daily"]["sunshine_duration"][0], int)
+
+
+def test_a_bad_cell_is_null_alone(spark, tmp_path):
+    landing, lake = tmp_path / "in", tmp_path / "lake"
+    put(landing, "London", payload(temperature_2m_max=["n/a", 9.5], weathercode=[3.0, 61]))
+    read = weather.valid_payloads(weather.read_payloads(spark, str(landing))).first()
+    assert (read.daily.temperature_2m_max, read.daily.weathercode) == ([None, 9.5], [3, 61])
+    path = weather.land_payloads(spark, str(landing), str(lake))
+    assert bronze_rows(spark, path) == [
+        ("London", "2022-01-01", None, 2.0, 0.0), ("London", "2022-01-02", 9.5, None, 1.5),
+    ]
+
+
 def test_unequal_arrays_pad_with_nulls(spark, tmp_path):
     put(tmp_path, "London", payload(precipitation_sum=[3.0]))
     assert bronze_rows(spark, tmp_path) == [

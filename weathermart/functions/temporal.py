@@ -7,8 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date layouts accepted in uploads beside ISO text.
-UPLOAD_DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy")
+# Date layouts accepted in uploads beside ISO text, first match wins. Where
+# day and month could be told either way the month goes first, as in pandas.
+UPLOAD_DATE_FORMATS = (
+    "M/d/yyyy[ H:mm[:ss]]",
+    "M/d/yyyy h:mm[:ss] a",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "d.M.yyyy[ H:mm[:ss]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "M/d/yy[ H:mm[:ss]]",
+    "MMM d yyyy[ H:mm[:ss]]",
+    "yyyyMMdd",
+)
 
 # Names for dayofweek(), which counts from 1 = Sunday.
 WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")

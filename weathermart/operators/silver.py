@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weathermart.schemas import check_contract
@@ -41,17 +41,18 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     )
 
 
-def weather(bronze_weather: DataFrame) -> DataFrame:
+def weather(bronze_weather: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Daily weather with a real DATE key, cast once here instead of in every join.
 
-    A date that cannot be read could never match a sale, so its row is dropped.
+    A date that cannot be read could never match a sale, so its row is dropped;
+    ``observation`` counts these as ``unreadable_dates``.
     """
-    return check_contract(
-        bronze_weather.select(
-            F.col("date").try_cast("date").alias("date"),
-            "city",
-            ((F.col("temp_max") + F.col("temp_min")) / 2).alias("avg_temp"),
-            "precipitation",
-        ).filter(F.col("date").isNotNull()),
-        "silver_weather",
+    days = bronze_weather.select(
+        F.col("date").try_cast("date").alias("date"),
+        "city",
+        ((F.col("temp_max") + F.col("temp_min")) / 2).alias("avg_temp"),
+        "precipitation",
     )
+    if observation is not None:
+        days = days.observe(observation, F.count_if(F.col("date").isNull()).alias("unreadable_dates"))
+    return check_contract(days.filter(F.col("date").isNotNull()), "silver_weather")

@@ -15,15 +15,22 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from weathermart.functions.cities import CITIES, City
+from weathermart.functions.temporal import UPLOAD_DATE_FORMATS
 from weathermart.operators import bronze, dedupe, dimensions, facts, gold, silver
 from weathermart.plans.mart import Options
-from weathermart.schemas import CONTRACTS, RETAIL_UPLOAD, check_contract
+from weathermart.schemas import (
+    CONTRACTS,
+    RAW_SALES,
+    RETAIL_UPLOAD,
+    WEATHER_DAYS,
+    check_contract,
+)
 from weathermart.sources import tables, uploads, weather
 from weathermart.sources.paths import layer_path, materialize
 
 logger = logging.getLogger(__name__)
 
-# Where each table lives below the lake root: layer, entity, source.
+# Where each table lives below the lake root: layer, entity, source.
 LOCATIONS = {
     "raw_sales": ("raw", "retail_sales", "uci_online_retail"),
     "raw_weather": ("raw", "weather", "open_meteo"),
@@ -53,6 +60,7 @@ class Lake:
     upload_multiline: bool = False
     upload_encoding: str | None = None
     upload_rebalance: bool = True
+    upload_date_formats: Sequence[str] = UPLOAD_DATE_FORMATS
     format: str = "parquet"
     options: Options = Options()
     cities: Sequence[City] = field(default=CITIES)
@@ -111,7 +119,7 @@ def _land_weather(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def _land_retail(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    seen = Observation("raw_sales")
+    seen, dates = Observation("raw_sales"), Observation("raw_sales_dates")
     landed = uploads.land_uploads(
         spark,
         lake.uploads,
@@ -123,15 +131,19 @@ def _land_retail(spark: SparkSession, lake: Lake) -> dict[str, int]:
         encoding=lake.upload_encoding,
         rebalance=lake.upload_rebalance,
         observation=seen,
+        formats=lake.upload_date_formats,
+        dates=dates,
     )
     if landed is None:
         logger.warning("no uploads in %s", lake.uploads)
         return {"raw_sales": 0}
+    if unreadable := dates.get["unreadable_dates"]:
+        logger.warning("%d upload rows have a date that no format reads", unreadable)
     return {"raw_sales": seen.get["rows"]}
 
 
 def _bronze_sales(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    raw = spark.read.parquet(lake.path("raw_sales"))
+    raw = spark.read.schema(RAW_SALES).parquet(lake.path("raw_sales"))
     if lake.latest_only:
         raw = dedupe.latest_uploads(raw, materialize(dedupe.newest_batches(raw), "newest_batches"))
     names = lake.options.cities or [city.name for city in lake.cities]
@@ -139,7 +151,7 @@ def _bronze_sales(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def _bronze_weather(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    documents = weather.read_documents(spark, lake.path("raw_weather"))
+    documents = weather.read_documents(spark, lake.path("raw_weather"), WEATHER_DAYS)
     if lake.latest_only:
         days = dedupe.latest_weather(bronze.zip_days(documents))
     else:
@@ -155,8 +167,12 @@ def _silver_sales(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def _silver_weather(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    days = silver.weather(lake.read(spark, "bronze_weather"))
-    return lake.write(days, "silver_weather", "city")
+    seen = Observation("bronze_weather_days")
+    days = silver.weather(lake.read(spark, "bronze_weather"), seen)
+    counts = lake.write(days, "silver_weather", "city")
+    if dropped := seen.get["unreadable_dates"]:
+        logger.warning("%d weather days have an unreadable date and were dropped", dropped)
+    return counts
 
 
 def _gold(spark: SparkSession, lake: Lake) -> dict[str, int]:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weathermart.functions.measures import round_half_up
 from weathermart.functions.temporal import weekday_name
 from weathermart.operators.gold import join_weather
 
@@ -22,11 +21,11 @@ def register_views(gold: DataFrame, fact_product: DataFrame | None = None) -> No
 
 
 def _average(gold: DataFrame, *keys: str | Column) -> DataFrame:
-    return gold.groupBy(*keys).agg(round_half_up(F.avg("total_sales")).alias("avg_sales"))
+    return gold.groupBy(*keys).agg(F.round(F.avg("total_sales"), 2).alias("avg_sales"))
 
 
 def _revenue(gold: DataFrame, *keys: Column) -> DataFrame:
-    return gold.groupBy(*keys).agg(round_half_up(F.sum("total_sales")).alias("revenue"))
+    return gold.groupBy(*keys).agg(F.round(F.sum("total_sales"), 2).alias("revenue"))
 
 
 def temperature(gold: DataFrame) -> DataFrame:

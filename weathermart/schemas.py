@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 STRING, INT, LONG = StringType(), IntegerType(), LongType()
@@ -41,7 +42,18 @@ RETAIL_UPLOAD = columns(
     Country=STRING,
 )
 
-# The series of a weather document: parallel arrays, one element per day.
+# Uploads in the raw layer. Files may hold more columns; these are always there.
+RAW_SALES = StructType(
+    [
+        *(
+            StructField("InvoiceDate", TimestampType()) if f.name == "InvoiceDate" else f
+            for f in RETAIL_UPLOAD.fields
+        ),
+        *columns(_source_file=STRING, _entity=STRING, _ingested_at=STRING, year=INT, month=STRING),
+    ]
+)
+
+# The series of a weather document, parallel arrays, one element per day.
 _SERIES = {
     "time": STRING,
     "temperature_2m_max": DOUBLE,
@@ -82,6 +94,23 @@ WEATHER_DOCUMENT = StructType(
     ]
 )
 
+# What the bronze layer takes of a raw weather document.
+WEATHER_DAYS = StructType(
+    [
+        StructField(
+            "daily",
+            columns(
+                time=ArrayType(STRING),
+                temperature_2m_max=ArrayType(DOUBLE),
+                temperature_2m_min=ArrayType(DOUBLE),
+                precipitation_sum=ArrayType(DOUBLE),
+            ),
+        ),
+        StructField("_meta", columns(extracted_at=STRING)),
+        StructField("city", STRING),
+    ]
+)
+
 CONTRACTS: dict[str, StructType] = {
     "bronze_sales": columns(
         InvoiceNo=STRING,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def literal_path(path: str) -> str:
+    """``path`` for a reader that expands patterns, with its own ``* ? [ ] { }`` escaped."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
 def plain_path(uri: Column) -> Column:
     """Undo the URI escapes of ``_metadata`` file names; a plus sign is literal there."""
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))

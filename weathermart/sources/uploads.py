@@ -23,7 +23,7 @@ from pyspark.sql.types import (
 
 from weathermart.functions.temporal import UPLOAD_DATE_FORMATS, parse_timestamp
 from weathermart.schemas import RETAIL_UPLOAD
-from weathermart.sources.paths import layer_path, plain_path
+from weathermart.sources.paths import layer_path, literal_path, plain_path
 from weathermart.sources.tables import write
 
 # Column names that mark the invoice date, first match wins.
@@ -37,7 +37,7 @@ NULL_MARKERS = (
 
 SOURCE_FILE, ENTITY, INGESTED_AT = "_source_file", "_entity", "_ingested_at"
 
-_MALFORMED = "__malformed"
+_MALFORMED, _UNREADABLE = "__malformed", "__unreadable_date"
 
 
 def list_uploads(spark: SparkSession, directory: str, file_name: str | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def list_uploads(spark: SparkSession, directory: str, file_name: str | None = No
         reader = reader.option("pathGlobFilter", "*.{csv,parquet}")
         target = directory
     else:
-        target = f"{directory.rstrip('/')}/{file_name}"
+        target = f"{directory.rstrip('/')}/{literal_path(file_name)}"
     try:
         return reader.load(target).select("path")
     except AnalysisException as error:
@@ -68,7 +68,7 @@ def inspect_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """
     at_start = F.col("_metadata.file_block_start") == 0
     return (
-        spark.read.text(list(paths))
+        spark.read.text([literal_path(path) for path in paths])
         .filter(F.col("value") != "")
         .select(
             F.col("_metadata.file_path").alias("uri"),
@@ -147,7 +147,7 @@ def _scan_csv_layout(
     if check_header:
         names = schema.names
     else:
-        names = spark.read.options(**options).csv(paths[0]).columns
+        names = spark.read.options(**options).csv(literal_path(paths[0])).columns
     declared = {f.name.lower(): f.dataType for f in schema.fields}
     # Cells are read as text, so that a null marker in a number is not an error.
     text = StructType([StructField(name, StringType()) for name in [*names, _MALFORMED]])
@@ -155,7 +155,7 @@ def _scan_csv_layout(
     return (
         spark.read.schema(text)
         .options(**options)
-        .csv(list(paths))
+        .csv([literal_path(path) for path in paths])
         .filter(_well_formed(list(cells.values())))
         .select(
             *(
@@ -218,7 +218,7 @@ def scan_parquet(
 
     The date column keeps its own type here, since uploads carry real timestamps.
     """
-    df = spark.read.option("mergeSchema", True).parquet(*paths)
+    df = spark.read.option("mergeSchema", True).parquet(*map(literal_path, paths))
     declared = {f.name.lower(): f.dataType for f in schema.fields if f.name not in DATE_COLUMNS}
     return df.select(
         *(
@@ -231,6 +231,18 @@ def scan_parquet(
     )
 
 
+def _complete(df: DataFrame, schema: StructType) -> DataFrame:
+    """Add the declared columns that the frame lacks, null; the date column as a timestamp."""
+    present = {name.lower() for name in df.columns}
+    return df.withColumns(
+        {
+            f.name: F.lit(None).cast("timestamp" if f.name in DATE_COLUMNS else f.dataType)
+            for f in schema.fields
+            if f.name.lower() not in present
+        }
+    )
+
+
 def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
@@ -255,28 +267,35 @@ def date_column(columns: Sequence[str]) -> str | None:
 
 
 def parse_date_column(
-    df: DataFrame, formats: Sequence[str] = UPLOAD_DATE_FORMATS
+    df: DataFrame, formats: Sequence[str] = UPLOAD_DATE_FORMATS, unreadable: str | None = None
 ) -> DataFrame:
-    """Turn the detected date column into a timestamp; bad text becomes null."""
+    """Turn the detected date column into a timestamp; bad text becomes null.
+
+    ``unreadable`` names a boolean column to add that marks text which no format reads.
+    """
     name = date_column(df.columns)
     if name is None:
-        return df
+        return df if unreadable is None else df.withColumn(unreadable, F.lit(False))
     kind = df.schema[name].dataType
     if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
-        return df.withColumn(name, F.col(name).cast("timestamp"))
-    return df.withColumn(name, parse_timestamp(F.col(name).cast("string"), formats))
+        dated = df.withColumn(name, F.col(name).cast("timestamp"))
+        return dated if unreadable is None else dated.withColumn(unreadable, F.lit(False))
+    parsed = parse_timestamp(F.col(name).cast("string"), formats)
+    if unreadable is not None:
+        df = df.withColumn(unreadable, F.col(name).isNotNull() & parsed.isNull())
+    return df.withColumn(name, parsed)
 
 
 def with_year_month(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Add ``year`` and zero-padded ``month`` of the date column, if there is one.
+    """Add ``year`` and zero-padded ``month`` of the date column.
 
-    Returns the frame and its partition columns. Rows without a readable date
-    keep null parts and land in Hive's default partition.
+    Returns the frame and its partition columns. Rows without a readable date, and
+    frames without a date column, keep null parts and land in Hive's default
+    partition, so that a table has one layout whatever arrives first.
     """
     name = date_column(df.columns)
-    if name is None:
-        return df, []
-    parts = {"year": F.year(name), "month": F.date_format(name, "MM")}
+    moment = F.lit(None).cast("timestamp") if name is None else F.col(name)
+    parts = {"year": F.year(moment), "month": F.date_format(moment, "MM")}
     return df.withColumns(parts), list(parts)
 
 
@@ -295,10 +314,12 @@ def scan_uploads(
     schema: StructType = RETAIL_UPLOAD,
     multiline: bool = False,
     encoding: str | None = None,
+    formats: Sequence[str] = UPLOAD_DATE_FORMATS,
+    unreadable: str | None = None,
 ) -> list[DataFrame]:
     """Uploads of a folder, one frame per file layout, with parsed dates.
 
-    The date column is detected per layout. Frames keep the hidden ``_metadata``
+    The date column is detected per layout and read by ``formats``; see ``parse_date_column``. Frames keep the hidden ``_metadata``
     struct as a column, for ``add_provenance``.
     """
     by_suffix = _paths_by_suffix(list_uploads(spark, directory, file_name))
@@ -313,7 +334,7 @@ def scan_uploads(
         )
     if "parquet" in by_suffix:
         frames.append(scan_parquet(spark, by_suffix["parquet"], schema))
-    return [parse_date_column(df) for df in frames]
+    return [parse_date_column(df, formats, unreadable) for df in frames]
 
 
 def read_uploads(
@@ -336,9 +357,10 @@ def validate_uploads(
     paths = _paths_by_suffix(listed)
     scans = []
     if "csv" in paths:
-        scans.append(spark.read.schema(schema).option("header", True).csv(paths["csv"]))
+        listed_csv = [literal_path(path) for path in paths["csv"]]
+        scans.append(spark.read.schema(schema).option("header", True).csv(listed_csv))
     if "parquet" in paths:
-        scans.append(spark.read.parquet(*paths["parquet"]))
+        scans.append(spark.read.parquet(*map(literal_path, paths["parquet"])))
     report = listed.withColumn("rows", F.lit(0).cast("bigint"))
     for scan in scans:
         report = report.unionByName(
@@ -368,25 +390,33 @@ def land_uploads(
     encoding: str | None = None,
     rebalance: bool = True,
     observation: Observation | None = None,
+    formats: Sequence[str] = UPLOAD_DATE_FORMATS,
+    dates: Observation | None = None,
 ) -> str | None:
     """Append uploads to the raw layer by year and month; returns the table path.
 
     Appending twice keeps both batches, told apart by ``_ingested_at``. Returns
     ``None`` if the folder holds no uploads. Uploads whose lines are in date order
     touch few months per task and can do without the shuffle of ``rebalance``.
-    ``observation`` collects ``rows``.
+    ``observation`` collects ``rows``, ``dates`` the number of ``unreadable_dates``.
+    Declared columns that an upload lacks are written as nulls of their type.
     """
     if format not in ("parquet", "csv"):
         raise ValueError(f"Unsupported output format: {format}")
-    frames = scan_uploads(spark, directory, file_name, schema, multiline, encoding)
+    frames = scan_uploads(
+        spark, directory, file_name, schema, multiline, encoding, formats, _UNREADABLE
+    )
     if not frames:
         return None
     stamp = ingested_at or utc_now()
     parted = [
         with_year_month(add_provenance(df, entity, stamp).drop("_metadata")) for df in frames
     ]
-    landed = _union([df for df, _ in parted])
-    partition_cols = max((columns for _, columns in parted), key=len)
+    landed = _union([_complete(df, schema) for df, _ in parted])
+    if dates is not None:
+        landed = landed.observe(dates, F.count_if(_UNREADABLE).alias("unreadable_dates"))
+    landed = landed.drop(_UNREADABLE)
+    partition_cols = parted[0][1]
     path = layer_path(lake_root, "raw", entity, source)
     write(
         landed,
@@ -394,7 +424,7 @@ def land_uploads(
         format,
         partition_cols,
         mode="append",
-        rebalance=rebalance and bool(partition_cols),
+        rebalance=rebalance,
         observation=observation,
     )
     return path
