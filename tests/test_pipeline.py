@@ -227,15 +227,12 @@ def test_scratch_is_a_fresh_path_in_the_shared_folder():
     assert first != second and first.startswith("s3://bucket/shared/weathermart/")
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        paths.scratch_dir(Session(spark__master="yarn"))
-
-
-def test_a_local_session_gets_one_folder_of_its_own():
-    session = Session(spark__master="local[2]", spark__app__id="app-1")
+@pytest.mark.parametrize("master", ["yarn", "local[2]"])
+def test_scratch_goes_to_the_warehouse_where_no_folder_is_named(master):
+    options = {"spark__master": master, "spark__app__id": "app-1"}
+    session = Session(spark__sql__warehouse__dir="s3://bucket/warehouse", **options)
     roots = {paths.scratch_dir(session).rsplit("/", 1)[0] for _ in range(2)}
-    assert len(roots) == 1
+    assert roots == {"s3://bucket/warehouse/weathermart/app-1"}
 
 
 def test_materialized_tables_are_read_back_whole(spark):
@@ -251,7 +248,10 @@ def test_layer_paths():
 
 
 def test_documents_append(spark, tmp_path):
-    days = spark.createDataFrame([("London", 1.0)], "city string, latitude double")
+    days = spark.createDataFrame(
+        [("London", '{"latitude": 1.0}', ("t1",))],
+        "city string, payload string, _meta struct<extracted_at: string>",
+    )
     weather.write_documents(days, str(tmp_path))
     weather.write_documents(days, str(tmp_path))
     assert len(list(tmp_path.glob("city=London/*.txt"))) == 2
