@@ -143,5 +143,55 @@ def queries() -> dict[str, Query]:
     }
 
 
+# Limits are those of line_rules.LIMITS, written out so that the SQL stands alone.
+OP5_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source AS host, coalesce(text, '') AS txt FROM documents),
+split AS (
+  SELECT DISTINCT host, txt,
+         list_filter(string_split_regex(txt, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(txt, chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM docs),
+windows AS (
+  SELECT txt, i, count(*) OVER (PARTITION BY txt, w[i], w[i + 1], w[i + 2]) AS times
+  FROM (SELECT txt, w, unnest(range(1, len(w) - 1)) AS i FROM (SELECT DISTINCT txt, w FROM split))),
+repeats AS (
+  SELECT txt, CAST(sum(covered) AS BIGINT) AS n
+  FROM (SELECT txt, least(3, coalesce(lead(i) OVER (PARTITION BY txt ORDER BY i) - i, 3)) AS covered
+        FROM windows WHERE times > 1)
+  GROUP BY txt),
+facts AS (
+  SELECT host, split.txt, l, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(split.txt, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words
+  FROM split LEFT JOIN repeats ON split.txt = repeats.txt),
+lines AS (
+  SELECT host, txt,
+         regexp_replace(lower(regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')),
+                        '[0-9]+', '0', 'g') AS line,
+         len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS n
+  FROM (SELECT host, txt, unnest(l) AS x FROM facts)),
+frequent AS (
+  SELECT lines.host, line FROM lines
+       JOIN (SELECT host, count(*) AS texts FROM facts GROUP BY host) h
+         ON lines.host IS NOT DISTINCT FROM h.host
+  GROUP BY lines.host, line, texts
+  HAVING count(DISTINCT txt) > 10 AND count(DISTINCT txt) > 0.01 * texts),
+removed AS (
+  SELECT lines.host, txt, CAST(sum(n) AS BIGINT) AS words_removed
+  FROM lines JOIN frequent f ON lines.host IS NOT DISTINCT FROM f.host AND lines.line = f.line
+  GROUP BY lines.host, txt),
+judged AS (
+  SELECT f.*, coalesce(words_removed, 0) AS words_removed,
+         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM facts f LEFT JOIN removed r ON f.host IS NOT DISTINCT FROM r.host AND f.txt = r.txt)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT words_removed > 0.5 * n_words AS kept, words_removed
+FROM docs JOIN judged j ON docs.host IS NOT DISTINCT FROM j.host AND docs.txt = j.txt"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_line_frequency": OP5_SQL}
