@@ -193,5 +193,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM docs JOIN judged j ON docs.host IS NOT DISTINCT FROM j.host AND docs.txt = j.txt"""
 
 
+# Every pair that shares a shingle is counted here, so this is for small tables.
+OP10_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs d LEFT JOIN sizes s ON d.doc_id = s.doc_id
+     JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON d.doc_id = r.a"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_frequency": OP5_SQL}
+    return {"op5_line_frequency": OP5_SQL, "op10_jaccard_join": OP10_SQL}
