@@ -159,7 +159,7 @@ def test_rejected_payloads_are_counted_and_missing_uploads_reported(spark, lake,
 
 def test_options_reach_the_stages(spark, lake):
     options = Options(product_match="code_and_description", rolling_frame="days")
-    counts = pipeline.run(spark, dataclasses.replace(lake, options=options))
+    counts = pipeline.run(spark, dataclasses.replace(lake, options=options, line_rebalance=True))
     assert counts["fact_sales_weather_product"] == 4
     unshifted = dataclasses.replace(lake, options=Options(shift_months=0))
     pipeline.run(spark, unshifted, ["sales_bronze"])

@@ -48,6 +48,8 @@ class Lake:
 
     ``format`` is the table format of silver and gold; bronze is always Parquet.
     The ``upload_`` fields are passed to ``uploads.land_uploads``.
+    ``line_rebalance`` shuffles the line tables of bronze and silver by city before they
+    are written: fewer files where there are many cities, for one shuffle of all lines.
     ``latest_only`` keeps only the newest ingestion run of each upload and of each
     weather day, instead of every appended one.
     """
@@ -61,6 +63,7 @@ class Lake:
     upload_encoding: str | None = None
     upload_rebalance: bool = True
     upload_date_formats: Sequence[str] = UPLOAD_DATE_FORMATS
+    line_rebalance: bool = False
     format: str = "parquet"
     options: Options = Options()
     cities: Sequence[City] = field(default=CITIES)
@@ -147,7 +150,8 @@ def _bronze_sales(spark: SparkSession, lake: Lake) -> dict[str, int]:
     if lake.latest_only:
         raw = dedupe.latest_uploads(raw, materialize(dedupe.newest_batches(raw), "newest_batches"))
     names = lake.options.cities or [city.name for city in lake.cities]
-    return lake.write(bronze.sales(raw, names, lake.options.shift_months), "bronze_sales", "city")
+    lines = bronze.sales(raw, names, lake.options.shift_months)
+    return lake.write(lines, "bronze_sales", "city", lake.line_rebalance)
 
 
 def _bronze_weather(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -161,7 +165,7 @@ def _bronze_weather(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 def _silver_sales(spark: SparkSession, lake: Lake) -> dict[str, int]:
     lines = silver.product_grain(lake.read(spark, "bronze_sales"))
-    counts = lake.write(lines, "silver_product_grain", "city")
+    counts = lake.write(lines, "silver_product_grain", "city", lake.line_rebalance)
     daily = silver.daily_sales(lake.read(spark, "silver_product_grain"))
     return counts | lake.write(daily, "silver_sales_daily", "city")
 
