@@ -357,6 +357,35 @@ def test_values_keep_their_format_and_stay_linked(spark):
     assert pseudonyms.rewrite(new, b"key", back=True)[0] == text
 
 
+def test_values_before_further_numbers_and_capitals_are_replaced():
+    card, account = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+    alone = pseudonyms.rewrite(card, b"key")[0]
+    for text in (f"card {card} 12/27", f"card {card} 123", f"no. 12 {card}", f"{card} {card} 7"):
+        new, counts = pseudonyms.rewrite(text, b"key")
+        assert new == text.replace(card, alone) and counts == {"card": text.count(card)}
+        assert pseudonyms.rewrite(new, b"key", back=True)[0] == text
+    joined = "4111111111111111 123"
+    assert pseudonyms.rewrite(joined, b"key") == (f"{alone.replace(' ', '')} 123", {"card": 1})
+    alone = pseudonyms.rewrite(account, b"key")[0]
+    for text in (f"IBAN {account} BIC COBADEFF", f"{account} AB12 NEXT", f"XX11 {account} COBADEFFXXX"):
+        new, counts = pseudonyms.rewrite(text, b"key")
+        assert new == text.replace(account, alone) and counts == {"iban": 1}
+        assert pseudonyms.rewrite(new, b"key", back=True)[0] == text
+
+
+def test_ambiguous_runs_of_digits_are_undone():
+    draw = random.Random(8)
+    found = 0
+    for _ in range(400):
+        text = " ".join(
+            "".join(str(draw.randrange(10)) for _ in range(draw.randrange(1, 8))) for _ in range(6)
+        )
+        new, counts = pseudonyms.rewrite(text, b"key")
+        found += counts.get("card", 0)
+        assert pseudonyms.rewrite(new, b"key", back=True)[0] == text
+    assert found > 50
+
+
 # --- passages ------------------------------------------------------------------------
 
 

@@ -92,6 +92,8 @@ def card(text: str, key: bytes, back: bool = False) -> str | None:
 def iban(text: str, key: bytes, back: bool = False) -> str | None:
     """A valid IBAN; country and layout of letters stay, the check digits fit again."""
     plain = text.replace(" ", "")
+    if len(plain) < 15:
+        return None
 
     def rest(country: str, check: str, account: str) -> int:
         return int("".join(str(int(c, 36)) for c in account + country + check)) % 97
@@ -184,12 +186,52 @@ def email(text: str, key: bytes, back: bool = False) -> str | None:
     return f"{_mixed(name, key, 'name', back)}@{_mixed(host, key, 'host', back)}.{top}"
 
 
+def _whole(match: str) -> list[int]:
+    return [len(match)]
+
+
+def _prefixes(match: str) -> list[int]:
+    """The match and its prefixes that end before a separator, longest first."""
+    return [len(match), *(m.start() for m in reversed(list(re.finditer(r"[ -]", match))))]
+
+
+_CARD_LAYOUT = re.compile(r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])")
+
+
+def card_lengths(match: str) -> list[int]:
+    """What of a run of digits to read as a card: a usual layout first, then the longest."""
+    usual = _CARD_LAYOUT.match(match)
+    return list(dict.fromkeys([*([usual.end()] if usual else []), *_prefixes(match)]))
+
+
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    code: int(length)
+    for length, codes in {
+        "15": "NO", "16": "BE", "18": "DK FI FK FO GL NL SD", "19": "MK SI",
+        "20": "AT BA EE KZ LT LU MN XK", "21": "CH HR LI LV", "22": "BG BH CR DE GB GE IE ME RS VA",
+        "23": "AE GI IL IQ OM SO TL", "24": "AD CZ ES MD PK RO SA SE SK TN VG", "25": "LY PT ST",
+        "26": "IS TR", "27": "BI DJ FR GR IT MC MR SM", "28": "AL AZ BY CY DO GT HU LB NI PL SV",
+        "29": "BR EG PS QA UA", "30": "JO KW MU YE", "31": "MT SC", "32": "LC", "33": "RU",
+    }.items()
+    for code in codes.split()
+}
+
+
+def iban_lengths(match: str) -> list[int]:
+    """What of a run of capitals and digits to read as an IBAN: the country's length first."""
+    ends = _prefixes(match)
+    own = [e for e in ends if len(match[:e].replace(" ", "")) == IBAN_LENGTHS.get(match[:2])]
+    return list(dict.fromkeys(own + ends))
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
     pattern: str
     replace: Callable[[str, bytes, bool], str | None]
-
+    # Lengths of a match's prefixes, in the order in which they are tried.
+    lengths: Callable[[str], list[int]] = _whole
 
 
 def _alone(pattern: str) -> str:
@@ -199,7 +241,7 @@ def _alone(pattern: str) -> str:
 # Where two kinds match at one place the first that validates wins.
 KINDS = (
     Kind("email", r"[^\s@<>\"',;:()\[\]]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", email),
-    Kind("iban", _alone(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"), iban),
+    Kind("iban", _alone(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}"), iban, iban_lengths),
     Kind(
         "phone",
         r"(?<![0-9A-Za-z])\+(?:[0-9]{1,3} ?\([0-9]{2,4}\) ?[0-9]{3,4}[-. ]?[0-9]{3,4}"
@@ -207,7 +249,7 @@ KINDS = (
         phone,
     ),
     Kind("phone", r"\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9A-Za-z])", phone),
-    Kind("card", _alone(r"[0-9](?:[ -]?[0-9]){12,18}"), card),
+    Kind("card", _alone(r"[0-9](?:[ -]?[0-9]){12,18}"), card, card_lengths),
     Kind("ipv4", r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])", ipv4),
     Kind("ssn", _alone(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"), ssn),
     Kind(
@@ -225,7 +267,11 @@ NAMES = tuple(dict.fromkeys(k.name for k in KINDS))
 def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int]]:
     """The text with every validated value replaced, and how many there were of each kind.
 
-    A replacement is not looked at again: kinds claim spans of the original first.
+    A replacement is not looked at again: kinds claim spans of the original first. Cards
+    and IBANs are also looked for in what a longer match that is not valid begins with, and
+    the search goes on behind a rejected start (a card before its expiry date, an IBAN
+    before its BIC). Where a pseudonym would make a span valid that was rejected before it,
+    the next one is taken, so that the key undoes it.
     """
     counts: dict[str, int] = {}
     if not ("@" in text or _HAS_DIGIT.search(text)):
@@ -234,13 +280,26 @@ def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, i
     for kind, expression in zip(KINDS, _COMPILED, strict=True):
         if kind.name == "email" and "@" not in text:
             continue
-        for m in expression.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b, _ in taken):
-                continue
-            new = kind.replace(m[0], key, back)
-            if new is not None:
-                taken.append((*m.span(), new))
+        failed: list[tuple[int, int]] = []
+        m = expression.search(text)
+        while m:
+            start, then = m.start(), m.start() + 1
+            for length in kind.lengths(m[0]):
+                end = start + length
+                if any(a < end and start < b for a, b, _ in taken):
+                    continue
+                new = kind.replace(text[start:end], key, back)
+                if new is None:
+                    failed.append((start, end))
+                    continue
+                while _reads_otherwise(kind, text, failed, start, end, new, key):
+                    new = kind.replace(new, key, back)
+                taken.append((start, end, new))
                 counts[kind.name] = counts.get(kind.name, 0) + 1
+                then = end
+                break
+            m = expression.search(text, then)
+            failed = [span for span in failed if m and span[1] > m.start()]
     out, at = [], 0
     for a, b, new in sorted(taken):
         out += [text[at:a], new]
@@ -248,6 +307,18 @@ def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, i
     return "".join([*out, text[at:]]), counts
 
 
+def _reads_otherwise(
+    kind: Kind, text: str, failed: list[tuple[int, int]], start: int, end: int, new: str, key: bytes
+) -> bool:
+    """Whether ``new`` makes a span valid that was tried before it, so that it could not be undone."""
+    return any(
+        kind.replace(text[a : max(a, start)] + new[max(a - start, 0) : b - start] + text[end:b], key, False)
+        is not None
+        for a, b in failed
+        if a < end and start < b
+    )
+
+
 _HAS_DIGIT = re.compile("[0-9]")
 _COMPILED = [re.compile(k.pattern) for k in KINDS]
 
