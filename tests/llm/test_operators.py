@@ -421,6 +421,26 @@ def test_repeated_passages_are_found_and_clean_documents_left(spark):
             assert texts[r.doc_id].split()[r.start : r.end] == passage
 
 
+def test_phrases_repeated_before_a_passage_do_not_widen_it():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    fresh = lambda n: draw.integers(1, 2**62, n).astype(np.uint64)
+    passage = fresh(46)
+    for at in range(0, 46, 5):
+        other = np.concatenate([passage[at : at + 1], fresh(31), passage, fresh(5)])
+        assert passages.matched_passages(passage, other, 50, 80) == [(0, 45, 32, 77, 100)]
+    # Two passages side by side, far apart in the other text, and a shingle found before only.
+    second = fresh(50)
+    other = np.concatenate([second, fresh(200), passage])
+    found = passages.matched_passages(np.concatenate([passage, second]), other, 50, 80)
+    assert found == [(0, 45, 250, 295, 100), (46, 95, 0, 49, 100)]
+    own = passage.copy()
+    own[20] = fresh(1)[0]
+    found = passages.matched_passages(own, np.concatenate([own[20:21], fresh(31), passage]), 50, 80)
+    assert [(a, b, c, d) for a, b, c, d, _ in found] == [(0, 45, 32, 77)]
+
+
 # --- Jaccard join ----------------------------------------------------------------------
 
 
