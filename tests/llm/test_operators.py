@@ -421,6 +421,36 @@ def test_repeated_passages_are_found_and_clean_documents_left(spark):
             assert texts[r.doc_id].split()[r.start : r.end] == passage
 
 
+def test_passages_of_shared_lines_are_found(spark):
+    draw = random.Random(11)
+    fresh = lambda n: [f"u{draw.randrange(10**7)}" for _ in range(n)]
+    rows, planted, first, lines = [], {}, [], []
+    for k in range(20):
+        passage = fresh(60)
+        parts = [passage[i : i + 20] for i in (0, 20, 40)] if k % 2 else [passage[:30]]
+        # Earlier documents that have a line of the passage each, some twice.
+        lines += [fresh(40) + p + fresh(60) + p * min(k % 3, 1) for p in parts for _ in range(2)]
+        planted |= {1000 + 2 * k: passage, 1001 + 2 * k: passage}
+        first += [(i, " ".join(fresh(30) + passage + fresh(40))) for i in (1000 + 2 * k, 1001 + 2 * k)]
+    # B is like A and like C; A and C, which share most values, are not alike enough.
+    a = fresh(120)
+    b = [*a[:40], "x", *a[41:80], "y", *a[81:]]
+    c = [*b[:20], "p", *b[21:100], "q", *b[101:]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(lines)] + first
+    rows += [(2000, " ".join(a)), (2001, " ".join(b)), (2002, " ".join(c))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    reached = set()
+    for r in found:
+        if r.doc_id in planted:
+            repeated = " ".join(texts[r.doc_id].split()[r.start : r.end])
+            assert repeated in " ".join(planted[r.doc_id]) and r.end - r.start >= 50
+            reached.add(r.doc_id)
+    assert reached == set(planted)
+    assert not {r.doc_id for r in found} & set(range(len(lines)))
+    assert {2000, 2001, 2002} <= {r.doc_id for r in found}
+
+
 def test_phrases_repeated_before_a_passage_do_not_widen_it():
     import numpy as np
 
