@@ -328,6 +328,24 @@ def test_pairs_share_the_longest_prefix(spark):
     assert one[12].prompt == "" and one[12].rejected == say("", "y")
 
 
+def test_conversations_without_an_answer_are_prompts(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", "c"), (2, 1, "user", "d")]
+    rows += [(3, 0, "user", "e"), (3, 1, "assistant", "f"), (None, 0, "user", "g")]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    pieces = preferences.format_pairs(*preferences.swapped_pairs(table)).collect()
+    says = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
+    assert sorted((r.pair_id, r.part, r.turn, r.piece) for r in pieces) == [
+        (1, "chosen", 1, says("assistant", "b")),
+        (1, "prompt", 0, says("user", "a")),
+        (1, "rejected", 1, says("assistant", "f")),
+        (2, "prompt", 0, says("user", "c")),
+        (2, "prompt", 1, says("user", "d")),
+        (3, "chosen", 1, says("assistant", "f")),
+        (3, "prompt", 0, says("user", "e")),
+        (3, "rejected", 1, says("assistant", "b")),
+    ]
+
+
 # --- pseudonyms ----------------------------------------------------------------------
 
 

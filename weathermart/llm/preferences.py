@@ -165,6 +165,7 @@ def swapped_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     The rejected side of a conversation is the same one with its last assistant turn
     answered by the text of the next conversation's last assistant turn (in conv_id
     order within ranges of 1,000 ids; the last of a range takes the range's first).
+    A conversation without an assistant turn has nothing to swap: both sides are equal.
     Returns pairs and the conversations of both sides; rejected ids are negative.
     """
     from pyspark.sql import Window
@@ -183,7 +184,11 @@ def swapped_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.lead("answer").over(span.orderBy("conv_id")),
         F.first("answer").over(span.orderBy("conv_id")),
     )
-    swaps = last.withColumn("other", following).drop("answer")
+    swaps = (
+        rows.select("conv_id")
+        .distinct()
+        .join(last.withColumn("other", following).drop("answer"), "conv_id", "left")
+    )
     pairs = swaps.select(
         F.col("conv_id").alias("pair_id"),
         F.col("conv_id").alias("chosen"),
