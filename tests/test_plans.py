@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from weathermart.functions.keys import with_dense_id

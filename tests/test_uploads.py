@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
