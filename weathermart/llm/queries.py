@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weathermart.llm import (
+    collocations,
     decontaminate,
     jaccard,
     line_rules,
@@ -125,6 +126,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("grp", "lang")
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -139,6 +145,7 @@ def queries() -> dict[str, Query]:
             op8_pseudonyms,
             op9_repeated_passages,
             op10_jaccard_join,
+            op11_collocations,
         )
     }
 
@@ -219,5 +226,49 @@ FROM docs d LEFT JOIN sizes s ON d.doc_id = s.doc_id
      JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON d.doc_id = r.a"""
 
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+starts AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+  FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+phrases AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM phrases WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r,
+         CAST(a AS HUGEINT) * 2000000 // (CAST(x.f AS HUGEINT) + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+       JOIN phrases x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+       JOIN phrases y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:c.k], ' ')),
+best AS (
+  SELECT * FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+spans AS (
+  SELECT c.lang, a, array_to_string(w[s.i:s.i + s.size - 1], ' ') AS phrase
+  FROM candidates c, (SELECT i, unnest([2, 3]) AS size FROM (SELECT unnest([1, 2, 3]) AS i)) s
+  WHERE s.size < c.k AND s.i + s.size - 1 <= c.k),
+covered AS (SELECT lang, phrase, max(a) AS longer FROM spans GROUP BY 1, 2)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank,
+       b.phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best b LEFT JOIN covered c ON b.lang = c.lang AND b.phrase = c.phrase
+     JOIN totals t ON t.lang = b.lang
+WHERE CAST(coalesce(longer, 0) AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80
+QUALIFY rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_frequency": OP5_SQL, "op10_jaccard_join": OP10_SQL}
+    return {
+        "op5_line_frequency": OP5_SQL,
+        "op10_jaccard_join": OP10_SQL,
+        "op11_collocations": OP11_SQL,
+    }
