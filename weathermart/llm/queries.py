@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weathermart.llm import (
     collocations,
+    conversation_repair,
     decontaminate,
     jaccard,
     line_rules,
@@ -131,6 +132,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("grp", "lang")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.reports(conversation_repair.damage(conversations), conversations)
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -146,6 +152,7 @@ def queries() -> dict[str, Query]:
             op9_repeated_passages,
             op10_jaccard_join,
             op11_collocations,
+            op13_conversation_repair,
         )
     }
 
@@ -266,9 +273,94 @@ WHERE CAST(coalesce(longer, 0) AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80
 QUALIFY rank <= 2000"""
 
 
+def _op13_sql() -> str:
+    """Row by row from the end: cost, letters and repaired text of the best way from each state."""
+
+    def option(letter: str, cost: str, line: str, goal: str, allowed: str = "true") -> str:
+        return (
+            f"{{'c': CASE WHEN {allowed} THEN {goal}.c + {cost} ELSE 1000000000 END, "
+            f"'s': '{letter}' || {goal}.s, 't': {line} || {goal}.t}}"
+        )
+
+    def consumed(state: str, follows: str, role: str, keeps: list[tuple[str, str]]) -> str:
+        kept = [option("K", "cut", "line", goal, f"NOT gone AND ini = '{x}'") for x, goal in keeps]
+        relabelled = option("R", "3 + cut", f"chr(10) || '{role}:' || text", follows, "NOT gone")
+        return f"list_min([{', '.join([option('D', '4', repr(''), state), *kept, relabelled])}])"
+
+    def inserted(role: str, goal: str) -> str:
+        return option("I", "3", f"chr(10) || '{role}:'", goal)
+
+    crc_step = "CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    blank = r"[\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+             lambda x: CAST(ord(x) AS BIGINT))),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+                                    lambda x, i: {crc_step})), 4294967295) % 20 AS kind
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+              ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM keyed WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+              md5(concat_ws(':', length(role), role, text)), copy) AS i,
+         CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS ini,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank
+  FROM damaged),
+judged AS (
+  SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair,
+         chr(10) || role || ':' || text AS line
+  FROM placed),
+lines AS (
+  SELECT *, blank OR again AS gone,
+         NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?]{blank}*$') AS truncated,
+         CASE WHEN truncated THEN 3 ELSE 0 END AS cut
+  FROM judged),
+facts AS (
+  SELECT conv_id, max(i) AS n,
+         CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+         CAST(count_if(blank) AS BIGINT) AS blank, CAST(count_if(again) AS BIGINT) AS duplicate,
+         CAST(count_if(truncated) AS BIGINT) AS truncated,
+         CAST(count_if(pair NOT IN ('su', 'ua', 'au')) AS BIGINT) AS illegal
+  FROM lines GROUP BY conv_id),
+ways(conv_id, i, q, s, u, a) AS (
+  SELECT conv_id, n + 1, {{'c': 0, 's': '', 't': ''}},
+         {{'c': 6, 's': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+         {{'c': 3, 's': 'I', 't': chr(10) || 'assistant:'}}, {{'c': 0, 's': '', 't': ''}}
+  FROM facts
+  UNION ALL
+  SELECT conv_id, i, list_min([q, {inserted("user", "u")}]), list_min([s, {inserted("user", "u")}]), u, a
+  FROM (
+    SELECT conv_id, i, q, s, list_min([u, {inserted("assistant", "a")}]) AS u,
+           list_min([a, {inserted("user", "u")}]) AS a
+    FROM (
+      SELECT w.conv_id, l.i,
+             {consumed("q", "u", "user", [("s", "s"), ("u", "u")])} AS q,
+             {consumed("s", "u", "user", [("u", "u")])} AS s,
+             {consumed("u", "a", "assistant", [("a", "a")])} AS u,
+             {consumed("a", "u", "user", [("u", "u")])} AS a
+      FROM (SELECT conv_id, i, q, s, u, a FROM ways) w
+           JOIN lines l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.i = w.i - 1) x) y)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(CAST(w.q.c AS BIGINT), 0) AS cost,
+       coalesce(w.q.s, '') AS audit, sha256(coalesce(substr(w.q.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+     LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+     LEFT JOIN ways w ON w.conv_id IS NOT DISTINCT FROM o.conv_id AND w.i = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_line_frequency": OP5_SQL,
         "op10_jaccard_join": OP10_SQL,
         "op11_collocations": OP11_SQL,
+        "op13_conversation_repair": _op13_sql(),
     }
