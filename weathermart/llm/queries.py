@@ -22,6 +22,7 @@ from weathermart.llm import (
     secrets,
     sharding,
     token_records,
+    wrappers,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +133,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("grp", "lang")
 
 
+def op12_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return conversation_repair.reports(conversation_repair.damage(conversations), conversations)
@@ -152,6 +157,7 @@ def queries() -> dict[str, Query]:
             op9_repeated_passages,
             op10_jaccard_join,
             op11_collocations,
+            op12_wrapper_induction,
             op13_conversation_repair,
         )
     }
