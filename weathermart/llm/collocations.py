@@ -20,6 +20,7 @@ text is a chunk of its own.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import batched, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # A code of two states: the first one's slot lies above this many bits.
 _SLOT_BITS = 31
+# Counts travel as arrays of this many neighbouring slots, so that a task adds one row for each.
+_PART = 4096
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -281,12 +284,23 @@ def _count_states(shared: Broadcast):
         for found, pieces in _positions(batches, symbols):
             for _, states in trie.walk(found, pieces):
                 counts += np.bincount(states, minlength=len(counts))
-        slots = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[slots])], ["slot", "f"])
+        parts = [(b, counts[b : b + _PART]) for b in range(0, len(counts), _PART)]
+        for few in batched(((b, part.tobytes()) for b, part in parts if part.any()), 32):
+            starts, packed = zip(*few)
+            yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int64()), pa.array(packed)], ["start", "counts"])
 
     return run
 
 
+def _add_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts by slot, from parts of all tasks that come sorted by their first slot."""
+    rows = (row for b in batches for row in zip(b.column("start").to_pylist(), b.column("counts")))
+    for start, parts in groupby(rows, key=lambda row: row[0]):
+        total = sum(np.frombuffer(part.as_buffer(), np.int64) for _, part in parts)
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots + start), pa.array(total[slots])], ["slot", "f"])
+
+
 def _name_states(shared: Broadcast):
     def run(batches):
         symbols, trie = shared.value
@@ -368,9 +382,10 @@ def phrase_counts(
     trie = DoubleArray(len(symbols), phrases)
     shared = spark.sparkContext.broadcast((symbols, trie))
     counted = (
-        texts.mapInArrow(_count_states(shared), "slot long, f long")
-        .groupBy("slot")
-        .agg(F.sum("f").alias("f"))
+        texts.mapInArrow(_count_states(shared), "start long, counts binary")
+        .repartition("start")
+        .sortWithinPartitions("start")
+        .mapInArrow(_add_parts, "slot long, f long")
         .mapInArrow(_name_states(shared), "grp string, phrase string, size long, f long")
     )
     return materialize(totals.unionByName(counted), "phrases")
