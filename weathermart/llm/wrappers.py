@@ -157,9 +157,9 @@ def parse(source: str) -> Page:
     page = Page(root, [], [], [], "")
     articles: list[bool] = []
     mains: list[bool] = []
-    # Open elements: name, its node if it is a block, furniture, article, main.
-    stack: list[tuple[str, Node | None, bool, bool, bool]] = [("html", root, False, False, False)]
-    node, muted, article, main = root, False, False, False
+    # Open elements: name, its node if it is a block, furniture, inline furniture, article, main.
+    stack: list[tuple[str, Node | None, bool, bool, bool, bool]] = [("html", root, *[False] * 4)]
+    node, muted, hushed, article, main = root, *[False] * 4
     pieces: list[str] = []
 
     def flush() -> None:
@@ -173,14 +173,15 @@ def parse(source: str) -> Page:
             mains.append(main)
 
     def top() -> None:
-        nonlocal node, muted, article, main
-        _, _, muted, article, main = stack[-1]
+        nonlocal node, muted, hushed, article, main
+        _, _, muted, hushed, article, main = stack[-1]
         node = next(n for _, n, *_ in reversed(stack) if n is not None)
 
     def close(names: set[str], limits: set[str]) -> None:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in names:
-                flush()
+                if any(n is not None for _, n, *_ in stack[i:]):
+                    flush()
                 del stack[i:]
                 top()
                 return
@@ -191,7 +192,7 @@ def parse(source: str) -> Page:
     while place < end:
         found = _TOKEN.search(source, place)
         start = found.start() if found else end
-        if start > place:
+        if start > place and not hushed:
             text = source[place:start]
             pieces.append(charrefs.unescape(text) if "&" in text else text)
         if not found:
@@ -225,7 +226,8 @@ def parse(source: str) -> Page:
         if name in VOID or name in ("html", "body"):
             continue
         given = _attributes(tag)
-        flag = muted or _is_furniture(name, given, article or main)
+        declared = _is_furniture(name, given, article or main)
+        flag = muted or declared and name in BLOCKS
         is_article = article or name == "article" and not flag
         is_main = main or not flag and (
             name == "main" or given.get("role") == "main" or "articleBody" in given.get("itemprop", "")
@@ -233,13 +235,14 @@ def parse(source: str) -> Page:
         if tag.endswith("/>") and name not in BLOCKS:
             continue
         new = None
+        hushed = hushed or declared and name not in BLOCKS
         if name in BLOCKS:
             new = node
             if node.depth < MAX_DEPTH:
                 new = Node(_label(name, given), node, node.depth + 1)
                 node.children.append(new)
             node = new
-        stack.append((name, new, flag, is_article, is_main))
+        stack.append((name, new, flag, hushed, is_article, is_main))
         muted, article, main = flag, is_article, is_main
     flush()
     region = articles if any(a and k for a, k in zip(articles, page.kept)) else mains
@@ -256,6 +259,26 @@ def _shape(label: str, children: tuple) -> tuple:
     return label, children, 1 + sum(c[2] for c in children)
 
 
+def _without_repeats(parts: list, period: int) -> list:
+    """Siblings in which every group of ``period`` that repeats at once stands for its repeats."""
+    folded, i = [], 0
+    while i < len(parts):
+        last = i + period
+        while last + period <= len(parts) and all(
+            parts[last + k][0] is parts[i + k][0] for k in range(period)
+        ):
+            last += period
+        if last == i + period:
+            folded.append(parts[i])
+            i += 1
+            continue
+        for same in (parts[i + k : last : period] for k in range(period)):
+            texts = zip(*(p[1] for p in same))
+            folded.append((same[0][0], [list(chain.from_iterable(x)) for x in texts]))
+        i = last
+    return folded
+
+
 def fold(root: Node) -> tuple[tuple, list[list[int]]]:
     """The tree with repeats of one to three siblings folded, and the blocks of each of its
     nodes in preorder."""
@@ -267,28 +290,10 @@ def fold(root: Node) -> tuple[tuple, list[list[int]]]:
     made: dict[int, tuple[tuple, list[list[int]]]] = {}
     for node in reversed(order):
         parts = [made.pop(id(child)) for child in node.children]
-        i = 0
-        folded: list[tuple[tuple, list[list[int]]]] = []
-        while i < len(parts):
-            step = 1
-            for period in (1, 2, 3):
-                last = i + period
-                while last + period <= len(parts) and all(
-                    parts[last + k][0] is parts[i + k][0] for k in range(period)
-                ):
-                    last += period
-                if last > i + period:
-                    step = last - i
-                    for k in range(period):
-                        same = parts[i + k : last : period]
-                        texts = zip(*(p[1] for p in same))
-                        folded.append((same[0][0], [list(chain.from_iterable(x)) for x in texts]))
-                    break
-            else:
-                folded.append(parts[i])
-            i += step
-        shape = _shape(node.label, tuple(p[0] for p in folded))
-        made[id(node)] = shape, [node.texts, *(texts for p in folded for texts in p[1])]
+        for period in (1, 2, 3):
+            parts = _without_repeats(parts, period)
+        shape = _shape(node.label, tuple(p[0] for p in parts))
+        made[id(node)] = shape, [node.texts, *(texts for p in parts for texts in p[1])]
     return made[id(root)]
 
 
