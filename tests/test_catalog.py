@@ -9,7 +9,9 @@ import pytest
 import __spark_entry__ as driver
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("lineitem", "orders", "customer", "nation", "part", "events", "documents")
+TABLES = (
+    "lineitem", "orders", "customer", "nation", "part", "events", "documents", "conversations",
+)
 QUERIES, SQL = driver.queries(), driver.oracle_sql()
 TYPES = {
     "string": "VARCHAR",
