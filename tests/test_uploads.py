@@ -412,3 +412,139 @@ def test_partition_filters_prune_the_raw_scan(spark, tmp_path):
     text = plan(spark.read.parquet(path).filter("year = 2011 AND month = 1").select("InvoiceNo"))
     assert "PartitionFilters: [isnotnull(year" in text
     assert "ReadSchema: struct<InvoiceNo:string>" in text
+
+
+def day_first(folder, name, *texts):
+    put(folder, name, *(f"{i},A,x,1,{t},2.5,1,UK" for i, t in enumerate(texts)))
+
+
+def moments(spark, folder):
+    found = uploads.add_provenance(uploads.read_uploads(spark, str(folder)), "retail_sales", STAMP)
+    return {
+        (r._source_file, r.InvoiceNo): r.InvoiceDate and r.InvoiceDate.isoformat(" ", "minutes")
+        for r in found.select("_source_file", "InvoiceNo", "InvoiceDate").collect()
+    }
+
+
+def test_each_upload_votes_for_its_own_date_layout(spark, tmp_path):
+    day_first(tmp_path, "day.csv", "13/01/2011 08:26", "01/02/2011 08:26")
+    day_first(tmp_path, "month.csv", "1/13/2011 8:26", "1/2/2011 8:26")
+    day_first(tmp_path, "open.csv", "1/2/2011 8:26", "3/3/2011 9:00")
+    day_first(tmp_path, "mixed.csv", "13/1/2011 8:26", "1/14/2011 8:26", "1/15/2011 8:26", "2/1/2011 8:26", "soon")
+    day_first(tmp_path, "dash.csv", "31-01-2011", "01-02-2011")
+    day_first(tmp_path, "short.csv", "13/01/11", "01/02/11")
+    assert moments(spark, tmp_path) == {
+        ("day.csv", "0"): "2011-01-13 08:26", ("day.csv", "1"): "2011-02-01 08:26",
+        ("month.csv", "0"): "2011-01-13 08:26", ("month.csv", "1"): "2011-01-02 08:26",
+        ("open.csv", "0"): "2011-01-02 08:26", ("open.csv", "1"): "2011-03-03 09:00",
+        ("mixed.csv", "0"): "2011-01-13 08:26", ("mixed.csv", "1"): "2011-01-14 08:26",
+        ("mixed.csv", "2"): "2011-01-15 08:26", ("mixed.csv", "3"): "2011-02-01 08:26", ("mixed.csv", "4"): None,
+        ("dash.csv", "0"): "2011-01-31 00:00", ("dash.csv", "1"): "2011-02-01 00:00",
+        ("short.csv", "0"): "2011-01-13 00:00", ("short.csv", "1"): "2011-02-01 00:00",
+    }
+    report = uploads.validate_uploads(spark, str(tmp_path))
+    found = {
+        os.path.basename(r.path): (r.date_layout[:3], r.date_exceptions, r.ambiguous_dates, r.unreadable_dates)
+        for r in report.collect()
+    }
+    assert found == {
+        "day.csv": ("d/M", 0, 0, 0), "month.csv": ("M/d", 0, 0, 0), "open.csv": ("M/d", 0, 1, 0),
+        "mixed.csv": ("M/d", 1, 0, 1), "dash.csv": ("d-M", 0, 0, 0), "short.csv": ("d/M", 0, 0, 0),
+    }
+
+
+def test_refused_lines_go_to_their_own_table_when_asked(spark, tmp_path):
+    good = "1,A,x,1,12/1/2010 8:26,2.5,1,UK"
+    put(tmp_path / "in", "a.csv", good, "2,A,x,six,12/1/2010 8:26,2.5,1,UK", "3,A,x,1.5,12/1/2010 8:26,2.5,1,UK")
+    put(tmp_path / "in", "b.csv", good, "4,A,x,1,12/1/2010 8:26,much,1,UK", '5,A,"cut', 'in two",1,12/1/2010 8:26,2.5,1,UK')
+    put(tmp_path / "in", "c.csv", "6,A,Cr\xe8me,1,12/1/2010 8:26,2.5,1,UK,more", encoding="latin-1")
+    with pytest.raises(Exception, match="(?i)not a|too many|line break"):
+        uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
+    assert not (tmp_path / "lake").exists() or not list((tmp_path / "lake").glob("reports/**/*.parquet"))
+    seen = Observation()
+    path = uploads.land_uploads(
+        spark, str(tmp_path / "in"), f"{tmp_path}/other", ingested_at=STAMP, on_error="reject", observation=seen
+    )
+    assert seen.get["rows"] == 2 and spark.read.parquet(path).count() == 2
+    refused = spark.read.parquet(uploads.report_path(f"{tmp_path}/other", "rejects"))
+    name = F.substring_index("path", "/", -1)
+    assert rows(refused.select(name, "line", "reason")) == [
+        ("a.csv", "2,A,x,six,12/1/2010 8:26,2.5,1,UK", "Quantity is not a number: six"),
+        ("a.csv", "3,A,x,1.5,12/1/2010 8:26,2.5,1,UK", "Quantity is not a whole number: 1.5"),
+        ("b.csv", "4,A,x,1,12/1/2010 8:26,much,1,UK", "UnitPrice is not a number: much"),
+        ("b.csv", '5,A,"cut', "quoted line break, read with multiline=True"),
+        ("b.csv", 'in two",1,12/1/2010 8:26,2.5,1,UK', "quoted line break, read with multiline=True"),
+        ("c.csv", "6,A,Crème,1,12/1/2010 8:26,2.5,1,UK,more", "too many cells"),
+    ]
+    landed = spark.read.parquet(uploads.report_path(f"{tmp_path}/other", "landed"))
+    assert rows(landed.select(name, "rows", "rejected", "accepted")) == [
+        ("a.csv", 1, 2, True), ("b.csv", 1, 3, True), ("c.csv", 0, 1, False),
+    ]
+    same = uploads.validate_uploads(spark, str(tmp_path / "in"))
+    assert rows(same) == rows(landed.drop("_ingested_at"))
+
+
+@pytest.mark.parametrize("options", [{}, {"multiline": True}, {"encoding": "ISO-8859-1"}])
+def test_validation_counts_what_landing_adds(spark, tmp_path, options):
+    put(tmp_path / "in", "a.csv", *(f"{i},A,Cr\xe8me,1,12/1/2010 8:26,2.5,1,UK" for i in range(7)), encoding="latin-1")
+    put(tmp_path / "in", "b.csv")
+    report = uploads.validate_uploads(spark, str(tmp_path / "in"), **options)
+    assert sorted((os.path.basename(r.path), r.rows, r.accepted) for r in report.collect()) == [
+        ("a.csv", 7, True), ("b.csv", 0, False),
+    ]
+    path = uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"), **options)
+    found = spark.read.parquet(path)
+    assert found.count() == found.filter("Description = 'Crème'").count() == 7
+
+
+def test_parquet_uploads_of_several_schemas_are_read_together(spark, tmp_path, conf):
+    kinds = ["17850L", "17850.0D", "17850", "'17850'"]
+    for i, kind in enumerate(kinds):
+        spark.sql(
+            f"SELECT '{i}' AS InvoiceNo, {kind} AS CustomerID, timestamp'2011-01-13 08:26:00' AS InvoiceDate, "
+            f"{'1' if i % 2 else '1.5D'} AS weight, {i} AS batch"
+        ).coalesce(1).write.mode("append").parquet(str(tmp_path / "u"))
+    conf(spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS")
+    spark.sql("SELECT '9' AS InvoiceNo, '13/02/2011' AS InvoiceDate").coalesce(1).write.mode("append").parquet(str(tmp_path / "u"))
+    found = scan(spark, tmp_path / "u").select("InvoiceNo", "CustomerID", F.col("InvoiceDate").cast("string"), "weight")
+    first = "2011-01-13 08:26:00"
+    assert rows(found) == [
+        ("0", 17850.0, first, 1.5), ("1", 17850.0, first, 1.0), ("2", 17850.0, first, 1.5),
+        ("3", 17850.0, first, 1.0), ("9", None, "2011-02-13 00:00:00", None),
+    ]
+    report = uploads.validate_uploads(spark, str(tmp_path / "u"))
+    assert report.filter("rows = 1 AND accepted").count() == 5
+
+
+def test_many_headers_are_one_branch_of_the_plan(spark, tmp_path):
+    names = ["InvoiceNo", "StockCode", "Quantity", "Country"]
+    for i in range(12):
+        order = names[i % 4 :] + names[: i % 4] + [f"Extra {i}"]
+        cells = {"InvoiceNo": str(i), "StockCode": "A", "Quantity": "3", "Country": "UK", f"Extra {i}": f"e{i}"}
+        put(tmp_path, f"{i:02}.csv", ",".join(cells[n] for n in order), header=",".join(order) + "\n")
+    found = scan(spark, tmp_path)
+    assert {f"Extra {i}" for i in range(12)} < set(found.columns)
+    assert plan(found).count("Scan parquet") <= 4 and "Union" not in plan(found)
+    assert rows(found.select("StockCode", "Quantity", "Country").distinct()) == [("A", 3, "UK")]
+    assert found.filter("`Extra 7` = 'e7'").first().InvoiceNo == "7"
+
+
+def test_repeated_and_missing_header_names(spark, tmp_path):
+    put(tmp_path, "a.csv", "1,a,b,c,d", header="InvoiceNo,note,Note,,note\n")
+    row = scan(spark, tmp_path).first().asDict()
+    assert row == {"InvoiceNo": "1", "note": "a", "Note.1": "b", "_c3": "c", "note.2": "d"}
+
+
+def test_a_second_date_column_of_a_file_stays_text(spark, tmp_path):
+    put(tmp_path, "a.csv", "1,1/5/2011,some day", header="InvoiceNo,InvoiceDate,date\n")
+    put(tmp_path, "b.csv", "2,2/5/2011", header="InvoiceNo,date\n")
+    found = scan(spark, tmp_path).select("InvoiceNo", F.col("InvoiceDate").cast("date").cast("string"), F.col("date").cast("date").cast("string"), "date_text")
+    assert rows(found) == [("1", "2011-01-05", None, "some day"), ("2", None, "2011-02-05", None)]
+
+
+def test_landing_leaves_no_scratch_behind(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "1,A,x,1,1/5/2011 8:26,2.5,1,UK")
+    root = tmp_path.parents[1]
+    before = {p for p in root.glob("shared*/weathermart/*/*")}
+    uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
+    assert {p for p in root.glob("shared*/weathermart/*/*")} == before

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date layouts accepted in uploads beside ISO text, first match wins. Where
-# day and month could be told either way the month goes first, as in pandas.
+# Date layouts accepted in uploads beside ISO text. An upload's own values choose
+# among them; where these leave it open, the first that fits wins, so the month goes first as
+# in pandas.
 UPLOAD_DATE_FORMATS = (
     "M/d/yyyy[ H:mm[:ss]]",
     "M/d/yyyy h:mm[:ss] a",
@@ -18,21 +19,33 @@ UPLOAD_DATE_FORMATS = (
     "M/d/yy[ H:mm[:ss]]",
     "MMM d yyyy[ H:mm[:ss]]",
     "yyyyMMdd",
+    "d/M/yyyy[ H:mm[:ss]]",
+    "d/M/yyyy h:mm[:ss] a",
+    "d/M/yy[ H:mm[:ss]]",
+    "M-d-yyyy[ H:mm[:ss]]",
+    "d-M-yyyy[ H:mm[:ss]]",
 )
 
 # Names for dayofweek(), which counts from 1 = Sunday.
 WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
+def iso_timestamp(text: Column) -> Column:
+    """Timestamp from ISO text, else null.
+
+    The guard keeps bare clock times out of the cast, which would complete them with
+    today's date.
+    """
+    return F.when(text.rlike(r"^\s*\d{4}-\d"), F.try_to_timestamp(text))
+
+
 def parse_timestamp(text: Column, formats: Sequence[str] = UPLOAD_DATE_FORMATS) -> Column:
-    """Timestamp from upload text; anything unreadable becomes null.
+    """Timestamp from upload text by the first layout that fits; anything unreadable becomes null.
 
-    ISO text goes first because it is parsed by the cast path, which raises no
-    exception per bad row. The guard keeps bare clock times out of that path:
-    the cast would complete them with today's date.
+    Each value is read alone; ``date_votes`` reads it as its upload's other values suggest. ISO
+    text goes first because it is parsed by the cast path, which raises no exception per bad row.
     """
-    iso = F.when(text.rlike(r"^\s*\d{4}-\d"), F.try_to_timestamp(text))
-    return F.coalesce(iso, *(F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats))
+    return F.coalesce(iso_timestamp(text), *(F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats))
 
 
 def shift_date(moment: Column, months: int) -> Column:

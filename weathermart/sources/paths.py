@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import re
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +26,29 @@ def scratch_dir(spark: SparkSession) -> str:
 
     That is the folder named in ``spark.checkpoint.dir``, else the warehouse. Paths
     carry the application id, so ``drop_scratch`` (or a bucket rule) can remove a
-    finished application's tables together.
+    finished application's tables together. Inside ``scratch_scope`` they lie in its folder.
     """
-    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
+    scope = getattr(_scopes, "path", None)
+    return f"{scope or _scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside when it ends: for jobs that write their result.
+
+    Frames that read those tables must not leave the scope. Scopes may be nested.
+    """
+    outer = getattr(_scopes, "path", None)
+    path = scratch_dir(spark)
+    _scopes.path = path
+    try:
+        yield
+    finally:
+        _scopes.path = outer
+        delete(spark, path)
 
 
 def _scratch_root(spark: SparkSession) -> str:
@@ -33,8 +58,29 @@ def _scratch_root(spark: SparkSession) -> str:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Remove every scratch table of this application; frames that read them end with it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, _scratch_root(spark))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all below it, in any storage that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+# Hadoop's names of storage that goes by another name elsewhere.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def open_input(path: str) -> pa.NativeFile:
+    """A file that Spark has listed, opened inside a task."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme or scheme in ("file", "dbfs"):
+        place = rest if colon and "/" not in scheme else path
+        place = "/" + place.lstrip("/") if place.startswith("/") else place
+        return fs.LocalFileSystem().open_input_file(f"/dbfs{place}" if scheme == "dbfs" else place)
+    host, _, key = rest.removeprefix("//").partition("/")
+    storage, base = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{host}/")
+    return storage.open_input_file(f"{base.rstrip('/')}/{key}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

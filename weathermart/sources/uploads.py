@@ -1,4 +1,4 @@
-"""Retail uploads: discovery, encoding-aware scan, provenance and the raw sink."""
+"""Retail uploads: discovery, scan, provenance, validation and the raw sink."""
 
 from __future__ import annotations
 
@@ -10,12 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DataType,
     DateType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
+    NullType,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -23,21 +19,28 @@ from pyspark.sql.types import (
 
 from weathermart.functions.temporal import UPLOAD_DATE_FORMATS, parse_timestamp
 from weathermart.schemas import RETAIL_UPLOAD
-from weathermart.sources.paths import layer_path, literal_path, plain_path
+from weathermart.sources import csv_scan, date_votes, parquet_scan
+from weathermart.sources.csv_scan import (
+    DATE_COLUMNS,
+    DATE_MOMENT,
+    DATE_NAME,
+    DATE_TEXT,
+    LINE,
+    REASON,
+)
+from weathermart.sources.paths import (
+    layer_path,
+    literal_path,
+    materialize,
+    plain_path,
+    scratch_scope,
+)
 from weathermart.sources.tables import write
 
-# Column names that mark the invoice date, first match wins.
-DATE_COLUMNS = ("InvoiceDate", "invoice_date", "date", "Date")
-
-# CSV cells read as missing, the documented pandas.read_csv defaults.
-NULL_MARKERS = (
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
-    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
-)
-
 SOURCE_FILE, ENTITY, INGESTED_AT = "_source_file", "_entity", "_ingested_at"
 
-_MALFORMED, _UNREADABLE = "__malformed", "__unreadable_date"
+_UNREADABLE = "__unreadable_date"
+_SCANNED = (REASON, LINE, DATE_TEXT, DATE_MOMENT, DATE_NAME)
 
 
 def list_uploads(spark: SparkSession, directory: str, file_name: str | None = None) -> DataFrame:
@@ -48,9 +51,7 @@ def list_uploads(spark: SparkSession, directory: str, file_name: str | None = No
     reader = spark.read.format("binaryFile")
     if file_name is None:
         reader = reader.option("pathGlobFilter", "*.{csv,parquet}")
-        target = directory
-    else:
-        target = f"{directory.rstrip('/')}/{literal_path(file_name)}"
+    target = _target(directory, file_name)
     try:
         return reader.load(target).select("path")
     except AnalysisException as error:
@@ -59,176 +60,29 @@ def list_uploads(spark: SparkSession, directory: str, file_name: str | None = No
         raise
 
 
-def inspect_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``path, utf8, layout`` per CSV file, in one pass over the text.
-
-    ``utf8`` tells whether every byte sequence is valid UTF-8; ``layout`` is a hash
-    of the header, the first line that is not empty. Both are fixed-size
-    aggregates, so each task keeps one small entry per file it reads.
-    """
-    at_start = F.col("_metadata.file_block_start") == 0
-    return (
-        spark.read.text([literal_path(path) for path in paths])
-        .filter(F.col("value") != "")
-        .select(
-            F.col("_metadata.file_path").alias("uri"),
-            F.is_valid_utf8("value").alias("valid"),
-            F.xxhash64("value").alias("line"),
-            F.when(at_start, F.monotonically_increasing_id()).alias("position"),
-        )
-        .groupBy("uri")
-        .agg(
-            F.bool_and("valid").alias("utf8"),
-            F.min_by("line", "position").alias("layout"),
-        )
-        .select(plain_path(F.col("uri")).alias("path"), "utf8", "layout")
-    )
-
-
-def _typed(value: Column, kind: DataType, name: str) -> Column:
-    """A cell as its declared type; unreadable numbers fail under ANSI mode.
-
-    Whole numbers may be written with a decimal point, as exports of nullable
-    integer columns do; a real fraction is an error rather than cut off.
-    """
-    if not isinstance(kind, (IntegerType, LongType)):
-        return value.cast(kind).alias(name)
-    number = value.cast("double")
-    fraction = F.raise_error(
-        F.concat(F.lit(f"{name} is not a whole number: "), value.cast("string"))
-    )
-    return F.when(number != F.floor(number), fraction).otherwise(number).cast(kind).alias(name)
-
+def _target(directory: str, file_name: str | None) -> str:
+    return directory if file_name is None else f"{directory.rstrip('/')}/{literal_path(file_name)}"
 
-def _well_formed(columns: Sequence[Column]) -> Column:
-    """True for complete rows; raises for rows cut by a quoted line break or too long.
 
-    Spark keeps the text of a row whose cell count is off in the corrupt-record
-    column. Rows that are merely short stay, padded with nulls. The message quotes
-    every cell, which also keeps the scan from pruning columns: Spark counts the
-    cells of a row only against the columns it reads.
-    """
-    line = F.col(_MALFORMED)
-    cells = F.concat_ws(",", *columns)
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
-    outside = F.regexp_replace(line, r'"[^"]*"', "")
-    commas = F.length(outside) - F.length(F.replace(outside, F.lit(",")))
-    return (
-        F.when(
-            quotes % 2 == 1,
-            F.raise_error(F.concat(F.lit("quoted line break, read with multiline=True: "), cells)),
-        )
-        .when(
-            commas >= len(columns), F.raise_error(F.concat(F.lit("too many cells, from: "), cells))
-        )
-        .otherwise(True)
-        .cast("boolean")
-    )
-
-
-def _scan_csv_layout(
-    spark: SparkSession,
-    paths: Sequence[str],
-    charset: str,
-    schema: StructType,
-    null_markers: Sequence[str],
-    multiline: bool,
-    check_header: bool,
-) -> DataFrame:
-    """Scan files of one encoding and one header."""
-    options = {
-        "header": True,
-        "encoding": charset,
-        "escape": '"',
-        "multiLine": multiline,
-        "enforceSchema": not check_header,
-        "columnNameOfCorruptRecord": _MALFORMED,
-    }
-    if check_header:
-        names = schema.names
-    else:
-        names = spark.read.options(**options).csv(literal_path(paths[0])).columns
-    declared = {f.name.lower(): f.dataType for f in schema.fields}
-    # Cells are read as text, so that a null marker in a number is not an error.
-    text = StructType([StructField(name, StringType()) for name in [*names, _MALFORMED]])
-    cells = {name: F.col(f"`{name}`") for name in names}
-    return (
-        spark.read.schema(text)
-        .options(**options)
-        .csv([literal_path(path) for path in paths])
-        .filter(_well_formed(list(cells.values())))
-        .select(
-            *(
-                _typed(
-                    F.when(~cell.isin(*null_markers), cell),
-                    declared.get(name.lower(), StringType()),
-                    name,
-                )
-                for name, cell in cells.items()
-            ),
-            "_metadata",
-        )
-    )
-
-
-def scan_csv(
-    spark: SparkSession,
-    paths: Sequence[str],
-    schema: StructType = RETAIL_UPLOAD,
-    null_markers: Sequence[str] = NULL_MARKERS,
-    multiline: bool = False,
-    encoding: str | None = None,
-) -> list[DataFrame]:
-    """Scan CSV files with a header, each as UTF-8 if it is valid UTF-8, else Latin-1.
-
-    Returns one frame per encoding and header, none for files without a line.
-    Columns are found by name: files may order them differently or carry more of
-    them. Declared columns get their declared type, the others stay text. The
-    inspection pass returns a few values per file, never more than the file list
-    the driver already holds. Name an ``encoding`` to spare that pass when all
-    files share it and have exactly the declared header; another header is then
-    an error. ``multiline`` allows quoted line breaks but makes a file
-    unsplittable, so it is off by default; without it such a file is an error.
-    """
-    layouts: dict[tuple[str, int | None], list[str]] = {}
-    if encoding is None:
-        for row in inspect_csv(spark, paths).collect():
-            charset = "UTF-8" if row.utf8 else "ISO-8859-1"
-            layouts.setdefault((charset, row.layout), []).append(row.path)
-    else:
-        layouts[encoding, None] = list(paths)
-    return [
-        _scan_csv_layout(
-            spark, members, charset, schema, null_markers, multiline, encoding is not None
-        )
-        for (charset, _), members in sorted(layouts.items(), key=lambda item: item[1])
+def inspect_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, utf8, layout`` per CSV file: whether all of it is valid UTF-8, and a hash of its header."""
+    files = csv_scan.stage(spark, [literal_path(path) for path in paths]).files
+    return files.select("path", "utf8", F.xxhash64("names").alias("layout"))
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    """One frame of all columns; a column of several types becomes text."""
+    kinds: dict[str, set[str]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            if not isinstance(f.dataType, NullType):
+                kinds.setdefault(f.name.lower(), set()).add(f.dataType.simpleString())
+    mixed = {name for name, several in kinds.items() if len(several) > 1 and name != "_metadata"}
+    same = [
+        df.withColumns({c: F.col(f"`{c}`").cast("string") for c in df.columns if c.lower() in mixed})
+        for df in frames
     ]
-
-
-def _union(frames: Sequence[DataFrame]) -> DataFrame | None:
-    if not frames:
-        return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def scan_parquet(
-    spark: SparkSession, paths: Sequence[str], schema: StructType = RETAIL_UPLOAD
-) -> DataFrame:
-    """Scan Parquet files; declared columns get their declared type, others are kept.
-
-    The date column keeps its own type here, since uploads carry real timestamps.
-    """
-    df = spark.read.option("mergeSchema", True).parquet(*map(literal_path, paths))
-    declared = {f.name.lower(): f.dataType for f in schema.fields if f.name not in DATE_COLUMNS}
-    return df.select(
-        *(
-            _typed(F.col(f"`{name}`"), declared[name.lower()], name)
-            if name.lower() in declared
-            else F.col(f"`{name}`")
-            for name in df.columns
-        ),
-        "_metadata",
-    )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
 
 
 def _complete(df: DataFrame, schema: StructType) -> DataFrame:
@@ -286,55 +140,139 @@ def parse_date_column(
     return df.withColumn(name, parsed)
 
 
-def with_year_month(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Add ``year`` and zero-padded ``month`` of the date column.
+def _dates_of(df: DataFrame) -> list[Column]:
+    found = [F.col(f"`{n}`") for n in DATE_COLUMNS if n in df.columns and isinstance(df.schema[n].dataType, TimestampType)]
+    return found or [F.lit(None).cast("timestamp")]
+
+
+def with_year_month(df: DataFrame, moment: Column | None = None) -> tuple[DataFrame, list[str]]:
+    """Add ``year`` and zero-padded ``month`` of the date column, or of ``moment``.
 
     Returns the frame and its partition columns. Rows without a readable date, and
     frames without a date column, keep null parts and land in Hive's default
     partition, so that a table has one layout whatever arrives first.
     """
-    name = date_column(df.columns)
-    moment = F.lit(None).cast("timestamp") if name is None else F.col(name)
+    if moment is None:
+        name = date_column(df.columns)
+        moment = F.lit(None).cast("timestamp") if name is None else F.col(name)
     parts = {"year": F.year(moment), "month": F.date_format(moment, "MM")}
     return df.withColumns(parts), list(parts)
 
 
-def _paths_by_suffix(listed: DataFrame) -> dict[str, list[str]]:
-    """Upload paths by lower-case suffix: file names only, as the reader needs them."""
-    found: dict[str, list[str]] = {}
-    for row in listed.collect():
-        found.setdefault(row.path.rsplit(".", 1)[-1].lower(), []).append(row.path)
-    return found
+class Scan:
+    """Uploads of a folder (or one named file) after their one pass: rows, votes and file facts.
 
+    ``rows`` holds every line, with ``csv_scan.REASON`` where it cannot be taken; it is ``None``
+    if there are no uploads. ``votes`` and ``files`` tell how dates are read, and the number of
+    data lines, by file.
+    """
 
-def scan_uploads(
-    spark: SparkSession,
-    directory: str,
-    file_name: str | None = None,
-    schema: StructType = RETAIL_UPLOAD,
-    multiline: bool = False,
-    encoding: str | None = None,
-    formats: Sequence[str] = UPLOAD_DATE_FORMATS,
-    unreadable: str | None = None,
-) -> list[DataFrame]:
-    """Uploads of a folder, one frame per file layout, with parsed dates.
+    def __init__(
+        self,
+        spark: SparkSession,
+        directory: str,
+        file_name: str | None = None,
+        schema: StructType = RETAIL_UPLOAD,
+        multiline: bool = False,
+        encoding: str | None = None,
+        formats: Sequence[str] = UPLOAD_DATE_FORMATS,
+    ):
+        suffix = (file_name or "").rpartition(".")[2].lower()
+        if file_name is not None and suffix not in ("csv", "parquet"):
+            raise ValueError(f"Unsupported file type: {suffix}")
+        self.listed = list_uploads(spark, directory, file_name)
+        target = _target(directory, file_name)
+        frames, facts = [], []
+        if suffix in ("", "csv"):
+            staged = csv_scan.stage(spark, target, multiline, encoding)
+            frames.append(csv_scan.rows(staged, schema, encoding=encoding))
+            facts.append(staged.files.select("path", "lines"))
+        if suffix in ("", "parquet"):
+            found = parquet_scan.footers(self.listed)
+            frames.append(parquet_scan.rows(spark, directory, file_name, found, schema))
+            facts.append(found.select("path", "lines"))
+        frames = [df for df in frames if df is not None]
+        self.files = reduce(DataFrame.unionByName, facts)
+        self.formats = formats
+        self.rows = self.votes = None
+        if frames:
+            union = _union(frames)
+            uri = F.col("_metadata.file_path").alias("uri")
+            self.votes = date_votes.vote(union.select(uri, F.col(DATE_TEXT).alias("text")), formats)
+            self.rows = self._dated(union)
+
+    def _dated(self, rows: DataFrame) -> DataFrame:
+        """Each file's date column as a timestamp, read as the file's own votes have it."""
+        votes = self.votes.select(F.col("uri").alias("_uri"), "ranks")
+        read = rows.join(votes, F.col("_metadata.file_path") == F.col("_uri"), "left")
+        moment = F.coalesce(
+            F.col(DATE_MOMENT), date_votes.read_by_rank(F.col(DATE_TEXT), F.col("ranks"), self.formats)
+        )
+        dates = {
+            name: F.when(F.col(DATE_NAME) == name, F.col("__moment"))
+            for name in rows.columns
+            if name in DATE_COLUMNS and isinstance(rows.schema[name].dataType, TimestampType)
+        }
+        return (
+            read.withColumn("__moment", moment)
+            .withColumns(dates)
+            .withColumn(_UNREADABLE, F.col(DATE_TEXT).isNotNull() & F.col("__moment").isNull())
+            .drop("_uri", "ranks", "__moment")
+        )
 
-    The date column is detected per layout and read by ``formats``; see ``parse_date_column``. Frames keep the hidden ``_metadata``
-    struct as a column, for ``add_provenance``.
-    """
-    by_suffix = _paths_by_suffix(list_uploads(spark, directory, file_name))
-    unknown = sorted(by_suffix.keys() - {"csv", "parquet"})
-    if unknown:
-        raise ValueError(f"Unsupported file type: {', '.join(unknown)}")
-
-    frames = []
-    if "csv" in by_suffix:
-        frames += scan_csv(
-            spark, by_suffix["csv"], schema, multiline=multiline, encoding=encoding
+    def accepted(self, on_error: str = "fail") -> DataFrame:
+        """Lines that can be taken. With ``fail`` any other is an error, with ``reject`` it is left out."""
+        if on_error not in ("fail", "reject"):
+            raise ValueError(f"on_error must be fail or reject, not {on_error}")
+        reason = F.col(REASON)
+        if on_error == "reject":
+            return self.rows.filter(reason.isNull())
+        message = F.concat(reason, F.lit(" ["), F.col("_metadata.file_name"), F.lit("]: "), F.col(LINE))
+        return self.rows.filter(F.when(reason.isNotNull(), F.raise_error(message)).otherwise(True).cast("boolean"))
+
+    def rejected(self) -> DataFrame:
+        """``path, line, reason`` of the lines that cannot be taken."""
+        return self.rows.filter(F.col(REASON).isNotNull()).select(
+            plain_path(F.col("_metadata.file_path")).alias("path"),
+            F.col(LINE).alias("line"),
+            F.col(REASON).alias("reason"),
+        )
+
+    def report(self) -> DataFrame:
+        """One row per listed upload: ``path, rows, rejected, accepted`` and how its dates are read.
+
+        ``rows`` are the lines that can be taken; a file without one is not accepted. Lines were
+        counted when the file was read; only refused ones are counted here.
+        """
+        def short(path: str | Column) -> Column:
+            return F.regexp_replace(path, "^file:/+", "file:/")
+
+        listed = self.listed.select(short("path").alias("path"))
+        files = self.files.select(short("path").alias("_path"), "lines")
+        out = listed.join(files, F.col("path") == F.col("_path"), "left").drop("_path")
+        if self.rows is None:
+            bad, dates = None, None
+            out = out.withColumn("rejected", F.lit(0).cast("long"))
+        else:
+            bad = self.rejected().groupBy(short("path").alias("_path")).agg(F.count(F.lit(1)).alias("bad"))
+            dates = self.votes.select(
+                short(plain_path(F.col("uri"))).alias("_path"), "layout", "exceptions", "ambiguous", "unreadable"
+            )
+            out = out.join(bad, F.col("path") == F.col("_path"), "left").drop("_path")
+            out = out.withColumn("rejected", F.coalesce("bad", F.lit(0))).drop("bad")
+        rows = (F.coalesce("lines", F.lit(0)) - F.col("rejected")).alias("rows")
+        out = out.select("path", rows, "rejected").withColumn("accepted", F.col("rows") > 0)
+        if dates is None:
+            none = F.lit(None).cast("long")
+            return out.select("*", F.lit(None).cast("string").alias("date_layout"), none.alias("date_exceptions"),
+                              none.alias("ambiguous_dates"), none.alias("unreadable_dates"))
+        return out.join(dates, F.col("path") == F.col("_path"), "left").select(
+            *out.columns,
+            F.col("layout").alias("date_layout"),
+            F.col("exceptions").alias("date_exceptions"),
+            F.col("ambiguous").alias("ambiguous_dates"),
+            F.col("unreadable").alias("unreadable_dates"),
         )
-    if "parquet" in by_suffix:
-        frames.append(scan_parquet(spark, by_suffix["parquet"], schema))
-    return [parse_date_column(df, formats, unreadable) for df in frames]
 
 
 def read_uploads(
@@ -344,36 +282,31 @@ def read_uploads(
     schema: StructType = RETAIL_UPLOAD,
     multiline: bool = False,
     encoding: str | None = None,
+    formats: Sequence[str] = UPLOAD_DATE_FORMATS,
+    on_error: str = "fail",
 ) -> DataFrame | None:
-    """``scan_uploads`` as one frame; ``None`` if there are no uploads."""
-    return _union(scan_uploads(spark, directory, file_name, schema, multiline, encoding))
+    """Uploads as one frame with parsed dates; ``None`` if there are none.
+
+    CSV files are UTF-8 where they are valid UTF-8, else Latin-1; columns are found by name, so
+    files may order them differently or carry more of them. Declared columns get their
+    declared type, others stay text. A named ``encoding`` holds for all files, which then must
+    have the declared header. ``multiline`` allows quoted line breaks but makes a file
+    unsplittable; without it such a line is refused. Files are read once, by this call, to
+    shared scratch. Frames keep ``_metadata`` for ``add_provenance``.
+    """
+    scan = Scan(spark, directory, file_name, schema, multiline, encoding, formats)
+    return None if scan.rows is None else scan.accepted(on_error).drop(*_SCANNED, _UNREADABLE)
 
 
 def validate_uploads(
-    spark: SparkSession, directory: str, schema: StructType = RETAIL_UPLOAD
+    spark: SparkSession,
+    directory: str,
+    schema: StructType = RETAIL_UPLOAD,
+    multiline: bool = False,
+    encoding: str | None = None,
 ) -> DataFrame:
-    """``path, rows, accepted`` for every listed upload; files without rows are rejected."""
-    listed = list_uploads(spark, directory)
-    paths = _paths_by_suffix(listed)
-    scans = []
-    if "csv" in paths:
-        listed_csv = [literal_path(path) for path in paths["csv"]]
-        scans.append(spark.read.schema(schema).option("header", True).csv(listed_csv))
-    if "parquet" in paths:
-        scans.append(spark.read.parquet(*map(literal_path, paths["parquet"])))
-    report = listed.withColumn("rows", F.lit(0).cast("bigint"))
-    for scan in scans:
-        report = report.unionByName(
-            scan.groupBy(F.col("_metadata.file_path").alias("uri"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select(plain_path(F.col("uri")).alias("path"), "rows")
-        )
-    return (
-        report.withColumn("path", F.regexp_replace("path", r"^file:/+", "file:/"))
-        .groupBy("path")
-        .agg(F.sum("rows").alias("rows"))
-        .withColumn("accepted", F.col("rows") > 0)
-    )
+    """The report that landing these uploads would give, without landing them; see ``Scan.report``."""
+    return Scan(spark, directory, None, schema, multiline, encoding).report()
 
 
 def land_uploads(
@@ -392,6 +325,7 @@ def land_uploads(
     observation: Observation | None = None,
     formats: Sequence[str] = UPLOAD_DATE_FORMATS,
     dates: Observation | None = None,
+    on_error: str = "fail",
 ) -> str | None:
     """Append uploads to the raw layer by year and month; returns the table path.
 
@@ -400,31 +334,42 @@ def land_uploads(
     touch few months per task and can do without the shuffle of ``rebalance``.
     ``observation`` collects ``rows``, ``dates`` the number of ``unreadable_dates``.
     Declared columns that an upload lacks are written as nulls of their type.
+
+    A line that cannot be taken fails the landing, before anything is added. With
+    ``on_error="reject"`` it goes to the table ``rejects`` instead. Either way the table
+    ``landed`` gets the report of each upload (see ``report_path``).
     """
     if format not in ("parquet", "csv"):
         raise ValueError(f"Unsupported output format: {format}")
-    frames = scan_uploads(
-        spark, directory, file_name, schema, multiline, encoding, formats, _UNREADABLE
-    )
-    if not frames:
-        return None
-    stamp = ingested_at or utc_now()
-    parted = [
-        with_year_month(add_provenance(df, entity, stamp).drop("_metadata")) for df in frames
-    ]
-    landed = _union([_complete(df, schema) for df, _ in parted])
-    if dates is not None:
-        landed = landed.observe(dates, F.count_if(_UNREADABLE).alias("unreadable_dates"))
-    landed = landed.drop(_UNREADABLE)
-    partition_cols = parted[0][1]
-    path = layer_path(lake_root, "raw", entity, source)
-    write(
-        landed,
-        path,
-        format,
-        partition_cols,
-        mode="append",
-        rebalance=rebalance,
-        observation=observation,
-    )
+    with scratch_scope(spark):
+        scan = Scan(spark, directory, file_name, schema, multiline, encoding, formats)
+        if scan.rows is None:
+            return None
+        stamp = ingested_at or utc_now()
+        report = materialize(scan.report(), "upload_report")
+        bad = report.agg(F.sum("rejected").alias("n")).first().n
+        rows = add_provenance(scan.accepted(on_error), entity, stamp)
+        landed, partition_cols = with_year_month(_complete(rows, schema), F.coalesce(*_dates_of(rows)))
+        if dates is not None:
+            landed = landed.observe(dates, F.count_if(_UNREADABLE).alias("unreadable_dates"))
+        path = layer_path(lake_root, "raw", entity, source)
+        write(
+            landed.drop(*_SCANNED, _UNREADABLE, "_metadata"),
+            path,
+            format,
+            partition_cols,
+            mode="append",
+            rebalance=rebalance,
+            observation=observation,
+        )
+        stamped = F.lit(stamp).alias(INGESTED_AT)
+        if bad:
+            refused = scan.rejected().select("*", stamped)
+            write(refused, report_path(lake_root, "rejects", entity, source), mode="append")
+        write(report.select("*", stamped), report_path(lake_root, "landed", entity, source), mode="append")
     return path
+
+
+def report_path(lake_root: str, table: str, entity: str = "retail_sales", source: str = "uci_online_retail") -> str:
+    """Where landing keeps its tables ``landed`` (a row per upload) and ``rejects`` (a row per line)."""
+    return layer_path(lake_root, "reports", f"{entity}_{table}", source)
