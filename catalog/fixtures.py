@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weathermart.functions.cities import assign_city
@@ -96,14 +96,14 @@ def stored_mart(spark: SparkSession, sf_dir: str, options: Options = FIXTURE_OPT
     return Mart(raw_sales(spark, sf_dir), raw_weather(spark, sf_dir), options, materialize)
 
 
-def upload_text(sales: DataFrame) -> DataFrame:
-    """Upload columns with the invoice date as the text a retail export holds."""
+def upload_text(sales: DataFrame, date: Column | None = None) -> DataFrame:
+    """Upload columns with the invoice date as the text a retail export holds, or as ``date``."""
     return sales.select(
         "InvoiceNo",
         "StockCode",
         "Description",
         "Quantity",
-        F.date_format("InvoiceDate", UPLOAD_DATE).alias("InvoiceDate"),
+        (F.date_format("InvoiceDate", UPLOAD_DATE) if date is None else date).alias("InvoiceDate"),
         "UnitPrice",
         "CustomerID",
         "Country",
@@ -122,6 +122,16 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", *partition_cols
     ).csv(path)
 
 
+def write_one_csv(df: DataFrame, path: str, folder: str, name: str) -> None:
+    """An upload of one file: all lines go through one task, as a retail export does."""
+    write_csv(df.coalesce(1), path)
+    jvm, spark = df.sparkSession._jvm, df.sparkSession
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    storage = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in storage.listStatus(source) if f.getPath().getName().endswith(".csv"))
+    storage.rename(part, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+
+
 def weather_payloads(weather: DataFrame) -> DataFrame:
     """``city, year, payload``: one JSON document of parallel arrays per city and year.
 

@@ -137,8 +137,9 @@ _WEEKDAY = (
 # A mean may end in half a cent; both engines round it up.
 _AVG, _SUM = "ROUND(avg(total_sales) + 1e-9, 2)", "ROUND(sum(total_sales), 2)"
 _TOTAL, _ROLLING = _round("total_sales"), _round("rolling_7d_sales", 4)
+_MINUTE = "strftime(InvoiceDate, '%Y-%m-%d %H:%M')"
 _UPLOAD = (
-    "InvoiceNo, StockCode, {}, Quantity, CAST(InvoiceDate AS DATE) AS InvoiceDate, UnitPrice, "
+    "InvoiceNo, StockCode, {}, Quantity, " + _MINUTE + " AS InvoiceDate, UnitPrice, "
     "CustomerID, Country"
 )
 _RAINY_PRODUCTS = f"""
@@ -151,7 +152,22 @@ _RAINY_PRODUCTS = f"""
 _SELECTS = {
     "scan_csv_encoding": "SELECT "
     + _UPLOAD.format("Description || ' é' AS Description")
-    + " FROM raw_sales",
+    + ", CASE WHEN InvoiceNo LIKE 'C%' THEN 't1' END AS Till FROM raw_sales",
+    "upload_date_votes": f"""
+        SELECT InvoiceNo, StockCode, {_MINUTE} AS InvoiceDate,
+               CASE CAST(StockCode AS INTEGER) % 3 WHEN 0 THEN 'day.csv' WHEN 1 THEN 'month.csv'
+                    ELSE 'mixed.csv' END AS _source_file
+        FROM raw_sales""",
+    "upload_rejects": """
+        SELECT reason, count(*) AS lines
+        FROM (SELECT unnest(CASE CAST(StockCode AS INTEGER) % 50
+                       WHEN 7 THEN ['Quantity is not a number: many']
+                       WHEN 8 THEN ['UnitPrice is not a number: ?']
+                       WHEN 9 THEN ['quoted line break, read with multiline=True',
+                                    'quoted line break, read with multiline=True']
+                       ELSE [''] END) AS reason
+              FROM raw_sales)
+        GROUP BY reason""",
     "scan_parquet": "SELECT " + _UPLOAD.format("Description") + " FROM raw_sales",
     "add_provenance": """
         SELECT o_orderkey, o_custkey, o_orderstatus, 'orders.parquet' AS _source_file,
@@ -162,13 +178,13 @@ _SELECTS = {
         FROM raw_sales GROUP BY 1
         UNION ALL SELECT 'none', CAST(0 AS BIGINT), FALSE""",
     "year_month_partition": """
-        SELECT InvoiceNo, StockCode, InvoiceDate, CAST(year(InvoiceDate) AS INTEGER) AS year,
-               strftime(InvoiceDate, '%m') AS month
+        SELECT InvoiceNo, StockCode, strftime(InvoiceDate, '%Y-%m-%d %H:%M') AS InvoiceDate,
+               CAST(year(InvoiceDate) AS INTEGER) AS year, strftime(InvoiceDate, '%m') AS month
         FROM (SELECT InvoiceNo, StockCode, CASE WHEN StockCode LIKE '%7' THEN NULL
-                     ELSE CAST(InvoiceDate AS DATE) END AS InvoiceDate FROM raw_sales)""",
+                     ELSE InvoiceDate END AS InvoiceDate FROM raw_sales)""",
     "raw_sink_roundtrip": "SELECT "
     + _UPLOAD.format("Description")
-    + """, 'retail_sales' AS _entity, '2025-01-01T00:00:00+00:00' AS _ingested_at,
+    + """, '.csv' AS _source_file, 'retail_sales' AS _entity, '2025-01-01T00:00:00+00:00' AS _ingested_at,
            CAST(year(InvoiceDate) AS INTEGER) AS year, CAST(month(InvoiceDate) AS INTEGER) AS month
         FROM raw_sales""",
     "weather_payload_valid": f"""

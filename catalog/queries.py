@@ -43,14 +43,15 @@ def rounded(df: DataFrame, **places: int) -> DataFrame:
     )
 
 
-def _with_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("InvoiceDate", F.col("InvoiceDate").cast("date"))
+def _to_the_minute(df: DataFrame) -> DataFrame:
+    return df.withColumn("InvoiceDate", F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm"))
 
 
 # --- sources and sinks -------------------------------------------------------
 
 
 def scan_csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads in two encodings and three column orders, one of them with a column more."""
     path = scratch_dir(spark)
     text = materialize(
         fx.upload_text(fx.raw_sales(spark, sf_dir)).withColumn(
@@ -59,15 +60,60 @@ def scan_csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "upload_text",
     )
     returned = F.col("InvoiceNo").startswith("C")
-    fx.write_csv(text.filter(~returned), path, "UTF-8")
-    fx.write_csv(text.filter(returned), path, "ISO-8859-1")
-    return _with_date(uploads.read_uploads(spark, path).drop("_metadata"))
+    even = F.col("StockCode").cast("int") % 2 == 0
+    turned = text.select(*reversed(text.columns))
+    fx.write_csv(text.filter(~returned & even), path, "UTF-8")
+    fx.write_csv(turned.filter(~returned & ~even), path, "UTF-8")
+    fx.write_csv(turned.withColumn("Till", F.lit("t1")).filter(returned), path, "ISO-8859-1")
+    return _to_the_minute(uploads.read_uploads(spark, path).drop("_metadata"))
 
 
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads whose customer numbers are whole in some files and doubles in others."""
     path = scratch_dir(spark)
-    fx.raw_sales(spark, sf_dir).write.parquet(path)
-    return _with_date(uploads.read_uploads(spark, path).drop("_metadata"))
+    sales = materialize(fx.raw_sales(spark, sf_dir), "raw_sales")
+    returned = F.col("InvoiceNo").startswith("C")
+    whole = sales.withColumns({c: F.col(c).cast("bigint") for c in ("CustomerID", "Quantity")})
+    sales.filter(returned).write.mode("append").parquet(path)
+    whole.filter(~returned).write.mode("append").parquet(path)
+    return _to_the_minute(uploads.read_uploads(spark, path).drop("_metadata"))
+
+
+def upload_date_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day-first, a month-first and a mixed upload: dates as their own file's values have them."""
+    folder, lake = scratch_dir(spark), scratch_dir(spark)
+    sales = materialize(fx.raw_sales(spark, sf_dir), "raw_sales")
+    third = F.col("StockCode").cast("int") % 3
+    day_first = F.date_format("InvoiceDate", "d/M/yyyy H:mm")
+    month_first = F.date_format("InvoiceDate", "M/d/yyyy H:mm")
+    # Where both orders would read a date, the mixed upload has it month first.
+    mixed = F.when(F.dayofmonth("InvoiceDate") > 27, day_first).otherwise(month_first)
+    batches = {"day": (third == 0, day_first), "month": (third == 1, month_first), "mixed": (third == 2, mixed)}
+    for name, (own, text) in batches.items():
+        fx.write_one_csv(fx.upload_text(sales.filter(own), text), f"{folder}/{name}", folder, f"{name}.csv")
+    path = uploads.land_uploads(spark, folder, lake, ingested_at=STAMP_1)
+    return _to_the_minute(spark.read.schema(RAW_SALES).parquet(path)).select(
+        "InvoiceNo", "StockCode", "InvoiceDate", "_source_file"
+    )
+
+
+def upload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that landing refuses, and how many it takes, by reason."""
+    folder, lake = scratch_dir(spark), scratch_dir(spark)
+    text = fx.upload_text(fx.raw_sales(spark, sf_dir))
+    part = F.col("StockCode").cast("int")
+    broken = text.withColumns(
+        {
+            "Quantity": F.when(part % 50 == 7, "many").otherwise(F.col("Quantity").cast("string")),
+            "UnitPrice": F.when(part % 50 == 8, "?").otherwise(F.col("UnitPrice").cast("string")),
+            "Description": F.when(part % 50 == 9, "cut\nhere").otherwise(F.col("Description")),
+        }
+    )
+    fx.write_csv(broken, folder)
+    path = uploads.land_uploads(spark, folder, lake, ingested_at=STAMP_1, on_error="reject")
+    taken = spark.read.parquet(path).select(F.lit("").alias("reason"))
+    refused = spark.read.parquet(uploads.report_path(lake, "rejects")).select("reason")
+    return taken.unionByName(refused).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def add_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,14 +143,16 @@ def year_month_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("StockCode").endswith("7"), "not a date").otherwise(F.col("InvoiceDate")),
     )
     parted, _ = uploads.with_year_month(uploads.parse_date_column(text))
-    return _with_date(parted.select("InvoiceNo", "StockCode", "InvoiceDate", "year", "month"))
+    return _to_the_minute(parted.select("InvoiceNo", "StockCode", "InvoiceDate", "year", "month"))
 
 
 def raw_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, lake = scratch_dir(spark), scratch_dir(spark)
     fx.write_csv(fx.upload_text(fx.raw_sales(spark, sf_dir)), folder)
     path = uploads.land_uploads(spark, folder, lake, ingested_at=STAMP_1)
-    return _with_date(spark.read.parquet(path).drop("_source_file"))
+    return _to_the_minute(
+        spark.read.parquet(path).withColumn("_source_file", F.regexp_extract("_source_file", r"\.\w+$", 0))
+    )
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -466,6 +514,8 @@ def queries() -> dict[str, Query]:
     return {
         "scan_csv_encoding": scan_csv_encoding,
         "scan_parquet": scan_parquet,
+        "upload_date_votes": upload_date_votes,
+        "upload_rejects": upload_rejects,
         "add_provenance": add_provenance,
         "validate_nonempty": validate_nonempty,
         "year_month_partition": year_month_partition,

@@ -14,7 +14,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import (
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+)
 
 from weathermart.sources.paths import materialize, plain_path
 
@@ -184,8 +192,8 @@ def stage(
     return Staged(lines, files)
 
 
-def typed(text: Column, kind, name: str) -> tuple[Column, Column]:
-    """A cell as its declared type, and why it cannot be (null if it can).
+def typed(text: Column, kind: DataType, name: str, is_number: bool = False) -> tuple[Column, Column]:
+    """A cell (text, or ``is_number``) as its declared type, and why it cannot be (null if it can).
 
     Whole numbers may be written with a decimal point, as exports of nullable integer columns
     do; a real fraction is refused rather than cut off.
@@ -197,18 +205,27 @@ def typed(text: Column, kind, name: str) -> tuple[Column, Column]:
     def because(problem: str) -> Column:
         return F.concat(F.lit(f"{name} {problem}: "), shown)
 
-    if isinstance(kind, (IntegerType, LongType)):
-        number = text.try_cast("double")
-        whole = number.try_cast(kind)
-        reason = (
-            F.when(number.isNull(), because("is not a number"))
-            .when(number != F.floor(number), because("is not a whole number"))
-            .when(whole.isNull(), because(f"overflows {kind.simpleString()}"))
-        )
-        return whole, F.when(text.isNotNull(), reason)
-    value = text.try_cast(kind)
-    problem = "is not a number" if isinstance(kind, (DoubleType, FloatType)) else f"is not of type {kind.simpleString()}"
-    return value, F.when(text.isNotNull() & value.isNull(), because(problem))
+    # The plain cast goes first: it is the common case, and the rest is for what it refuses.
+    plain = text.try_cast(kind)
+    if not isinstance(kind, (IntegerType, LongType)):
+        of_kind = "a number" if isinstance(kind, (DoubleType, FloatType)) else f"of type {kind.simpleString()}"
+        return plain, F.when(text.isNotNull() & plain.isNull(), because(f"is not {of_kind}"))
+    number = text.try_cast("double")
+    whole = F.when(number == F.floor(number), number.try_cast(kind))
+    if is_number:
+        plain = whole
+    reason = (
+        F.when(number.isNull(), because("is not a number"))
+        .when(number != F.floor(number), because("is not a whole number"))
+        .when(number.try_cast(kind).isNull(), because(f"overflows {kind.simpleString()}"))
+    )
+    return F.coalesce(plain, whole), F.when(text.isNotNull() & plain.isNull(), reason)
+
+
+def or_fail(value: Column, reason: Column, place: Column) -> Column:
+    """``value``, or an error that tells the reason and the place."""
+    error = F.raise_error(F.concat(reason, F.lit(" ["), place, F.lit("]")))
+    return F.when(reason.isNotNull(), error).otherwise(value)
 
 
 @dataclass(frozen=True)
@@ -255,19 +272,19 @@ def rows(
     schema: StructType,
     null_markers: Sequence[str] = NULL_MARKERS,
     encoding: str | None = None,
+    strict: bool = False,
 ) -> DataFrame | None:
     """All data lines with their columns found by name, and ``__reason`` where a line cannot be
-    taken as declared; ``None`` if no file has a line.
+    taken as declared; ``None`` if no file has a line. If ``strict``, cells that cannot be read
+    are errors, and only lines of a wrong form have a reason.
 
     Declared columns have their type, others are text. The date column of a file is null under
     its own name until ``DATE_TEXT`` is read.
     """
-    pairs = (
-        staged.files.select(F.explode("names").alias("name"), "date_name")
-        .select("name", F.coalesce(F.col("name") == F.col("date_name"), F.lit(False)).alias("is_date"))
-        .distinct()
-        .collect()
-    )
+    # Distinct column names, not files.
+    is_date = F.coalesce(F.col("name") == F.col("date_name"), F.lit(False)).alias("is_date")
+    named = staged.files.select(F.explode("names").alias("name"), "date_name").select("name", is_date)
+    pairs = named.agg(F.sort_array(F.collect_set(F.struct("name", "is_date"))).alias("pairs")).first().pairs
     if not pairs:
         return None
     columns = output_columns([(p.name, p.is_date) for p in pairs], schema)
@@ -284,6 +301,7 @@ def rows(
 
     files = staged.files.select(
         F.col("uri").alias("_uri"), "utf8", "head", "width", "date_name",
+        plain_path(F.col("name")).alias("source"),
         F.array(*(slot(c) for c in columns)).alias("slots"),
         (F.array_position("names", F.col("date_name")) - 1).cast("int").alias("date_slot"),
         *([_expected_header(schema).alias("expected")] if encoding else []),
@@ -299,17 +317,24 @@ def rows(
     def present(cell: Column) -> Column:
         return F.when(~cell.isin(*null_markers), cell)
 
-    values, reasons = {}, []
+    # Three steps, so that no step's code grows too long to be compiled: pick the cells, decode
+    # the texts, type the numbers. Each uses the step before several times, which keeps the
+    # optimizer from joining them.
+    texts, values, reasons = {}, {}, []
     for i, column in enumerate(columns):
-        cell = F.get("cells", F.get("slots", F.lit(i)))
         kind = declared.get(column.name.lower(), StringType())
+        cell = F.get("picked", F.lit(i))
         if column.as_date:
             values[column.name] = F.lit(None).cast("timestamp")
             continue
-        value, reason = typed(present(cell), kind, column.name)
-        values[column.name] = decoded(value) if isinstance(kind, StringType) else value
-        if not isinstance(kind, StringType):
-            reasons.append(reason)
+        if isinstance(kind, StringType):
+            texts[f"__cell_{i}"] = decoded(cell)
+            values[column.name] = F.col(f"__cell_{i}")
+            continue
+        texts[f"__cell_{i}"] = F.trim(cell)
+        value, reason = typed(F.col(f"__cell_{i}"), kind, column.name)
+        values[column.name] = or_fail(value, reason, F.col("source")) if strict else value
+        reasons += [] if strict else [reason]
     n = F.size("cells")
     # The header is no data line; its cells must not be judged, in whichever order filters run.
     data = F.col("at").isNull() | (F.col("at") != F.col("head"))
@@ -324,12 +349,22 @@ def rows(
     checked = staged.lines.join(files, F.col("uri") == F.col("_uri")).filter(data)
     if encoding:
         checked = checked.filter("expected")
-    return checked.select(
+    picked = F.transform(
+        F.concat("slots", F.array("date_slot")), lambda slot: present(F.get("cells", slot))
+    )
+    facts = ["uri", "source", "utf8", "width", "open", "odd", "cells", "date_name"]
+    cells = checked.select(*facts, data.alias("data"), picked.alias("picked")).select(
+        *facts,
+        "data",
+        *(cell.alias(name) for name, cell in texts.items()),
+        decoded(F.get("picked", F.lit(len(columns)))).alias("__date_cell"),
+    )
+    return cells.select(
         *(value.alias(name) for name, value in values.items()),
-        F.struct(F.col("uri").alias("file_path"), F.col("name").alias("file_name")).alias("_metadata"),
-        F.when(data, problem).alias(REASON),
+        F.struct(F.col("uri").alias("file_path"), F.col("source").alias("plain_name")).alias("_metadata"),
+        F.when(F.col("data"), problem).alias(REASON),
         decoded(F.array_join("cells", ",", "")).alias(LINE),
-        decoded(present(F.get("cells", F.col("date_slot")))).alias(DATE_TEXT),
+        F.col("__date_cell").alias(DATE_TEXT),
         F.lit(None).cast("timestamp").alias(DATE_MOMENT),
         F.col("date_name").alias(DATE_NAME),
     )

@@ -9,6 +9,7 @@ listed), and a value is read by the first layout of its file that can read it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,15 +25,17 @@ def _readings(text: Column, formats: Sequence[str]) -> list[Column]:
 
 
 def _without_clock(text: Column) -> Column:
-    seconds = F.regexp_replace(text, r"\d{1,2}:\d{2}:\d{2}(\.\d+)?", "11:11:11")
-    return F.regexp_replace(seconds, r"(?<![\d:])\d{1,2}:\d{2}(?![\d:])", "11:11")
+    """The text with all digits of a clock time at its end as ones, so that days count, not minutes."""
+    clock = F.substring_index(text, " ", -1)
+    ones = F.translate(clock, "0123456789", "1" * 10)
+    return F.when(F.instr(clock, ":") > 0, F.concat(F.substring(text, F.lit(1), F.length(text) - F.length(clock)), ones)).otherwise(text)
 
 
 def vote(texts: DataFrame, formats: Sequence[str]) -> DataFrame:
     """Votes of ``(uri, text)`` rows, one row per file, written to scratch.
 
     ``ranks`` has the rank of ISO and of each format, null for those that read nothing;
-    ``layout`` is the winner. ``dates`` counts texts, ``exceptions`` those that only another
+    ``best`` is the winner's place and ``layout`` its text. ``dates`` counts texts, ``exceptions`` those that only another
     layout reads, ``unreadable`` those that none reads, and ``ambiguous`` those that a layout
     with as many votes reads as another day.
     """
@@ -83,17 +86,23 @@ def vote(texts: DataFrame, formats: Sequence[str]) -> DataFrame:
             total(~any_read).alias("unreadable"),
         )
     )
-    return materialize(report.withColumn("layout", F.get(names, F.col("best"))).drop("best"), "date_votes")
+    return materialize(report.withColumn("layout", F.get(names, F.col("best"))), "date_votes")
 
 
-def read_by_rank(text: Column, ranks: Column, formats: Sequence[str]) -> Column:
-    """The moment that the best-ranked layout reads; formats without a rank are not tried."""
+def read_as_voted(text: Column, formats: Sequence[str]) -> Column:
+    """The moment that the best-ranked layout reads, by the ``ranks``, ``best`` and ``exceptions``
+    of the text's file. Where the best one reads all that can be read, no other is tried.
+    """
+    readings = _readings(text, formats)
+    alone = reduce(
+        lambda case, i: case.when(F.col("best") == i, readings[i]),
+        range(1, len(readings)),
+        F.when(F.col("best") == 0, readings[0]),
+    )
+    rank = [F.get("ranks", F.lit(i)) for i in range(len(readings))]
     options = [
-        F.struct(
-            F.get(ranks, F.lit(i)).alias("rank"),
-            F.when(F.get(ranks, F.lit(i)).isNotNull(), reading).alias("moment"),
-        )
-        for i, reading in enumerate(_readings(text, formats))
+        F.struct(r.alias("rank"), F.when(r.isNotNull(), reading).alias("moment"))
+        for r, reading in zip(rank, readings)
     ]
     found = F.array_min(F.filter(F.array(*options), lambda o: o["moment"].isNotNull()))
-    return found["moment"]
+    return F.when(F.col("exceptions") > 0, found["moment"]).otherwise(alone)

@@ -39,9 +39,10 @@ from weathermart.sources.csv_scan import (
     DATE_TEXT,
     LINE,
     REASON,
+    or_fail,
     typed,
 )
-from weathermart.sources.paths import literal_path, materialize, open_input
+from weathermart.sources.paths import literal_path, materialize, open_input, plain_path
 
 _ROW_METADATA = b"org.apache.spark.sql.parquet.row.metadata"
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
@@ -97,8 +98,9 @@ def common_type(kinds: Sequence[DataType]) -> DataType:
     return StringType()
 
 
-def _scan(files: DataFrame, schema: StructType, types: dict[str, DataType]) -> DataFrame:
+def _scan(files: DataFrame, schema: StructType, types: dict[str, DataType], strict: bool) -> DataFrame:
     """Rows of the files of one schema, in the form of ``csv_scan.rows``."""
+    name_of_file = plain_path(F.col("_metadata.file_name"))
     declared = {f.name.lower(): f.dataType for f in schema.fields if f.name not in DATE_COLUMNS}
     date = next((name for name in DATE_COLUMNS if name in files.columns), None)
     out, reasons = [], []
@@ -107,9 +109,10 @@ def _scan(files: DataFrame, schema: StructType, types: dict[str, DataType]) -> D
         if name == date:
             out.append(F.lit(None).cast("timestamp").alias(name))
         elif name.lower() in declared:
-            value, reason = typed(column, declared[name.lower()], name)
-            out.append(value.alias(name))
-            reasons.append(reason)
+            is_number = not isinstance(files.schema[name].dataType, StringType)
+            value, reason = typed(column, declared[name.lower()], name, is_number)
+            out.append((or_fail(value, reason, name_of_file) if strict else value).alias(name))
+            reasons += [] if strict else [reason]
         else:
             out.append(column.cast(types[name]).alias(name))
     text, moment = F.lit(None).cast("string"), F.lit(None).cast("timestamp")
@@ -120,7 +123,7 @@ def _scan(files: DataFrame, schema: StructType, types: dict[str, DataType]) -> D
             text = F.col(date).cast("string")
     return files.select(
         *out,
-        F.struct("_metadata.file_path", "_metadata.file_name").alias("_metadata"),
+        F.struct("_metadata.file_path", name_of_file.alias("plain_name")).alias("_metadata"),
         F.coalesce(*reasons, F.lit(None).cast("string")).alias(REASON),
         F.to_json(F.struct(*(F.col(f"`{name}`") for name in files.columns))).alias(LINE),
         text.alias(DATE_TEXT),
@@ -130,7 +133,12 @@ def _scan(files: DataFrame, schema: StructType, types: dict[str, DataType]) -> D
 
 
 def rows(
-    spark: SparkSession, directory: str, file_name: str | None, found: DataFrame, schema: StructType
+    spark: SparkSession,
+    directory: str,
+    file_name: str | None,
+    found: DataFrame,
+    schema: StructType,
+    strict: bool = False,
 ) -> DataFrame | None:
     """All rows of the files in ``footers`` form, one scan per distinct schema; ``None`` if
     there is no file.
@@ -154,5 +162,5 @@ def rows(
         else:
             own = found.filter(F.col("footer") == kind.json()).select("path").collect()
             files = reader.parquet(*(literal_path(r.path) for r in own))
-        scans.append(_scan(files, schema, types))
+        scans.append(_scan(files, schema, types, strict))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)

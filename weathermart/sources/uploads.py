@@ -27,6 +27,7 @@ from weathermart.sources.csv_scan import (
     DATE_TEXT,
     LINE,
     REASON,
+    or_fail,
 )
 from weathermart.sources.paths import (
     layer_path,
@@ -64,6 +65,12 @@ def _target(directory: str, file_name: str | None) -> str:
     return directory if file_name is None else f"{directory.rstrip('/')}/{literal_path(file_name)}"
 
 
+def _any_parquet(spark: SparkSession, directory: str) -> bool:
+    """Whether the folder's listing has a Parquet file; no job is needed for none."""
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return not names.load(directory).select("path").isEmpty()
+
+
 def inspect_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``path, utf8, layout`` per CSV file: whether all of it is valid UTF-8, and a hash of its header."""
     files = csv_scan.stage(spark, [literal_path(path) for path in paths]).files
@@ -107,9 +114,11 @@ def add_provenance(df: DataFrame, entity: str, ingested_at: str | None = None) -
     The stamp is one constant per call, so a retried task writes the same value.
     """
     stamp = ingested_at or utc_now()
+    scanned = "_metadata" in df.columns and "plain_name" in df.schema["_metadata"].dataType.names
+    name = F.col("_metadata.plain_name") if scanned else plain_path(F.col("_metadata.file_name"))
     return df.withColumns(
         {
-            SOURCE_FILE: plain_path(F.col("_metadata.file_name")),
+            SOURCE_FILE: name,
             ENTITY: F.lit(entity),
             INGESTED_AT: F.lit(stamp),
         }
@@ -176,7 +185,11 @@ class Scan:
         multiline: bool = False,
         encoding: str | None = None,
         formats: Sequence[str] = UPLOAD_DATE_FORMATS,
+        on_error: str = "reject",
     ):
+        if on_error not in ("fail", "reject"):
+            raise ValueError(f"on_error must be fail or reject, not {on_error}")
+        strict = self.strict = on_error == "fail"
         suffix = (file_name or "").rpartition(".")[2].lower()
         if file_name is not None and suffix not in ("csv", "parquet"):
             raise ValueError(f"Unsupported file type: {suffix}")
@@ -185,11 +198,11 @@ class Scan:
         frames, facts = [], []
         if suffix in ("", "csv"):
             staged = csv_scan.stage(spark, target, multiline, encoding)
-            frames.append(csv_scan.rows(staged, schema, encoding=encoding))
+            frames.append(csv_scan.rows(staged, schema, encoding=encoding, strict=strict))
             facts.append(staged.files.select("path", "lines"))
-        if suffix in ("", "parquet"):
+        if suffix == "parquet" or not suffix and _any_parquet(spark, directory):
             found = parquet_scan.footers(self.listed)
-            frames.append(parquet_scan.rows(spark, directory, file_name, found, schema))
+            frames.append(parquet_scan.rows(spark, directory, file_name, found, schema, strict))
             facts.append(found.select("path", "lines"))
         frames = [df for df in frames if df is not None]
         self.files = reduce(DataFrame.unionByName, facts)
@@ -203,11 +216,9 @@ class Scan:
 
     def _dated(self, rows: DataFrame) -> DataFrame:
         """Each file's date column as a timestamp, read as the file's own votes have it."""
-        votes = self.votes.select(F.col("uri").alias("_uri"), "ranks")
+        votes = self.votes.select(F.col("uri").alias("_uri"), "ranks", "best", "exceptions")
         read = rows.join(votes, F.col("_metadata.file_path") == F.col("_uri"), "left")
-        moment = F.coalesce(
-            F.col(DATE_MOMENT), date_votes.read_by_rank(F.col(DATE_TEXT), F.col("ranks"), self.formats)
-        )
+        moment = F.coalesce(F.col(DATE_MOMENT), date_votes.read_as_voted(F.col(DATE_TEXT), self.formats))
         dates = {
             name: F.when(F.col(DATE_NAME) == name, F.col("__moment"))
             for name in rows.columns
@@ -217,18 +228,16 @@ class Scan:
             read.withColumn("__moment", moment)
             .withColumns(dates)
             .withColumn(_UNREADABLE, F.col(DATE_TEXT).isNotNull() & F.col("__moment").isNull())
-            .drop("_uri", "ranks", "__moment")
+            .drop("_uri", "ranks", "best", "exceptions", "__moment")
         )
 
-    def accepted(self, on_error: str = "fail") -> DataFrame:
-        """Lines that can be taken. With ``fail`` any other is an error, with ``reject`` it is left out."""
-        if on_error not in ("fail", "reject"):
-            raise ValueError(f"on_error must be fail or reject, not {on_error}")
+    def accepted(self) -> DataFrame:
+        """Lines that can be taken. With ``on_error="fail"`` any other is an error."""
         reason = F.col(REASON)
-        if on_error == "reject":
+        if not self.strict:
             return self.rows.filter(reason.isNull())
-        message = F.concat(reason, F.lit(" ["), F.col("_metadata.file_name"), F.lit("]: "), F.col(LINE))
-        return self.rows.filter(F.when(reason.isNotNull(), F.raise_error(message)).otherwise(True).cast("boolean"))
+        place = F.concat(F.col("_metadata.plain_name"), F.lit(": "), F.col(LINE))
+        return self.rows.filter(or_fail(F.lit(True), reason, place).cast("boolean"))
 
     def rejected(self) -> DataFrame:
         """``path, line, reason`` of the lines that cannot be taken."""
@@ -242,22 +251,25 @@ class Scan:
         """One row per listed upload: ``path, rows, rejected, accepted`` and how its dates are read.
 
         ``rows`` are the lines that can be taken; a file without one is not accepted. Lines were
-        counted when the file was read; only refused ones are counted here.
+        counted when the file was read; only refused ones are counted here, and after a scan
+        that fails on them there are none.
         """
+
         def short(path: str | Column) -> Column:
             return F.regexp_replace(path, "^file:/+", "file:/")
 
         listed = self.listed.select(short("path").alias("path"))
         files = self.files.select(short("path").alias("_path"), "lines")
         out = listed.join(files, F.col("path") == F.col("_path"), "left").drop("_path")
-        if self.rows is None:
-            bad, dates = None, None
-            out = out.withColumn("rejected", F.lit(0).cast("long"))
-        else:
-            bad = self.rejected().groupBy(short("path").alias("_path")).agg(F.count(F.lit(1)).alias("bad"))
+        dates = None
+        if self.rows is not None:
             dates = self.votes.select(
                 short(plain_path(F.col("uri"))).alias("_path"), "layout", "exceptions", "ambiguous", "unreadable"
             )
+        if self.rows is None or self.strict:
+            out = out.withColumn("rejected", F.lit(0).cast("long"))
+        else:
+            bad = self.rejected().groupBy(short("path").alias("_path")).agg(F.count(F.lit(1)).alias("bad"))
             out = out.join(bad, F.col("path") == F.col("_path"), "left").drop("_path")
             out = out.withColumn("rejected", F.coalesce("bad", F.lit(0))).drop("bad")
         rows = (F.coalesce("lines", F.lit(0)) - F.col("rejected")).alias("rows")
@@ -294,8 +306,8 @@ def read_uploads(
     unsplittable; without it such a line is refused. Files are read once, by this call, to
     shared scratch. Frames keep ``_metadata`` for ``add_provenance``.
     """
-    scan = Scan(spark, directory, file_name, schema, multiline, encoding, formats)
-    return None if scan.rows is None else scan.accepted(on_error).drop(*_SCANNED, _UNREADABLE)
+    scan = Scan(spark, directory, file_name, schema, multiline, encoding, formats, on_error)
+    return None if scan.rows is None else scan.accepted().drop(*_SCANNED, _UNREADABLE)
 
 
 def validate_uploads(
@@ -342,13 +354,11 @@ def land_uploads(
     if format not in ("parquet", "csv"):
         raise ValueError(f"Unsupported output format: {format}")
     with scratch_scope(spark):
-        scan = Scan(spark, directory, file_name, schema, multiline, encoding, formats)
+        scan = Scan(spark, directory, file_name, schema, multiline, encoding, formats, on_error)
         if scan.rows is None:
             return None
         stamp = ingested_at or utc_now()
-        report = materialize(scan.report(), "upload_report")
-        bad = report.agg(F.sum("rejected").alias("n")).first().n
-        rows = add_provenance(scan.accepted(on_error), entity, stamp)
+        rows = add_provenance(scan.accepted(), entity, stamp)
         landed, partition_cols = with_year_month(_complete(rows, schema), F.coalesce(*_dates_of(rows)))
         if dates is not None:
             landed = landed.observe(dates, F.count_if(_UNREADABLE).alias("unreadable_dates"))
@@ -363,7 +373,10 @@ def land_uploads(
             observation=observation,
         )
         stamped = F.lit(stamp).alias(INGESTED_AT)
-        if bad:
+        report = scan.report()
+        if on_error == "reject":
+            report = materialize(report, "upload_report")
+        if on_error == "reject" and report.filter("rejected > 0").limit(1).count():
             refused = scan.rejected().select("*", stamped)
             write(refused, report_path(lake_root, "rejects", entity, source), mode="append")
         write(report.select("*", stamped), report_path(lake_root, "landed", entity, source), mode="append")
