@@ -290,6 +290,18 @@ _SELECTS = {
                {_dense_id("stock_code", "product_description")} AS product_id
         FROM (SELECT DISTINCT StockCode AS stock_code, trim(Description) AS product_description
               FROM bronze_sales)""",
+    "growing_keys": f"""
+        SELECT p.stock_code, p.product_description, p.product_id, coalesce(lines, 0) AS lines
+        FROM (SELECT stock_code, product_description,
+                     {_dense_id("stock_code", "product_description").replace("ORDER BY", "ORDER BY late,")}
+                       AS product_id, late
+              FROM (SELECT StockCode AS stock_code, trim(Description) AS product_description,
+                           min(date) >= DATE '2025-01-01' AS late
+                    FROM product_grain GROUP BY 1, 2)
+              WHERE stock_code IS NOT NULL AND product_description <> '') p
+             LEFT JOIN (SELECT StockCode AS stock_code, count(*) AS lines FROM product_grain
+                        WHERE date < DATE '2025-01-01' GROUP BY 1) f
+               ON f.stock_code = p.stock_code AND NOT late""",
     "dim_date": "SELECT * FROM dim_date",
     "dim_location": "SELECT * FROM dim_location",
     "dim_product": "SELECT * FROM dim_product",

@@ -25,7 +25,7 @@ from weathermart.functions.measures import (
 from weathermart.operators import bronze, checks, dedupe, dimensions, facts, gold, silver
 from weathermart.plans import reports
 from weathermart.schemas import RAW_SALES
-from weathermart.sources import tables, uploads, weather
+from weathermart.sources import key_registry, tables, uploads, weather
 from weathermart.sources.paths import materialize, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -430,6 +430,23 @@ def surrogate_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_dense_id(products, ["stock_code", "product_description"], "product_id")
 
 
+def growing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of two loads, the second with new members: facts keep the ids of the first."""
+    path = f"{scratch_dir(spark)}/dim_product"
+    lines = materialize(fx.mart(spark, sf_dir).silver_product_grain, "lines")
+
+    def number(members: DataFrame, keys: list[str], id_column: str) -> DataFrame:
+        return key_registry.assign_keys(members, path, keys, id_column)
+
+    early = lines.filter(F.col("date") < "2025-01-01")
+    first = materialize(dimensions.dim_product(early, number), "first_load")
+    facts_before = facts.join_products(early, first).groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"))
+    second = dimensions.dim_product(lines, number)
+    return second.join(facts_before, "product_id", "left").select(
+        *second.columns, F.coalesce("lines", F.lit(0)).alias("lines")
+    )
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.mart(spark, sf_dir).dim_date
 
@@ -553,6 +570,7 @@ def queries() -> dict[str, Query]:
         "distinct_products": distinct_products,
         "surrogate_location": surrogate_location,
         "surrogate_product": surrogate_product,
+        "growing_keys": growing_keys,
         "dim_date": dim_date,
         "dim_location": dim_location,
         "dim_product": dim_product,

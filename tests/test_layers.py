@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from weathermart.operators import bronze, checks, dedupe, dimensions, facts, gold, silver
 from weathermart.plans import reports
 from weathermart.schemas import CONTRACTS, check_contract
+from weathermart.sources import key_registry
 
 RAW = (
     "InvoiceNo string, StockCode string, Description string, Quantity int, "
@@ -260,3 +261,22 @@ def test_contract_breaks_are_named(spark):
     df = spark.createDataFrame([(1, 2)], "city int, extra int")
     with pytest.raises(ValueError, match="city: expected string, found int.*extra.*location_id"):
         check_contract(df, "dim_location")
+
+
+def test_stored_keys_stay_when_members_are_added(spark, tmp_path):
+    path = f"{tmp_path}/keys"
+
+    def load(*members):
+        df = spark.createDataFrame([(m, m and m.upper()) for m in members], "code string, name string")
+        found = key_registry.assign_keys(df, path, ["code", "name"], "id")
+        return {row.code: row.id for row in found.collect()}
+
+    first = load("a", "b", "b", None, "c")
+    assert sorted(first.values()) == [0, 1, 2, 3]
+    assert load("c", "a") == {k: first[k] for k in "ca"}
+    second = load("a", None, "d", "e")
+    assert {k: second[k] for k in ("a", None)} == {k: first[k] for k in ("a", None)}
+    assert sorted(second[k] for k in "de") == [4, 5]
+    stored = spark.read.parquet(path)
+    assert rows(stored.groupBy("version").count()) == [(0, 4), (1, 2)]
+    assert load() == {}

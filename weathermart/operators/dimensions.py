@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,19 +53,16 @@ def dim_date(gold: DataFrame) -> DataFrame:
     )
 
 
-def dim_location(gold: DataFrame) -> DataFrame:
-    return check_contract(
-        with_dense_id(distinct_cities(gold), ["city"], "location_id"), "dim_location"
-    )
+# Numbers distinct members by their key columns: ``(members, keys, id column)``.
+Numbering = Callable[[DataFrame, list[str], str], DataFrame]
+
 
+def dim_location(gold: DataFrame, number: Numbering = with_dense_id) -> DataFrame:
+    """Cities with an id; ``number`` may look ids up in a key table instead."""
+    return check_contract(number(distinct_cities(gold), ["city"], "location_id"), "dim_location")
 
-def dim_product(lines: DataFrame) -> DataFrame:
+
+def dim_product(lines: DataFrame, number: Numbering = with_dense_id) -> DataFrame:
     """Products by (code, description): a code with several descriptions has several rows."""
-    return check_contract(
-        with_dense_id(
-            named_products(distinct_products(lines)),
-            ["stock_code", "product_description"],
-            "product_id",
-        ),
-        "dim_product",
-    )
+    members = named_products(distinct_products(lines))
+    return check_contract(number(members, ["stock_code", "product_description"], "product_id"), "dim_product")

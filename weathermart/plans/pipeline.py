@@ -25,7 +25,7 @@ from weathermart.schemas import (
     WEATHER_DAYS,
     check_contract,
 )
-from weathermart.sources import tables, uploads, weather
+from weathermart.sources import key_registry, tables, uploads, weather
 from weathermart.sources.paths import layer_path, materialize
 
 logger = logging.getLogger(__name__)
@@ -63,6 +63,7 @@ class Lake:
     upload_encoding: str | None = None
     upload_rebalance: bool = True
     upload_date_formats: Sequence[str] = UPLOAD_DATE_FORMATS
+    upload_on_error: str = "fail"
     line_rebalance: bool = False
     format: str = "parquet"
     options: Options = Options()
@@ -75,6 +76,11 @@ class Lake:
             return layer_path(self.root, *LOCATIONS[table])
         return f"{self.root.rstrip('/')}/gold/{table.removeprefix('gold_')}"
 
+    def numbering(self, dimension: str) -> dimensions.Numbering:
+        """Ids from the lake's key table of the dimension, which new members are added to."""
+        path = f"{self.root.rstrip('/')}/keys/{dimension}"
+        return lambda members, keys, id_column: key_registry.assign_keys(members, path, keys, id_column)
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """A bronze, silver or gold table with the types of its contract.
 
@@ -136,6 +142,7 @@ def _land_retail(spark: SparkSession, lake: Lake) -> dict[str, int]:
         observation=seen,
         formats=lake.upload_date_formats,
         dates=dates,
+        on_error=lake.upload_on_error,
     )
     if landed is None:
         logger.warning("no uploads in %s", lake.uploads)
@@ -194,12 +201,12 @@ def _dim_date(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def _dim_location(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    df = dimensions.dim_location(lake.read(spark, "gold_sales_weather"))
+    df = dimensions.dim_location(lake.read(spark, "gold_sales_weather"), lake.numbering("dim_location"))
     return lake.write(df, "dim_location")
 
 
 def _dim_product(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    df = dimensions.dim_product(lake.read(spark, "silver_product_grain"))
+    df = dimensions.dim_product(lake.read(spark, "silver_product_grain"), lake.numbering("dim_product"))
     return lake.write(df, "dim_product")
 
 
