@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -71,16 +71,36 @@ def delete(spark: SparkSession, path: str) -> None:
 _SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
 
 
-def open_input(path: str) -> pa.NativeFile:
-    """A file that Spark has listed, opened inside a task."""
+def storage(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path that Spark uses, and the path inside it, for use inside tasks.
+
+    Local paths are taken literally, with spaces and whatever else they hold.
+    """
     scheme, colon, rest = path.partition(":")
-    if not colon or "/" in scheme or scheme in ("file", "dbfs"):
-        place = rest if colon and "/" not in scheme else path
-        place = "/" + place.lstrip("/") if place.startswith("/") else place
-        return fs.LocalFileSystem().open_input_file(f"/dbfs{place}" if scheme == "dbfs" else place)
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme in ("file", "dbfs"):
+        place = "/" + rest.lstrip("/")
+        return fs.LocalFileSystem(), f"/dbfs{place}" if scheme == "dbfs" else place
     host, _, key = rest.removeprefix("//").partition("/")
-    storage, base = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{host}/")
-    return storage.open_input_file(f"{base.rstrip('/')}/{key}")
+    found, base = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{host}/")
+    return found, f"{base.rstrip('/')}/{key}"
+
+
+def open_input(path: str) -> pa.NativeFile:
+    """A file that Spark has listed, opened inside a task."""
+    found, place = storage(path)
+    return found.open_input_file(place)
+
+
+def distilled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``materialize`` of what ``make`` returns, without the scratch tables that it made on its way."""
+    path = f"{scratch_dir(spark)}/{name}"
+    with scratch_scope(spark):
+        df = make()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
