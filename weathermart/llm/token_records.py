@@ -2,7 +2,8 @@
 
 A record is: length of the payload (8 bytes), masked checksum of those (4), payload,
 masked checksum of the payload (4); all little-endian. The payload is the document's
-number (8 bytes, signed) and its ids (4 bytes each). Files hold whole records one
+number (8 bytes, signed), the width of an id (1 byte) and the ids, of 2 bytes each where the
+vocabulary allows that and of 4 otherwise. Files hold whole records one
 after the other in ascending order of documents, and file names sort in that order
 too. The index is a Parquet table with one row per record, so that a reader can
 fetch records in any shuffled order with one seek each.
@@ -28,14 +29,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weathermart.llm.common import slices, text_or_empty
-from weathermart.sources.paths import scratch_dir
+from weathermart.sources.paths import scratch_dir, storage
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 # Fixed values of the record format.
 MASK_DELTA = 0xA282EAD8
-HEAD, FOOT, DOC = "<QI", "<I", "<q"
-HEAD_SIZE, FOOT_SIZE, DOC_SIZE = 12, 4, 8
+HEAD, FOOT, DOC = "<QI", "<I", "<qB"
+HEAD_SIZE, FOOT_SIZE, DOC_SIZE = 12, 4, 9
+ID_TYPES = {2: "<u2", 4: "<u4"}
+
+# Bytes of text that a file stands for: at most, and at least where there are fewer files than
+# the session has shuffle partitions.
+MOST_TEXT, LEAST_TEXT = 256 << 20, 8 << 20
 
 INDEX = (
     "doc_id long, file int, nth long, offset long, length long, n_tokens long"
@@ -64,9 +70,14 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
-def payload_of(doc_id: int | None, ids: bytes) -> bytes:
-    """``ids`` are little-endian 32-bit. A missing doc_id is stored as the lowest number."""
-    return struct.pack(DOC, -(2**63) if doc_id is None else doc_id) + ids
+def payload_of(doc_id: int | None, width: int, ids: bytes) -> bytes:
+    """``ids`` are little-endian, ``width`` bytes each. A missing doc_id is the lowest number."""
+    return struct.pack(DOC, -(2**63) if doc_id is None else doc_id, width) + ids
+
+
+def ids_of(payload: bytes) -> np.ndarray:
+    """The ids of a payload, as unsigned 32-bit numbers."""
+    return np.frombuffer(payload, ID_TYPES[payload[DOC_SIZE - 1]], offset=DOC_SIZE).astype("<u4")
 
 
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -92,18 +103,20 @@ class WordEncoder:
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {"": b""}
         self.limit = limit
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = ID_TYPES[self.width]
 
     def _whole(self, pieces: list[str]) -> None:
         # Of normaliser and pre-tokeniser only the byte alphabet changes a run of lower-case letters.
         model = self.tokenizer.model
         for piece in filter(_SIMPLE.fullmatch, pieces):
             plain = piece if piece.isascii() else self.bytes.pre_tokenize_str(piece)[0][0]
-            self.known[piece] = np.array([t.id for t in model.tokenize(plain)], "<u4").tobytes()
+            self.known[piece] = np.array([t.id for t in model.tokenize(plain)], self.kind).tobytes()
         pieces = [p for p in pieces if p not in self.known]
         for piece, done in zip(
             pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True
         ):
-            self.known[piece] = np.array(done.ids, "<u4").tobytes()
+            self.known[piece] = np.array(done.ids, self.kind).tobytes()
 
     def learn(self, words: set[str]) -> None:
         """Look up the words that are not known yet."""
@@ -155,42 +168,47 @@ def write_records(
     ``tokenizer`` is the path of a tokenizers file that drops white space; ``end_id``
     closes every document. Returns the index: doc_id, file (number in file order),
     nth (place in the file), offset and length (bytes of the record), n_tokens (with
-    the end id). Documents are dealt to ``files`` files by ranges of doc_id (default:
-    the session's number of shuffle partitions).
+    the end id). Documents are dealt to ``files`` files by ranges of doc_id; by default the
+    texts' bytes decide how many (``MOST_TEXT``, ``LEAST_TEXT``).
 
     A null or empty text is a document of the end id alone. Rows without doc_id come
     first, rows with the same doc_id in order of their texts; each is a record of its
     own. An empty table gives no records. Other columns are ignored.
     """
     spark = docs.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    where, folder = fs.FileSystem.from_uri(_uri(root))
-    end = np.array([end_id], "<u4").tobytes()
+    files = files or file_count(docs)
+    where, folder = storage(root)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         number = task.partitionId()
         words = encoder(tokenizer)
-        store, base = fs.FileSystem.from_uri(_uri(root))
+        width = words.width
+        end = np.array([end_id], words.kind).tobytes()
+        store, base = storage(root)
         store.create_dir(f"{base}/data")
         own = f"{base}/data/.{file_name(number)}.{task.taskAttemptId()}"
         at = nth = 0
-        with store.open_output_stream(own) as out:
-            for batch in slices(batches, 256):
-                doc_ids = batch.column("doc_id").to_pylist()
-                rows = []
-                for doc_id, ids in zip(
-                    doc_ids, words.encode(batch.column("text").to_pylist()), strict=True
-                ):
-                    record = frame(payload_of(doc_id, ids + end))
-                    out.write(record)
-                    rows.append((doc_id, number, nth, at, len(record), len(ids) // 4 + 1))
-                    at += len(record)
-                    nth += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _INDEX_TYPES, strict=True)],
-                    _INDEX_NAMES,
-                )
+        try:
+            with store.open_output_stream(own) as out:
+                for batch in slices(batches, 256):
+                    doc_ids = batch.column("doc_id").to_pylist()
+                    rows = []
+                    for doc_id, ids in zip(
+                        doc_ids, words.encode(batch.column("text").to_pylist()), strict=True
+                    ):
+                        record = frame(payload_of(doc_id, width, ids + end))
+                        out.write(record)
+                        rows.append((doc_id, number, nth, at, len(record), len(ids) // width + 1))
+                        at += len(record)
+                        nth += 1
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _INDEX_TYPES, strict=True)],
+                        _INDEX_NAMES,
+                    )
+        except BaseException:
+            store.delete_file(own)
+            raise
         store.move(own, f"{base}/data/{file_name(number)}")
 
     where.create_dir(f"{folder}/data")
@@ -206,6 +224,10 @@ def write_records(
         .mapInArrow(write, INDEX)
         .write.parquet(f"{root}/index")
     )
+    # What attempts on lost executors left behind.
+    for left in where.get_file_info(fs.FileSelector(f"{folder}/data")):
+        if left.base_name.startswith("."):
+            where.delete_file(left.path)
     return spark.read.schema(INDEX).parquet(f"{root}/index")
 
 
@@ -213,9 +235,12 @@ _INDEX_NAMES = ["doc_id", "file", "nth", "offset", "length", "n_tokens"]
 _INDEX_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
 
-def _uri(path: str) -> str:
-    """pyarrow's form of a path that Spark writes as ``file:/x`` or without scheme."""
-    return re.sub(r"^(file:)?/+(?!/)", "file:///", path)
+def file_count(docs: DataFrame) -> int:
+    """Files for the texts of ``docs``: none stands for more than ``MOST_TEXT`` bytes on average, and
+    small tables use as many as the session has shuffle partitions, down to ``LEAST_TEXT``."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
+    session = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // MOST_TEXT), min(session, -(-size // LEAST_TEXT)))
 
 
 def read_records(index: DataFrame, root: str) -> DataFrame:
@@ -233,7 +258,7 @@ def read_ids(index: DataFrame, root: str) -> DataFrame:
 
 def _reader(root: str, with_ids: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(_uri(root))
+        store, base = storage(root)
         number, data = None, None
         for batch in slices(batches, 1024):
             crcs, arrays = [], []
@@ -244,11 +269,12 @@ def _reader(root: str, with_ids: bool):
                         data.close()
                     data = store.open_input_file(f"{base}/data/{file_name(number)}")
                 payload = unframe(data.read_at(row["length"], row["offset"]))
-                if payload[:DOC_SIZE] != payload_of(row["doc_id"], b""):
+                if payload[: DOC_SIZE - 1] != payload_of(row["doc_id"], 0, b"")[:-1]:
                     raise ValueError("the record at this offset is of another document")
-                crcs.append(zlib.crc32(payload[DOC_SIZE :]))
+                ids = ids_of(payload)
+                crcs.append(zlib.crc32(ids.tobytes()))
                 if with_ids:
-                    arrays.append(np.frombuffer(payload, "<u4", offset=DOC_SIZE).astype(np.int32))
+                    arrays.append(ids.astype(np.int32))
             columns = [*batch.select(_INDEX_NAMES).columns, pa.array(crcs, pa.int64())]
             if with_ids:
                 columns.append(pa.array(arrays, pa.list_(pa.int32())))
