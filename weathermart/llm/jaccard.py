@@ -40,7 +40,7 @@ from weathermart.llm.common import (
     unused,
 )
 from weathermart.llm.components import components
-from weathermart.sources.paths import materialize
+from weathermart.sources.paths import distilled, materialize
 
 SHINGLE = 5
 PERCENT = 80
@@ -456,12 +456,13 @@ def _links(docs: DataFrame, sets: DataFrame, index: DataFrame, percent: int) ->
 
 
 def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and set_id of every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, set_id and component of every row of ``docs`` (doc_id, text).
 
     Words are runs without space or 0x09-0x0D, A-Z lower-cased. A document is the set
     of its five-word shingles, or its whole word sequence if it is shorter. Two are
     linked when 100 * intersection >= percent * union; component_id is the smallest
-    doc_id that links reach. Documents without words (null, empty, blank) are linked
+    doc_id that links reach. ``component`` is the group's own label (its least set_id), which tells
+    groups apart where a doc_id repeats or is missing. Documents without words (null, empty, blank) are linked
     with nothing and keep their own doc_id; their set_id is null.
 
     Rows without doc_id take part; a component of such rows alone has a null id.
@@ -486,13 +487,14 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     named = materialize(named, "named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    names = named.select("set_id", "component").join(least, "component").select("set_id", "component_id")
+    names = named.select("set_id", "component").join(least, "component")
     return rows.join(names, "set_id", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         "set_id",
         "key",
+        "component",
     )
 
 
@@ -501,11 +503,16 @@ def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows without doc_id stay only if no row of their component has one. Of several rows
     that may stay one does. Rows without words are linked with nothing and all stay.
+    Components are told apart by their texts, so a doc_id may repeat.
     """
-    rows = similar_documents(docs, percent).where("set_id is not null")
-    stays = rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("set_id"))).agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
-    )
+
+    def first_rows() -> DataFrame:
+        rows = similar_documents(docs, percent).where("set_id is not null")
+        return rows.groupBy("component").agg(
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
+        )
+
+    stays = distilled(docs.sparkSession, first_rows, "stays")
     key, kept = unused(docs.columns, "_key"), unused(docs.columns, "_kept")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     keyed = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
