@@ -55,6 +55,7 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("position").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
+        "next_shard",
     )
 
 

@@ -27,7 +27,7 @@ SlotMap = dict[int, int]
 
 
 def virtual_slot(key: Column, otherwise: Column, n_slots: int = N_SLOTS) -> Column:
-    """Slot of a record by its key; records without a key spread by ``otherwise``."""
+    """Slot of a record by its key; records without a key by ``otherwise``."""
     drawn = F.when(key.isNotNull(), F.xxhash64(key, F.lit(_SEED))).otherwise(
         F.xxhash64(otherwise, F.lit(_SEED))
     )
@@ -86,11 +86,14 @@ def read_map(spark: SparkSession, root: str, version: int) -> DataFrame:
 def records(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
     """doc_id, size, text_crc32 and virtual slot of every row; texts stay where they are."""
     text = F.col("text")
+    # Equal texts without doc_id are no key: each row goes its own way. The rows are written
+    # once, so every later step sees the same draw.
+    spread = F.rand(_SEED)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text_or_empty(text)).cast("long") + 1).alias("size"),
         utf8_crc32(text).alias("text_crc32"),
-        virtual_slot(F.col("doc_id").cast("long"), utf8_crc32(text), n_slots).alias("virtual_slot"),
+        virtual_slot(F.col("doc_id").cast("long"), spread, n_slots).alias("virtual_slot"),
     )
 
 
@@ -106,10 +109,11 @@ def shard_documents(
     """Place every row of ``docs`` (doc_id, text) in a shard; sizes come out near equal.
 
     Returns doc_id, size (UTF-8 bytes plus 1), text_crc32, shard, ``position`` (0, 1, ...
-    without gaps in each shard) and virtual_slot. The map is stored as version 1 below
-    ``map_root`` (default: the shared scratch folder).
+    without gaps in each shard), virtual_slot and ``next_shard``, the row's shard once there is
+    one more. Maps are stored below ``map_root`` (default: the shared scratch folder): version 1,
+    and its edit for one more shard as version 2.
 
-    A null text counts as empty. Rows without doc_id are hashed by their text. Repeated
+    A null text counts as empty. Rows without doc_id are spread evenly. Repeated
     rows are placed together and numbered one after the other. An empty table gives no
     rows and an empty map. Other columns of ``docs`` are ignored, whatever their names.
     """
@@ -117,15 +121,20 @@ def shard_documents(
     rows = materialize(records(docs, n_slots), "records")
     totals = slot_sizes(rows)
     placed = deal_slots({slot: b for slot, (b, _) in totals.items()}, n_shards)
+    sizes = {slot: b for slot, (b, _) in totals.items()}
     write_map(spark, map_root := map_root or f"{scratch_dir(spark)}/slot_map", placed, 1)
+    write_map(spark, map_root, add_shard(placed, sizes), 2)
     before = [0] * n_shards
     starts = []
     for slot in sorted(placed):
         starts.append((slot, before[placed[slot]]))
         before[placed[slot]] += totals[slot][1]
     # At most n_slots rows on this side, whatever the corpus.
-    places = read_map(spark, map_root, 1).join(
-        spark.createDataFrame(starts, "virtual_slot int, first long"), "virtual_slot"
+    edited = read_map(spark, map_root, 2).withColumnRenamed("shard", "next_shard")
+    places = (
+        read_map(spark, map_root, 1)
+        .join(edited, "virtual_slot")
+        .join(spark.createDataFrame(starts, "virtual_slot int, first long"), "virtual_slot")
     )
     in_slot = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
     return (
@@ -138,5 +147,6 @@ def shard_documents(
             "shard",
             (F.col("first") + F.col("nth")).alias("position"),
             "virtual_slot",
+            "next_shard",
         )
     )
