@@ -10,7 +10,7 @@ and never one value, and no step needs the turns of one conversation in one task
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weathermart.llm.common import text_or_empty
@@ -166,10 +166,11 @@ def swapped_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     answered by the text of the next conversation's last assistant turn (in conv_id
     order within ranges of 1,000 ids; the last of a range takes the range's first).
     A conversation without an assistant turn has nothing to swap: both sides are equal.
-    Returns pairs and the conversations of both sides; rejected ids are negative.
+    Of several assistant rows in the last turn the greatest text is the answer, and that
+    alone is replaced. Rows without conv_id are left out; any other id will do.
+    Returns pairs and the conversations of both sides, whose ids are texts: the id itself,
+    and ``<id>/swapped``.
     """
-    from pyspark.sql import Window
-
     rows = conversations.where(F.col("conv_id").isNotNull()).select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text"
     )
@@ -185,23 +186,22 @@ def swapped_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.first("answer").over(span.orderBy("conv_id")),
     )
     swaps = (
-        rows.select("conv_id")
-        .distinct()
-        .join(last.withColumn("other", following).drop("answer"), "conv_id", "left")
+        rows.select("conv_id").distinct().join(last.withColumn("other", following), "conv_id", "left")
     )
+    own = F.col("conv_id").cast("string")
+    swapped = F.concat(own, F.lit("/swapped"))
     pairs = swaps.select(
-        F.col("conv_id").alias("pair_id"),
-        F.col("conv_id").alias("chosen"),
-        (-F.col("conv_id") - 1).alias("rejected"),
+        F.col("conv_id").alias("pair_id"), own.alias("chosen"), swapped.alias("rejected")
+    )
+    is_answer = (
+        (F.col("role") == TRAINED_ROLE)
+        & F.col("turn").eqNullSafe(F.col("last"))
+        & F.col("text").eqNullSafe(F.col("answer"))
     )
     other = rows.join(swaps, "conv_id").select(
-        (-F.col("conv_id") - 1).alias("conv_id"),
+        swapped.alias("conv_id"),
         "turn",
         "role",
-        F.when(
-            (F.col("turn") == F.col("last")) & (F.col("role") == TRAINED_ROLE), F.col("other")
-        )
-        .otherwise(F.col("text"))
-        .alias("text"),
+        F.when(is_answer, F.col("other")).otherwise(F.col("text")).alias("text"),
     )
-    return pairs, rows.unionAll(other)
+    return pairs, rows.withColumn("conv_id", own).unionAll(other)
