@@ -6,8 +6,10 @@ import itertools
 import random
 import re
 import struct
+import types
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from weathermart.llm import (
     token_records,
 )
 from weathermart.llm.components import components
+from weathermart.sources import paths
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
 TOKENIZER = public_tokenizers.path(token_records.TOKENIZER)
@@ -85,8 +88,34 @@ def test_files_are_whole_records_and_damage_is_found(odd_docs, tmp_path):
 def test_words_encode_as_in_whole_texts():
     text = "Don't stop, the U.S.A. costs $5; naïve café ÀÉ <|endoftext|> a_b x--y it's.. ｆull x İ ΣΑΣ"
     whole = Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
-    got = token_records.WordEncoder(TOKENIZER).encode([text])[0]
-    assert list(struct.unpack(f"<{len(got) // 4}I", got)) == whole
+    encoder = token_records.WordEncoder(TOKENIZER)
+    got = encoder.encode([text])[0]
+    assert encoder.width == 2 and list(struct.unpack(f"<{len(got) // 2}H", got)) == whole
+    for width, kind in token_records.ID_TYPES.items():
+        packed = np.array(whole, kind).tobytes()
+        assert token_records.ids_of(token_records.payload_of(None, width, packed)).tolist() == whole
+
+
+def test_files_follow_the_bytes_of_the_texts(spark, no_docs, monkeypatch):
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), 1000).alias("text"))
+    monkeypatch.setattr(token_records, "LEAST_TEXT", 100_000)
+    assert token_records.file_count(docs) == 3 and token_records.file_count(no_docs) == 1
+    monkeypatch.setattr(token_records, "MOST_TEXT", 10_000)
+    assert token_records.file_count(docs) == 30
+
+
+def test_roots_with_spaces_and_other_names_of_storage(odd_docs, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}/a b"
+    index = token_records.write_records(odd_docs, root, TOKENIZER)
+    assert token_records.read_records(index, root).count() == odd_docs.count()
+    assert not [f for f in (tmp_path / "a b" / "data").iterdir() if f.name.startswith(".")]
+    asked = []
+    opened = lambda uri: asked.append(uri) or (None, "bucket")
+    monkeypatch.setattr(paths.fs, "FileSystem", types.SimpleNamespace(from_uri=opened))
+    assert paths.storage("s3a://bucket/x y/z") == (None, "bucket/x y/z")
+    assert paths.storage("hdfs://host:8020/x")[1] == "bucket/x"
+    assert asked == ["s3://bucket/", "hdfs://host:8020/"]
+    assert paths.storage("dbfs:/x")[1] == "/dbfs/x" and paths.storage("/x y")[1] == "/x y"
 
 
 # --- sharding --------------------------------------------------------------------
@@ -102,6 +131,22 @@ def test_shards_are_even_and_positions_gapless(spark, odd_docs, odd_rows):
         assert places == list(range(len(places)))
 
 
+def test_rows_without_an_id_spread_over_the_shards(spark):
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    rows = sharding.shard_documents(docs, n_shards=4, n_slots=512).groupBy("shard").count().collect()
+    assert len(rows) == 4 and max(r["count"] for r in rows) <= 1.05 * min(r["count"] for r in rows)
+
+
+def test_the_second_map_moves_rows_to_one_more_shard_only(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("text"))
+    rows = sharding.shard_documents(docs, n_shards=4, n_slots=512).collect()
+    assert all(r.next_shard in (r.shard, 4) for r in rows)
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r.next_shard] += r.size
+    assert len(sizes) == 5 and max(sizes.values()) <= 1.05 * min(sizes.values())
+
+
 def test_map_edits_move_slots_to_the_new_shard_only(spark, tmp_path):
     draw = random.Random(1)
     sizes = {s: draw.randrange(1, 1000) for s in range(500)}
@@ -346,6 +391,32 @@ def test_conversations_without_an_answer_are_prompts(spark):
     ]
 
 
+def test_ids_of_both_signs_and_two_answers_in_the_last_turn(spark):
+    rows = [(4, 0, "user", "a"), (4, 1, "assistant", "b"), (-5, 0, "user", "c"), (-5, 1, "assistant", "d")]
+    rows += [(7, 0, "assistant", "x"), (7, 0, "assistant", "y"), (None, 0, "assistant", "n")]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    pairs, conversations = preferences.swapped_pairs(table)
+    pieces = preferences.format_pairs(pairs, conversations)
+    texts = collections.defaultdict(set)
+    for r in pieces.collect():
+        texts[r.pair_id, r.part].add(r.piece.split("\n")[1].removesuffix("<|im_end|>"))
+    assert texts == {
+        (4, "prompt"): {"a"}, (4, "chosen"): {"b"}, (4, "rejected"): {"y"},
+        # Alone in its range of ids, it is answered by itself.
+        (-5, "prompt"): {"c", "d"},
+        (7, "chosen"): {"x", "y"}, (7, "rejected"): {"x", "b"},
+    }
+
+
+@pytest.mark.parametrize("kind", ["odd", "none"])
+def test_pairs_of_odd_and_empty_tables(spark, kind):
+    rows = [(None, None, None, None), (1, None, None, None), (1, 0, "assistant", None), (2, 5, "assistant", "z " * 100_000), (2, 5, "assistant", "z " * 100_000)]
+    kinds = "conv_id long, turn int, role string, text string, pair_id string, side string, split string"
+    table = spark.createDataFrame([(*r, "p", "s", "t") for r in rows if kind == "odd"], kinds)
+    pieces = preferences.format_pairs(*preferences.swapped_pairs(table)).collect()
+    assert {r.pair_id for r in pieces} == ({1, 2} if kind == "odd" else set())
+
+
 # --- pseudonyms ----------------------------------------------------------------------
 
 
@@ -540,6 +611,18 @@ def test_one_document_of_each_group_stays(odd_docs):
     assert ids == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10, 11, None]
 
 
+def test_rows_are_told_apart_by_their_texts_and_not_their_ids(spark):
+    words = lambda seed, n=120: [f"{seed}w{(i * i * 31 + i) % 997}" for i in range(n)]
+    a, b, c = words("a"), words("b"), words("c")
+    near = lambda w: " ".join([*w[:-1], "changed"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b))]
+    rows += [(None, " ".join(c)), (None, near(c)), (None, " ".join(["x", *c]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.deduplicate(docs).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in kept if r.doc_id) == [(1, "a"), (1, "b")]
+    assert len(kept) == 3
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
