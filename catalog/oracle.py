@@ -158,6 +158,11 @@ _SELECTS = {
                CASE CAST(StockCode AS INTEGER) % 3 WHEN 0 THEN 'day.csv' WHEN 1 THEN 'month.csv'
                     ELSE 'mixed.csv' END AS _source_file
         FROM raw_sales""",
+    "landing_once": """
+        SELECT InvoiceNo, StockCode, Quantity,
+               CASE WHEN InvoiceNo LIKE 'C%' THEN '2025-02-01T00:00:00+00:00'
+                    ELSE '2025-01-01T00:00:00+00:00' END AS _ingested_at
+        FROM raw_sales""",
     "upload_rejects": """
         SELECT reason, count(*) AS lines
         FROM (SELECT unnest(CASE CAST(StockCode AS INTEGER) % 50

@@ -155,6 +155,20 @@ def raw_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folder landed twice, with one more upload in it the second time."""
+    folder, lake = scratch_dir(spark), scratch_dir(spark)
+    text = materialize(fx.upload_text(fx.raw_sales(spark, sf_dir)), "upload_text")
+    late = F.col("InvoiceNo").startswith("C")
+    fx.write_csv(text.filter(~late), folder)
+    uploads.land_uploads(spark, folder, lake, ingested_at=STAMP_1, once=True)
+    fx.write_csv(text.filter(late), folder)
+    path = uploads.land_uploads(spark, folder, lake, ingested_at=STAMP_2, once=True)
+    return spark.read.schema(RAW_SALES).parquet(path).select(
+        "InvoiceNo", "StockCode", "Quantity", "_ingested_at"
+    )
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
     fx.write_payloads(fx.damaged_payloads(fx.raw_weather(spark, sf_dir)), path)
@@ -533,6 +547,7 @@ def queries() -> dict[str, Query]:
         "scan_parquet": scan_parquet,
         "upload_date_votes": upload_date_votes,
         "upload_rejects": upload_rejects,
+        "landing_once": landing_once,
         "add_provenance": add_provenance,
         "validate_nonempty": validate_nonempty,
         "year_month_partition": year_month_partition,

@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from weathermart.schemas import RAW_SALES, RETAIL_UPLOAD
-from weathermart.sources import uploads
+from weathermart.sources import ledger, uploads
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
 STAMP = "2025-01-01T00:00:00+00:00"
@@ -548,3 +548,50 @@ def test_landing_leaves_no_scratch_behind(spark, tmp_path):
     before = {p for p in root.glob("shared*/weathermart/*/*")}
     uploads.land_uploads(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
     assert {p for p in root.glob("shared*/weathermart/*/*")} == before
+
+
+def test_uploads_are_landed_once_when_asked(spark, tmp_path, monkeypatch):
+    folder, lake = tmp_path / "in", str(tmp_path / "lake")
+    put(folder, "a.csv", "1,A,x,1,1/5/2011 8:26,2.5,1,UK", "1,A,x,1,1/5/2011 8:26,2.5,1,UK")
+    spark.sql("SELECT '2' AS InvoiceNo, 3L AS Quantity").coalesce(1).write.mode("append").parquet(str(folder))
+
+    def land(stamp, **options):
+        path = uploads.land_uploads(spark, str(folder), lake, ingested_at=stamp, once=True, **options)
+        found = spark.read.schema(RAW_SALES).parquet(path)
+        return rows(found.groupBy("InvoiceNo", "_ingested_at").count())
+
+    first = [("1", "t1", 2), ("2", "t1", 1)]
+    assert land("t1") == first and land("t2") == first
+    (folder / "a.csv").rename(folder / "other name.csv")
+    assert land("t3") == first
+    put(folder, "b.csv", "3,A,x,1,1/5/2011 8:26,2.5,1,UK")
+    # A crash after the rows and before the ledger: the next landing makes up for the commit.
+    with monkeypatch.context() as broken:
+        broken.setattr(ledger.Ledger, "commit", lambda self, report: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            land("t4")
+    after = [*first, ("3", "t4", 1)]
+    assert land("t5") == after and land("t6") == after
+    # A crash in which only some files arrived: they are removed, and the upload is landed anew.
+    put(folder, "c.csv", *(f"4,A,x,1,{m}/5/2011 8:26,2.5,1,UK" for m in range(1, 7)))
+    with monkeypatch.context() as broken:
+        broken.setattr(ledger.Ledger, "commit", lambda self, report: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            land("t7")
+    new = spark.read.parquet(f"{lake}/raw/retail_sales/uci_online_retail").filter("_ingested_at = 't7'")
+    ledger.delete(spark, new.select("_metadata.file_path").first().file_path)
+    assert land("t8") == [*after, ("4", "t8", 6)]
+    assert land("t9") == [*after, ("4", "t8", 6)]
+    landed = spark.read.parquet(uploads.report_path(lake, "landed"))
+    assert rows(ledger.newest_batches(landed).filter("_source_file LIKE '%.csv'")) == [
+        ("a.csv", "t1"), ("b.csv", "t4"), ("c.csv", "t8"),
+    ]
+
+
+def test_content_tells_uploads_apart(spark, tmp_path):
+    line = "1,A,x,1,1/5/2011 8:26,2.5,1,UK"
+    for name, lines in (("a", [line]), ("b", [line, line]), ("c", [line] * 3), ("d", [line]), ("e", [line + " "])):
+        put(tmp_path, f"{name}.csv", *lines)
+    found = uploads.validate_uploads(spark, str(tmp_path)).collect()
+    digests = {os.path.basename(r.path)[0]: r.digest for r in found}
+    assert digests["a"] == digests["d"] and len(set(digests.values())) == 4

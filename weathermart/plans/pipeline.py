@@ -25,7 +25,7 @@ from weathermart.schemas import (
     WEATHER_DAYS,
     check_contract,
 )
-from weathermart.sources import key_registry, tables, uploads, weather
+from weathermart.sources import key_registry, ledger, tables, uploads, weather
 from weathermart.sources.paths import layer_path, materialize
 
 logger = logging.getLogger(__name__)
@@ -64,6 +64,7 @@ class Lake:
     upload_rebalance: bool = True
     upload_date_formats: Sequence[str] = UPLOAD_DATE_FORMATS
     upload_on_error: str = "fail"
+    upload_once: bool = False
     line_rebalance: bool = False
     format: str = "parquet"
     options: Options = Options()
@@ -143,6 +144,7 @@ def _land_retail(spark: SparkSession, lake: Lake) -> dict[str, int]:
         formats=lake.upload_date_formats,
         dates=dates,
         on_error=lake.upload_on_error,
+        once=lake.upload_once,
     )
     if landed is None:
         logger.warning("no uploads in %s", lake.uploads)
@@ -155,7 +157,10 @@ def _land_retail(spark: SparkSession, lake: Lake) -> dict[str, int]:
 def _bronze_sales(spark: SparkSession, lake: Lake) -> dict[str, int]:
     raw = spark.read.schema(RAW_SALES).parquet(lake.path("raw_sales"))
     if lake.latest_only:
-        raw = dedupe.latest_uploads(raw, materialize(dedupe.newest_batches(raw), "newest_batches"))
+        # The ledger has a row per upload; tables landed before there was one are scanned.
+        landed = ledger.read_or_empty(spark, uploads.report_path(lake.root, "landed"), ledger.LANDED)
+        newest = dedupe.newest_batches(raw) if landed.isEmpty() else ledger.newest_batches(landed)
+        raw = dedupe.latest_uploads(raw, materialize(newest, "newest_batches"))
     names = lake.options.cities or [city.name for city in lake.cities]
     lines = bronze.sales(raw, names, lake.options.shift_months)
     return lake.write(lines, "bronze_sales", "city", lake.line_rebalance)

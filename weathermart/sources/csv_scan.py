@@ -50,7 +50,7 @@ _QUOTED = r'^"([^"]*+(?:""[^"]*+)*+)"(.*)$'
 @dataclass(frozen=True)
 class Staged:
     """``lines``: uri, name, at, cells, odd, open. ``files``: uri, name, path, utf8, head, names,
-    date_name, width, lines (data lines)."""
+    date_name, width, lines (data lines), digest (of the content)."""
 
     lines: DataFrame
     files: DataFrame
@@ -181,11 +181,16 @@ def stage(
             F.min("at").alias("head"),
             F.min_by("cells", "at").alias("header"),
             (F.count(F.lit(1)) - 1).alias("lines"),
+            # Of all lines, in any order, so that every task adds up its own.
+            F.sum(F.xxhash64("cells").cast("decimal(38,0)")).alias("sum"),
+            F.bit_xor(F.xxhash64(F.lit(1), "cells")).alias("xor"),
         )
         .withColumn("names", _unique(decoded))
         .select(
             "uri", "name", plain_path(F.col("uri")).alias("path"), "utf8", "head", "names",
             first_date_column(F.col("names")).alias("date_name"), F.size("names").alias("width"), "lines",
+            F.md5(F.concat_ws(":", "header", F.col("lines").cast("string"), F.col("sum").cast("string"),
+                              F.col("xor").cast("string")).cast("binary")).alias("digest"),
         ),
         "upload_files",
     )

@@ -7,6 +7,7 @@ merged; columns are then cast to their declared type, or to one that all files s
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
@@ -64,23 +65,28 @@ def spark_schema(file: pq.ParquetFile) -> StructType:
 
 def _read_footers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        schemas, rows = [], []
+        schemas, rows, digests = [], [], []
         for path in batch.column("path").to_pylist():
             with open_input(path) as source:
                 file = pq.ParquetFile(source)
                 schemas.append(spark_schema(file).json())
                 rows.append(file.metadata.num_rows)
+                # Sizes, places and statistics of every column chunk stand for its bytes.
+                known = f"{source.size()} {file.metadata.to_dict()}"
+                digests.append(hashlib.md5(known.encode()).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), pa.array(schemas, pa.string()), pa.array(rows, pa.int64())],
-            ["path", "footer", "lines"],
-        )
+            [batch.column("path"), pa.array(schemas, pa.string()), pa.array(rows, pa.int64()),
+             pa.array(digests, pa.string())],
+            ["path", "footer", "lines", "digest"],
+        )
 
 
 def footers(listed: DataFrame) -> DataFrame:
-    """``path, footer, lines`` of the listed Parquet files: schema (as JSON) and row count."""
+    """``path, footer, lines, digest`` of the listed Parquet files: schema (as JSON), row count and
+    a digest of the content as the footer describes it."""
     paths = listed.filter(F.lower("path").endswith(".parquet")).select("path")
     return materialize(
-        paths.repartition("path").mapInArrow(_read_footers, "path string, footer string, lines long"),
+        paths.repartition("path").mapInArrow(_read_footers, "path string, footer string, lines long, digest string"),
         "parquet_footers",
     )
 

@@ -19,7 +19,7 @@ from pyspark.sql.types import (
 
 from weathermart.functions.temporal import UPLOAD_DATE_FORMATS, parse_timestamp
 from weathermart.schemas import RETAIL_UPLOAD
-from weathermart.sources import csv_scan, date_votes, parquet_scan
+from weathermart.sources import csv_scan, date_votes, ledger, parquet_scan
 from weathermart.sources.csv_scan import (
     DATE_COLUMNS,
     DATE_MOMENT,
@@ -168,6 +168,11 @@ def with_year_month(df: DataFrame, moment: Column | None = None) -> tuple[DataFr
     return df.withColumns(parts), list(parts)
 
 
+def short(path: str | Column) -> Column:
+    """One spelling of local paths: readers and listings write one slash or three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 class Scan:
     """Uploads of a folder (or one named file) after their one pass: rows, votes and file facts.
 
@@ -199,11 +204,11 @@ class Scan:
         if suffix in ("", "csv"):
             staged = csv_scan.stage(spark, target, multiline, encoding)
             frames.append(csv_scan.rows(staged, schema, encoding=encoding, strict=strict))
-            facts.append(staged.files.select("path", "lines"))
+            facts.append(staged.files.select("path", "lines", "digest"))
         if suffix == "parquet" or not suffix and _any_parquet(spark, directory):
             found = parquet_scan.footers(self.listed)
             frames.append(parquet_scan.rows(spark, directory, file_name, found, schema, strict))
-            facts.append(found.select("path", "lines"))
+            facts.append(found.select("path", "lines", "digest"))
         frames = [df for df in frames if df is not None]
         self.files = reduce(DataFrame.unionByName, facts)
         self.formats = formats
@@ -231,6 +236,13 @@ class Scan:
             .drop("_uri", "ranks", "best", "exceptions", "__moment")
         )
 
+    def only(self, files: DataFrame) -> None:
+        """Go on with the uploads whose ``path`` is among ``files``."""
+        wanted = files.select(short("path").alias("_wanted"))
+        path = short(plain_path(F.col("_metadata.file_path")))
+        self.rows = self.rows.join(wanted, path == F.col("_wanted"), "left_semi")
+        self.listed = self.listed.join(wanted, short("path") == F.col("_wanted"), "left_semi")
+
     def accepted(self) -> DataFrame:
         """Lines that can be taken. With ``on_error="fail"`` any other is an error."""
         reason = F.col(REASON)
@@ -255,11 +267,8 @@ class Scan:
         that fails on them there are none.
         """
 
-        def short(path: str | Column) -> Column:
-            return F.regexp_replace(path, "^file:/+", "file:/")
-
         listed = self.listed.select(short("path").alias("path"))
-        files = self.files.select(short("path").alias("_path"), "lines")
+        files = self.files.select(short("path").alias("_path"), "lines", "digest")
         out = listed.join(files, F.col("path") == F.col("_path"), "left").drop("_path")
         dates = None
         if self.rows is not None:
@@ -273,7 +282,7 @@ class Scan:
             out = out.join(bad, F.col("path") == F.col("_path"), "left").drop("_path")
             out = out.withColumn("rejected", F.coalesce("bad", F.lit(0))).drop("bad")
         rows = (F.coalesce("lines", F.lit(0)) - F.col("rejected")).alias("rows")
-        out = out.select("path", rows, "rejected").withColumn("accepted", F.col("rows") > 0)
+        out = out.select("path", "digest", rows, "rejected").withColumn("accepted", F.col("rows") > 0)
         if dates is None:
             none = F.lit(None).cast("long")
             return out.select("*", F.lit(None).cast("string").alias("date_layout"), none.alias("date_exceptions"),
@@ -338,6 +347,7 @@ def land_uploads(
     formats: Sequence[str] = UPLOAD_DATE_FORMATS,
     dates: Observation | None = None,
     on_error: str = "fail",
+    once: bool = False,
 ) -> str | None:
     """Append uploads to the raw layer by year and month; returns the table path.
 
@@ -350,6 +360,9 @@ def land_uploads(
     A line that cannot be taken fails the landing, before anything is added. With
     ``on_error="reject"`` it goes to the table ``rejects`` instead. Either way the table
     ``landed`` gets the report of each upload (see ``report_path``).
+
+    With ``once`` an upload whose content has been landed before, under whatever name, adds
+    nothing, also where an earlier landing broke off before it could say so (see ``ledger``).
     """
     if format not in ("parquet", "csv"):
         raise ValueError(f"Unsupported output format: {format}")
@@ -358,11 +371,18 @@ def land_uploads(
         if scan.rows is None:
             return None
         stamp = ingested_at or utc_now()
+        path = layer_path(lake_root, "raw", entity, source)
+        stamped = F.lit(stamp).alias(INGESTED_AT)
+        book = ledger.Ledger(spark, path, *(report_path(lake_root, t, entity, source) for t in ("started", "landed")))
+        if once:
+            book.settle(format)
+            new = materialize(book.unknown(scan.files), "new_uploads")
+            scan.only(new)
+            book.start(new.select("*", stamped))
         rows = add_provenance(scan.accepted(), entity, stamp)
         landed, partition_cols = with_year_month(_complete(rows, schema), F.coalesce(*_dates_of(rows)))
         if dates is not None:
             landed = landed.observe(dates, F.count_if(_UNREADABLE).alias("unreadable_dates"))
-        path = layer_path(lake_root, "raw", entity, source)
         write(
             landed.drop(*_SCANNED, _UNREADABLE, "_metadata"),
             path,
@@ -372,17 +392,17 @@ def land_uploads(
             rebalance=rebalance,
             observation=observation,
         )
-        stamped = F.lit(stamp).alias(INGESTED_AT)
         report = scan.report()
         if on_error == "reject":
             report = materialize(report, "upload_report")
         if on_error == "reject" and report.filter("rejected > 0").limit(1).count():
             refused = scan.rejected().select("*", stamped)
             write(refused, report_path(lake_root, "rejects", entity, source), mode="append")
-        write(report.select("*", stamped), report_path(lake_root, "landed", entity, source), mode="append")
+        book.commit(report.select("*", stamped))
     return path
 
 
 def report_path(lake_root: str, table: str, entity: str = "retail_sales", source: str = "uci_online_retail") -> str:
-    """Where landing keeps its tables ``landed`` (a row per upload) and ``rejects`` (a row per line)."""
+    """Where landing keeps its tables ``landed`` and ``started`` (a row per upload) and ``rejects``
+    (a row per line)."""
     return layer_path(lake_root, "reports", f"{entity}_{table}", source)
