@@ -246,8 +246,9 @@ def test_overlaps_equal_brute_force(spark):
 
     def overlap(doc, item):
         width = min(13, len(item))
-        need = width - (2 if len(item) >= 13 else 1)
-        return len(item) >= 10 and any(
+        # Short items are found whole.
+        need = width - (2 if len(item) >= 13 else 1 if len(item) >= 10 else 0)
+        return any(
             sum(a == b for a, b in zip(doc[i : i + width], item[j : j + width], strict=True)) >= need
             for i in range(len(doc) - width + 1)
             for j in range(len(item) - width + 1)
@@ -280,6 +281,25 @@ def facts_of(text):
     )
 
 
+def test_short_items_are_found_whole(spark):
+    items = [(0, "The quick, brown fox jumps over it"), (1, "capital of France?"), (2, "今日は天気がいいですね"), (3, None), (4, "Yes")]
+    items += [(5, "one two three four five six seven eight nine ten eleven")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    fill = " ".join(f"w{i}" for i in range(30))
+    texts = [
+        f"{fill} THE QUICK brown fox -- jumps over it {fill}", "the quick brown cat jumps over it",
+        f"{fill}\nCapital of France\n{fill}", f"{fill} the capital of france is {fill}",
+        "昨日。今日は天気がいいですね！はい", "yes yes yes", "Yes!", None, "", "quick brown fox jumps over it",
+        f"{fill} one two three four five six SEVEN 8 nine ten eleven {fill}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(0, 0), (2, 1), (4, 2), (6, 4), (10, 5)]
+    assert {r.doc_id: r.start for r in found}[0] == 30
+    kept = decontaminate.filter_documents(docs, benchmark).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3, 5, 7, 8, 9]
+
+
 def test_line_counts_equal_plain_python(odd_docs, odd_rows):
     rows = line_rules.line_rules(odd_docs).collect()
     got = sorted(

@@ -24,15 +24,25 @@ from weathermart.llm.common import key_filter, may_hold, text_or_empty, unused
 # one (tests/llm count it).
 MASKS = ((0, 3, 4, 5, 6, 7), (0, 1, 2, 3, 7, 9), (0, 1, 2, 4, 5, 6))
 WINDOW = 13
+# Scripts that write no spaces between words.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 MAX_SUBSTITUTIONS = 2
-# Items shorter than this can't be told from common phrases and are not searched.
+# Shorter items hold no seed; they are searched as whole token sequences. Those of fewer than
+# MIN_PHRASE tokens can't be told from common phrases: they count where they are a whole line.
 MIN_ITEM = max(m[-1] for m in MASKS) + 1
+MIN_PHRASE = 5
 _TOKENS_AROUND = WINDOW - 1
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased runs of letters and digits; case and punctuation don't count."""
+    """Lower-cased runs of letters and digits; case and punctuation don't count.
+
+    In scripts without spaces every character is a token.
+    """
     plain = F.regexp_replace(F.lower(text_or_empty(text)), r"[^\p{L}\p{N}]+", " ")
+    # Few texts need this, and a text of two-byte characters at most can't.
+    wide = F.octet_length(plain) > F.char_length(plain)
+    plain = F.when(wide, F.regexp_replace(plain, f"([{UNSPACED}])", " $1 ")).otherwise(plain)
     return F.array_remove(F.split(plain, " "), "")
 
 
@@ -125,15 +135,61 @@ def _best_window(near: Column, hit: Column, item_near: Column, item_hit: Column,
     return F.when(length >= width, F.array_max(sums)).otherwise(0)
 
 
+def short_items(benchmark: DataFrame) -> DataFrame:
+    """Items without a seed: item_id, their tokens, number of tokens and hash of them all."""
+    items = benchmark.select("item_id", tokens(F.col("text")).alias("item")).distinct()
+    size = F.size("item")
+    return items.where((size > 0) & (size < MIN_ITEM)).select(
+        "item_id", "item", size.alias("item_size"), F.xxhash64("item").alias("seed")
+    )
+
+
+def short_overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Where whole short items stand in ``docs``: keys, item_id and token position, exactly.
+
+    Token sequences of the lengths that items have are hashed at every position (lines, for the
+    shortest items) and meet the items behind a filter of fixed size.
+    """
+    keys = [c for c in docs.columns if c != "text"]
+    # At most MIN_ITEM - 1 lengths.
+    lengths = sorted(r.item_size for r in items.select("item_size").distinct().collect())
+    phrases = [n for n in lengths if n >= MIN_PHRASE]
+    parts = []
+    if phrases:
+        words = docs.select(*keys, tokens(F.col("text")).alias("_words"))
+        spots = words.select(*keys, "_words", F.explode(F.sequence(F.lit(0), F.size("_words") - min(phrases))).alias("_at")).where(
+            F.size("_words") >= min(phrases)
+        )
+        parts.append(
+            spots.select(
+                *keys, "_at", "_words", F.explode(F.array(*map(F.lit, phrases))).alias("_n")
+            )
+            .where(F.col("_at") + F.col("_n") <= F.size("_words"))
+            .select(*keys, "_at", F.slice("_words", F.col("_at") + 1, F.col("_n")).alias("_run"))
+        )
+    if len(phrases) < len(lengths):
+        lines = docs.select(*keys, F.posexplode(F.split(text_or_empty(F.col("text")), "\n")).alias("_at", "_line"))
+        parts.append(lines.select(*keys, "_at", tokens(F.col("_line")).alias("_run")).where(F.size("_run") < MIN_PHRASE))
+    found = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+    return (
+        found.withColumn("seed", F.xxhash64("_run"))
+        .where(may_hold(F.col("seed"), key_filter(items, "seed")))
+        .join(items, "seed")
+        .where(F.col("_run") == F.col("item"))
+        .select(*keys, "item_id", "_at", F.col("item_size").alias("matched"))
+    )
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold a passage of an item: one row for each document and item.
 
     ``docs`` has text and any key columns, which come first in the result; then
     item_id, start (token at which the first hit lies), hits (verified hits) and
     matched (most equal tokens in a window of 13, or of the whole item if that is
-    shorter). A window may have two substitutions, a shorter item one. Null and short
-    texts have no hits, nor have items of fewer than 10 tokens. Repeated rows with the same key are one
-    document. Empty tables give no rows.
+    shorter). A window may have two substitutions, an item of 10 to 12 tokens one, a shorter
+    one none; an item of fewer than five tokens must be a line of its own (``start`` is the
+    line's number then). Null texts and items have no hits. Repeated rows with the same key are
+    one document. Empty tables give no rows.
     """
     keys = [c for c in docs.columns if c != "text"]
     seeds = benchmark_seeds(benchmark)
@@ -143,15 +199,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     size = F.col("item_size")
     needed = F.when(size >= WINDOW, F.lit(WINDOW - MAX_SUBSTITUTIONS)).otherwise(size - 1)
-    return (
-        found.select(*keys, "item_id", "_at", best.alias("_best"), needed.alias("_needed"))
-        .where(F.col("_best") >= F.col("_needed"))
-        .groupBy(*keys, "item_id")
-        .agg(
-            F.min("_at").alias("start"),
-            F.countDistinct("_at").alias("hits"),
-            F.max("_best").alias("matched"),
-        )
+    long = (
+        found.select(*keys, "item_id", "_at", best.alias("matched"), needed.alias("_needed"))
+        .where(F.col("matched") >= F.col("_needed"))
+        .drop("_needed")
+    )
+    items = short_items(benchmark)
+    every = long if items.isEmpty() else long.unionAll(short_overlaps(docs, items))
+    return every.groupBy(*keys, "item_id").agg(
+        F.min("_at").alias("start"),
+        F.countDistinct("_at").alias("hits"),
+        F.max("matched").alias("matched"),
     )
 
 
