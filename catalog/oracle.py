@@ -363,6 +363,25 @@ _SELECTS = {
         SELECT date, city, {_TOTAL} AS total_sales, avg_temp, precipitation, is_rainy,
                temp_category, sales_category, {_ROLLING} AS rolling_7d_sales
         FROM (SELECT * FROM gold ORDER BY date, city LIMIT 10)""",
+    "gold_rules": f"""
+        SELECT rule, count(*) AS checked, CAST(count_if(failed) AS BIGINT) AS failed
+        FROM (
+          SELECT unnest(['date is set', 'city is listed', 'sales are positive',
+                         'rain flag fits the rain', 'temperature bucket fits', 'sales bucket fits',
+                         'rolling mean is set', 'rain is not negative']) AS rule,
+                 unnest([date IS NULL, city NOT IN ('London', 'Manchester', 'Birmingham', 'Leeds', 'Glasgow'),
+                         NOT coalesce(total_sales > 0, false), is_rainy IS DISTINCT FROM {_RAIN},
+                         temp_category IS DISTINCT FROM {_TEMPERATURE},
+                         sales_category IS DISTINCT FROM {_SALES},
+                         NOT coalesce(rolling_7d_sales > 0, false), precipitation < 0]) AS failed
+          FROM (
+          SELECT * REPLACE (CASE WHEN day(date) = 1 THEN 'Paris' ELSE city END AS city,
+                   CASE WHEN day(date) = 2 THEN 1 - is_rainy ELSE is_rainy END AS is_rainy,
+                   CASE WHEN day(date) = 3 THEN NULL ELSE temp_category END AS temp_category,
+                   CASE WHEN day(date) = 4 THEN -total_sales ELSE total_sales END AS total_sales,
+                   CASE WHEN day(date) = 5 THEN -1.0 ELSE precipitation END AS precipitation)
+          FROM gold))
+        GROUP BY rule""",
     "check_row_count": "SELECT count(*) AS row_count FROM gold",
     "check_date_range": "SELECT min(date) AS first_date, max(date) AS last_date FROM gold",
     "check_avg_city": f"""

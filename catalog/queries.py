@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
-from weathermart.functions.cities import assign_city
+from weathermart.functions.cities import CITIES, assign_city
 from weathermart.functions.keys import with_dense_id
 from weathermart.functions.measures import (
     rain_flag,
@@ -22,7 +22,7 @@ from weathermart.functions.measures import (
     sales_bucket,
     temperature_bucket,
 )
-from weathermart.operators import bronze, checks, dedupe, dimensions, facts, gold, silver
+from weathermart.operators import bronze, checks, dedupe, dimensions, facts, gold, rules, silver
 from weathermart.plans import reports
 from weathermart.schemas import RAW_SALES
 from weathermart.sources import key_registry, tables, uploads, weather
@@ -531,6 +531,22 @@ def report_rainy_products_from_fact(spark: SparkSession, sf_dir: str) -> DataFra
     return rounded(reports.rainy_products(fact), total_revenue=2)
 
 
+def gold_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over gold, some of whose rows were damaged: rule, rows checked, rows failed."""
+    gold = fx.mart(spark, sf_dir).gold_sales_weather
+    day = F.dayofmonth("date")
+    damaged = gold.withColumns(
+        {
+            "city": F.when(day == 1, "Paris").otherwise(F.col("city")),
+            "is_rainy": F.when(day == 2, 1 - F.col("is_rainy")).otherwise(F.col("is_rainy")),
+            "temp_category": F.when(day == 3, F.lit(None)).otherwise(F.col("temp_category")),
+            "total_sales": F.when(day == 4, -F.col("total_sales")).otherwise(F.col("total_sales")),
+            "precipitation": F.when(day == 5, -1.0).otherwise(F.col("precipitation")),
+        }
+    )
+    return rules.summary(damaged, rules.gold_rules([city.name for city in CITIES]))
+
+
 def _check(function: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: function(fx.mart(spark, sf_dir).gold_sales_weather)
 
@@ -598,6 +614,7 @@ def queries() -> dict[str, Query]:
         "report_rainy_products": report_rainy_products,
         "report_rainy_products_from_fact": report_rainy_products_from_fact,
         "check_sample": _report(checks.sample),
+        "gold_rules": gold_rules,
         "check_row_count": _check(checks.row_count),
         "check_date_range": _check(checks.date_range),
         "check_avg_city": _check_average("city"),

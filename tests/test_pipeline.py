@@ -8,6 +8,7 @@ from helpers import rows
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from weathermart.operators import rules
 from weathermart.plans import pipeline, reports
 from weathermart.plans.mart import Mart, Options
 from weathermart.schemas import CONTRACTS
@@ -255,3 +256,30 @@ def test_documents_append(spark, tmp_path):
     weather.write_documents(days, str(tmp_path))
     weather.write_documents(days, str(tmp_path))
     assert len(list(tmp_path.glob("city=London/*.txt"))) == 2
+
+
+@pytest.mark.parametrize("what", ["warn", "quarantine", "fail"])
+def test_gold_rows_that_break_a_rule(spark, lake, monkeypatch, caplog, what):
+    pipeline.run(spark, lake, ["weather", "retail_sales", "sales_bronze", "weather_bronze", "sales_silver", "weather_silver"])
+    lake = dataclasses.replace(lake, gold_check=what)
+    assert pipeline.run(spark, lake, ["gold"])["gold_sales_weather"] == 3 and "rule" not in caplog.text
+    monkeypatch.setattr(rules, "gold_rules", lambda cities: [rules.Rule("dry", "is_rainy = 0"), rules.Rule("any", "true")])
+    if what == "fail":
+        with pytest.raises(rules.RuleError, match="'dry': 2"):
+            pipeline.run(spark, lake, ["gold"])
+        assert lake.read(spark, "gold_sales_weather").count() == 3
+        return
+    counts = pipeline.run(spark, lake, ["gold"])
+    assert counts == {"gold_sales_weather": 3 if what == "warn" else 1}
+    assert "2 of 3 gold rows break the rule: dry" in caplog.text
+    if what == "quarantine":
+        aside = spark.read.parquet(lake.path("gold_quarantine"))
+        assert rows(aside.select("city", "broken_rules")) == [("London", ["dry"]), ("Manchester", ["dry"])]
+
+
+def test_rules_count_nulls_as_broken_and_find_repeated_keys(spark):
+    df = spark.createDataFrame([(1, 5), (1, None), (2, -5)], "k int, v int")
+    found = rules.summary(df, [rules.Rule("positive", "v > 0"), rules.Rule("key", F.col("k").isNotNull())])
+    assert rows(found) == [("key", 3, 0), ("positive", 3, 2)]
+    assert rows(rules.repeated_keys(df, ["k"])) == [(1, 2)]
+    assert rows(rules.summary(df.limit(0), [rules.Rule("positive", "v > 0")])) == [("positive", 0, 0)]

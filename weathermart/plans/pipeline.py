@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from weathermart.functions.cities import CITIES, City
 from weathermart.functions.temporal import UPLOAD_DATE_FORMATS
-from weathermart.operators import bronze, dedupe, dimensions, facts, gold, silver
+from weathermart.operators import bronze, dedupe, dimensions, facts, gold, rules, silver
 from weathermart.plans.mart import Options
 from weathermart.schemas import (
     CONTRACTS,
@@ -26,7 +26,7 @@ from weathermart.schemas import (
     check_contract,
 )
 from weathermart.sources import key_registry, ledger, tables, uploads, weather
-from weathermart.sources.paths import layer_path, materialize
+from weathermart.sources.paths import layer_path, materialize, scratch_scope
 
 logger = logging.getLogger(__name__)
 
@@ -52,6 +52,9 @@ class Lake:
     are written: fewer files where there are many cities, for one shuffle of all lines.
     ``latest_only`` keeps only the newest ingestion run of each upload and of each
     weather day, instead of every appended one.
+    ``gold_check`` says what becomes of gold rows that break a rule, counted while gold is
+    written: they are logged (``warn``), go to the table ``gold_quarantine`` instead
+    (``quarantine``), or fail the stage before the table is replaced (``fail``).
     """
 
     root: str
@@ -70,6 +73,7 @@ class Lake:
     options: Options = Options()
     cities: Sequence[City] = field(default=CITIES)
     latest_only: bool = False
+    gold_check: str = "warn"
     ingested_at: str | None = None
 
     def path(self, table: str) -> str:
@@ -197,7 +201,25 @@ def _gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
         lake.read(spark, "silver_weather"),
         lake.options.rolling_frame,
     )
-    return lake.write(df, "gold_sales_weather", "city")
+    checks = rules.gold_rules(lake.options.cities or [city.name for city in lake.cities])
+    if lake.gold_check not in ("warn", "quarantine", "fail"):
+        raise ValueError(f"gold_check must be warn, quarantine or fail, not {lake.gold_check}")
+    seen = Observation("gold_rules")
+    with scratch_scope(spark):
+        counted = rules.observed(df, checks, seen)
+        if lake.gold_check != "warn":
+            # Judged before gold is replaced, so that a broken run leaves the last good table.
+            counted = materialize(counted, "gold")
+            broken = {n: b for n, (_, b) in rules.results(seen, checks).items() if b}
+            if broken and lake.gold_check == "fail":
+                raise rules.RuleError(f"gold breaks its rules: {broken}")
+            tables.write(rules.quarantined(counted, checks), lake.path("gold_quarantine"), lake.format)
+            counted = rules.kept(counted, checks)
+        counts = lake.write(counted, "gold_sales_weather", "city")
+    for name, (checked, broken) in rules.results(seen, checks).items():
+        if broken:
+            logger.warning("%d of %d gold rows break the rule: %s", broken, checked, name)
+    return counts
 
 
 def _dim_date(spark: SparkSession, lake: Lake) -> dict[str, int]:
