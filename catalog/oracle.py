@@ -149,7 +149,28 @@ _RAINY_PRODUCTS = f"""
           FROM fact_product WHERE is_rainy = 1 GROUP BY product_description
           ORDER BY sum(total_price) DESC, product_description NULLS FIRST LIMIT 15)"""
 
+_PARTS = {
+    "temp_category": "temp_category", "city": "city", "is_rainy": "is_rainy",
+    "month": "CAST(month(date) AS INTEGER)", "year": "CAST(year(date) AS INTEGER)",
+    "week": "CAST(weekofyear(date) AS INTEGER)", "day_name": _WEEKDAY,
+}
+
+
+def _grouped(report: str, *keys: str) -> str:
+    columns = ", ".join(f"{v if k in keys else 'NULL'} AS {k}" for k, v in _PARTS.items())
+    by = ", ".join(_PARTS[k] for k in keys)
+    return f"SELECT {columns}, '{report}' AS report, {_AVG} AS avg_sales, ROUND(sum(total_sales + 1e-9), 2) AS revenue FROM gold GROUP BY {by}"
+
+
 _SELECTS = {
+    "reports_one_pass": " UNION ALL ".join(
+        _grouped(*report)
+        for report in (
+            ("temperature", "temp_category"), ("monthly", "month"), ("city", "city"), ("rain", "is_rainy"),
+            ("weekly", "week"), ("day_of_week", "day_name"),
+            ("peak_conditions", "city", "temp_category", "is_rainy"), ("growth", "year", "month"),
+        )
+    ),
     "scan_csv_encoding": "SELECT "
     + _UPLOAD.format("Description || ' é' AS Description")
     + ", CASE WHEN InvoiceNo LIKE 'C%' THEN 't1' END AS Till FROM raw_sales",

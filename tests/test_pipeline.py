@@ -4,7 +4,7 @@ import shutil
 from pathlib import Path
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -283,3 +283,12 @@ def test_rules_count_nulls_as_broken_and_find_repeated_keys(spark):
     assert rows(found) == [("key", 3, 0), ("positive", 3, 2)]
     assert rows(rules.repeated_keys(df, ["k"])) == [(1, 2)]
     assert rows(rules.summary(df.limit(0), [rules.Rule("positive", "v > 0")])) == [("positive", 0, 0)]
+
+
+def test_reports_from_one_pass_equal_their_own(spark, full):
+    gold = full[0].read(spark, "gold_sales_weather")
+    table = paths.materialize(reports.grouped(gold), "grouped")
+    assert plan(reports.grouped(gold)).count("FileScan") == 1
+    for name in reports._GROUPED:
+        one, own = reports.from_grouped(table, name), reports.GOLD_REPORTS[name](gold)
+        assert one.columns == own.columns and one.collect() == own.collect(), name

@@ -88,6 +88,54 @@ def growth(gold: DataFrame) -> DataFrame:
     return _revenue(gold, *keys).orderBy("year", "month")
 
 
+_PEAK = ("city", "temp_category", "is_rainy")
+# Aggregated report -> columns, figure, and whether the best figure goes first.
+_GROUPED = {
+    "temperature": (("temp_category",), "avg_sales", True),
+    "monthly": (("month",), "revenue", False),
+    "city": (("city",), "avg_sales", True),
+    "rain": (("is_rainy",), "avg_sales", False),
+    "weekly": (("week",), "avg_sales", False),
+    "day_of_week": (("day_name",), "avg_sales", True),
+    "peak_conditions": (_PEAK, "avg_sales", True),
+    "growth": (("year", "month"), "revenue", False),
+}
+
+
+def grouped(gold: DataFrame) -> DataFrame:
+    """The figures of all aggregated reports in one scan: a row per report and group.
+
+    Columns: report, every grouping column (null where the report has it not), avg_sales and
+    revenue. One Expand feeds one partial aggregate, so what is shuffled is a row per task and
+    group, not per day.
+    """
+    date = F.col("date")
+    days = gold.select(
+        "temp_category", "city", "is_rainy", F.month(date).alias("month"), F.year(date).alias("year"),
+        F.weekofyear(date).alias("week"), weekday_name(date).alias("day_name"), "total_sales",
+    )
+    columns = [c for c in days.columns if c != "total_sales"]
+    sets = [keys for keys, *_ in _GROUPED.values()]
+    # A bit of the id is set where the column is not part of the group.
+    report = F.lit(None).cast("string")
+    for name, (keys, *_) in _GROUPED.items():
+        absent = sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys)
+        report = F.when(F.grouping_id() == absent, name).otherwise(report)
+    return days.groupingSets([[F.col(c) for c in keys] for keys in sets], *columns).agg(
+        report.alias("report"),
+        F.round(F.avg("total_sales"), 2).alias("avg_sales"),
+        F.round(F.sum("total_sales"), 2).alias("revenue"),
+    )
+
+
+def from_grouped(table: DataFrame, name: str, rows: int = 10) -> DataFrame:
+    """One report, as its own function gives it, from a written ``grouped`` table."""
+    keys, figure, best_first = _GROUPED[name]
+    found = table.filter(F.col("report") == name).select(*keys, figure)
+    found = found.orderBy(F.desc(figure), *keys) if best_first else found.orderBy(*keys)
+    return found.limit(rows) if name == "peak_conditions" else found
+
+
 def _top_products(totals: DataFrame, rows: int) -> DataFrame:
     return totals.orderBy(
         F.desc("total_revenue"), F.asc_nulls_first("product_description")
