@@ -63,6 +63,16 @@ def spark_schema(file: pq.ParquetFile) -> StructType:
     return found
 
 
+def _footer(source: pa.NativeFile) -> bytes:
+    """The footer's own bytes: sizes, places and statistics of every column chunk. It ends with
+    its length and a mark of four bytes each."""
+    size = source.size()
+    source.seek(size - 8)
+    length = int.from_bytes(source.read(4), "little")
+    source.seek(size - 8 - length)
+    return source.read(length)
+
+
 def _read_footers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         schemas, rows, digests = [], [], []
@@ -71,9 +81,7 @@ def _read_footers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 file = pq.ParquetFile(source)
                 schemas.append(spark_schema(file).json())
                 rows.append(file.metadata.num_rows)
-                # Sizes, places and statistics of every column chunk stand for its bytes.
-                known = f"{source.size()} {file.metadata.to_dict()}"
-                digests.append(hashlib.md5(known.encode()).hexdigest())
+                digests.append(hashlib.md5(_footer(source)).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [batch.column("path"), pa.array(schemas, pa.string()), pa.array(rows, pa.int64()),
              pa.array(digests, pa.string())],
