@@ -13,7 +13,8 @@ Then some group shares at least k tokens, whatever the two sets. Order and class
 be any function of the token, so they need not be exact for the result to be.
 
 Sets that are equal are one node. Sets that share an index entry are compared with the
-smallest of them first; what these links do not join yet is compared pair by pair.
+smallest of them first, then with leaders of the lists that these links do not join
+yet, turn by turn; what still stays apart is compared pair by pair.
 """
 
 from __future__ import annotations
@@ -352,7 +353,7 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among ``pairs`` by their true intersection, with the size of both sets."""
+    """Links among ``pairs`` by their true intersection."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 500):
@@ -372,13 +373,21 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int)
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
 
 
-def _in_reach(a: str, b: str, percent: int) -> Column:
-    """Sizes, reaches and small sketches do not rule a link out."""
+def _sizes_fit(a: str, b: str, percent: int) -> Column:
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _in_reach(a: str, b: str, percent: int) -> Column:
+    """The reach of the entry that the two meet in does not rule a link out, if it is their first one."""
     reach = F.least(F.col(f"{a}.reach"), F.col(f"{b}.reach"))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (
-        (100 + percent) * reach >= percent * (n + m)
-    ) & _bits_allow(a, b, n, n + m, percent) & _bits_allow(b, a, m, n + m, percent)
+    return (100 + percent) * reach >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
+def _bits_fit(a: str, b: str, percent: int) -> Column:
+    """Small sketches do not rule a link out."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return _bits_allow(a, b, n, n + m, percent) & _bits_allow(b, a, m, n + m, percent)
 
 
 def _bits_allow(a: str, b: str, n: Column, both: Column, percent: int) -> Column:
@@ -390,32 +399,137 @@ def _bits_allow(a: str, b: str, n: Column, both: Column, percent: int) -> Column
     return (100 + percent) * (n - lacking) >= percent * both
 
 
-def _open_groups(placed: DataFrame) -> DataFrame:
+# Members of a list that meet its other members in one task.
+BLOCK = 1024
+# Lists by which a pair that meets in many is told to have met before.
+_FIRST_LISTS = 8
+# A list with more members outside its largest component gets leaders before pairs are made.
+_LED = 8
+
+
+def _open_lists(placed: DataFrame) -> DataFrame:
     """Members of entries that links have not joined yet, once for each distinct list of members.
 
     Near copies share many entries; what counts is who meets whom, and the best reach.
+    Lists are told apart by a hash; two that fall together are one longer list.
     """
-    prints = [F.bit_xor(F.xxhash64("set_id", F.lit(seed))).alias(f"print{seed}") for seed in (1, 2)]
+    prints = [F.bit_xor(F.xxhash64("set_id", F.lit(seed))) for seed in (1, 2)]
     lists = (
         placed.groupBy("entry")
         .agg(
-            *prints,
-            F.count("*").alias("members"),
+            F.xxhash64(*prints, F.count("*")).alias("list"),
             F.min("component").alias("x"),
             F.max("component").alias("y"),
         )
         .where("x < y")
-        .select("entry", "print1", "print2", "members")
+        .select("entry", "list")
     )
     return (
         placed.join(lists, "entry")
-        .groupBy("print1", "print2", "members", "set_id")
+        .groupBy("list", "set_id")
         .agg(*[F.max(c).alias(c) for c in ("n", "component", "reach")])
     )
 
 
+def _with_largest(lists: DataFrame) -> DataFrame:
+    """Lists of several components, with their size, their largest component and who is outside."""
+    parts = lists.groupBy("list", "component").agg(F.count("*").alias("part"))
+    known = parts.groupBy("list").agg(
+        F.sum("part").alias("members"),
+        F.max(F.struct("part", "component")).alias("most"),
+    )
+    known = known.select(
+        "list", "members", F.col("most.component").alias("largest"), (F.col("members") - F.col("most.part")).alias("outside")
+    )
+    return lists.join(known.where("outside > 0"), "list")
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    x, y = F.col(f"{a}.set_id"), F.col(f"{b}.set_id")
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _led_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Two leaders of each list, one in its largest component and one outside, against other components.
+
+    Leaders are drawn by a hash of the set, so lists with much the same members draw the
+    same ones. There are at most two pairs for each row of ``lists``.
+    """
+    draw = F.xxhash64("set_id", F.lit(turn))
+    leaders = lists.groupBy("list", (F.col("component") == F.col("largest")).alias("inside")).agg(
+        F.min(F.struct(draw.alias("draw"), "set_id", "n", "component", "reach")).alias("leader")
+    )
+    leaders = leaders.select("list", "leader.*")
+    return (
+        lists.alias("a")
+        .join(
+            leaders.alias("b"),
+            (F.col("a.list") == F.col("b.list"))
+            & (F.col("a.component") != F.col("b.component"))
+            & _sizes_fit("a", "b", percent)
+            & _in_reach("a", "b", percent),
+        )
+        .select(*_ordered("a", "b"))
+        .distinct()
+    )
+
+
+def _all_pairs(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that a list holds, each at about the first of its common lists.
+
+    What lies outside a list's largest component meets the list, dealt to blocks of
+    ``BLOCK`` members. A pair is left to an earlier list if both sets have that one among
+    the first of theirs; so it may come twice, and never not at all. Reaches are of no use
+    here: the earlier list need not be the one of the pair's first common entry.
+    """
+    least = lists.groupBy("set_id").agg(
+        F.slice(F.sort_array(F.collect_set("list")), 1, _FIRST_LISTS).alias("first_lists")
+    )
+    known = lists.join(least.join(sets.select("set_id", *_BITS), "set_id"), "set_id")
+    blocks = F.ceil(F.col("members") / BLOCK)
+    dealt = known.withColumn("block", F.pmod(F.xxhash64("set_id"), blocks))
+    outside = known.where("component <> largest").withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    )
+    both_outside = F.col("b.component") != F.col("b.largest")
+    met = F.array_min(F.array_intersect("a.first_lists", "b.first_lists"))
+    return (
+        outside.alias("a")
+        .join(
+            dealt.alias("b"),
+            (F.col("a.list") == F.col("b.list"))
+            & (F.col("a.block") == F.col("b.block"))
+            & (F.col("a.component") != F.col("b.component"))
+            & (~both_outside | (F.col("a.set_id") < F.col("b.set_id")))
+            & _sizes_fit("a", "b", percent)
+            & _bits_fit("a", "b", percent)
+            & (F.coalesce(met, F.col("a.list")) >= F.col("a.list")),
+        )
+        .select(*_ordered("a", "b"))
+        .distinct()
+    )
+
+
+def _component_edges(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``links`` between sets as edges (a, b), a < b, between the components they are in."""
+    a = labels.select(F.col("set_id").alias("a"), F.col("component").alias("x"))
+    b = labels.select(F.col("set_id").alias("b"), F.col("component").alias("y"))
+    return (
+        links.join(a, "a")
+        .join(b, "b")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .where("a < b")
+        .distinct()
+    )
+
+
 def _links(docs: DataFrame, sets: DataFrame, index: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) with a < b that join all sets that links of any kind join."""
+    """Edges (a, b) with a < b that join all sets that links of any kind join.
+
+    Sets of one entry meet its least one first. While lists of several components are
+    long, leaders meet them and components are merged, so that copies of copies are
+    joined by work in proportion to the lists; what then stays apart is compared in pairs.
+    """
     groups = index.groupBy("entry").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"))
     shared = materialize(groups.where("least < most").select("entry", "least"), "shared")
     members = materialize(
@@ -425,34 +539,44 @@ def _links(docs: DataFrame, sets: DataFrame, index: DataFrame, percent: int) ->
         "members",
     )
     first = members.select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
-    first = materialize(_plausible(first, sets, percent), "first")
-    links = materialize(_verified(first, docs, sets, percent), "links")
+    tried = materialize(_plausible(first, sets, percent), "first")
+    links = materialize(_verified(tried, docs, sets, percent), "links")
     labels = materialize(components(links), "labels").withColumnRenamed("node", "set_id")
     placed = members.select("entry", "set_id", "n", "reach").join(labels, "set_id", "left")
     placed = materialize(
         placed.withColumn("component", F.coalesce("component", "set_id")), "placed"
     )
-    groups = materialize(
-        _open_groups(placed).join(sets.select("set_id", *_BITS), "set_id"), "groups"
-    )
-    same_list = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("print1", "print2", "members")]
-    second = (
-        groups.alias("a")
-        .join(
-            groups.alias("b"),
-            same_list[0]
-            & same_list[1]
-            & same_list[2]
-            & (F.col("a.set_id") < F.col("b.set_id"))
-            & (F.col("a.component") != F.col("b.component"))
-            & _in_reach("a", "b", percent),
+    edges = labels.where("component < set_id").select(F.col("component").alias("a"), F.col("set_id").alias("b"))
+    lists = materialize(_open_lists(placed), "lists")
+
+    def verified(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        new = materialize(_plausible(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "tried")
+        return new, materialize(_verified(new, docs, sets, percent), "links")
+
+    before, turn = None, 0
+    while True:
+        lists = materialize(_with_largest(lists), "lists")
+        led = lists.where(F.col("outside") > _LED)
+        # Pairs that the long lists hold at most.
+        left = led.agg(F.coalesce(F.sum("outside"), F.lit(0))).first()[0]
+        if not left or (before is not None and 10 * left > 9 * before):
+            break
+        before, turn = left, turn + 1
+        new, found = verified(_led_pairs(led, turn, percent))
+        tried = tried.unionAll(new)
+        now = lists.select("set_id", "component").distinct()
+        joined = materialize(_component_edges(found, now), "joined")
+        edges = edges.unionAll(joined)
+        merged = materialize(components(joined), "merged").select(
+            F.col("node").alias("component"), F.col("component").alias("into")
         )
-        .select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    second = materialize(_plausible(second, sets, percent), "second")
-    return links.unionAll(materialize(_verified(second, docs, sets, percent), "more_links"))
+        lists = (
+            lists.select("list", "set_id", "n", "component", "reach")
+            .join(merged, "component", "left")
+            .withColumn("component", F.coalesce("into", "component"))
+            .drop("into")
+        )
+    return edges.unionAll(verified(_all_pairs(lists, sets, percent))[1])
 
 
 def similar_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
