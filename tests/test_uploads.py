@@ -595,3 +595,52 @@ def test_content_tells_uploads_apart(spark, tmp_path):
     found = uploads.validate_uploads(spark, str(tmp_path)).collect()
     digests = {os.path.basename(r.path)[0]: r.digest for r in found}
     assert digests["a"] == digests["d"] and len(set(digests.values())) == 4
+
+
+def test_layouts_read_the_same_with_and_without_a_look_at_the_shape_first(spark):
+    from weathermart.sources import date_votes
+
+    texts = [
+        "1/2/2011", "01/02/2011 8:26", "1/2/2011 8:26:01", "1/2/2011 8:26 PM", "1/2/11", "2011/1/2 3:04", "2.1.2011",
+        "2-Jan-2011", "2-JAN-2011 3:04", "Jan 2 2011", "20110102", "1-2-2011", "13-2-2011 5:06", "25/12/2010", "123.0",
+        "99999.0", "", " 1/2/2011", "1/2/2011 ", "-1/2/2011", "1/2/+12011", "May 5 2011 1:02:03", "2011-01-02T03:04", "?",
+    ]
+    formats = uploads.UPLOAD_DATE_FORMATS
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", F.array(*date_votes._readings(F.col("t"), formats)).cast("array<string>").alias("a"),
+        F.array(*date_votes._sifted(F.col("t"), formats)).cast("array<string>").alias("b"),
+    )
+    for row in df.collect():
+        assert row.a == row.b, row.t
+    assert date_votes._shape("E d/M/yyyy") is None and date_votes._shape("d 'of' M yyyy") is None
+
+
+def test_refused_lines_are_judged_once_and_by_short_methods(spark, tmp_path):
+    import re
+
+    for n in range(3):
+        put(tmp_path, f"{n}.csv", f"{n},A,Caf\xe9,1,12/1/2010 8:26,2.5,1.0,UK", f"{n},A,Tea,x,12/1/2010 8:26,2.5,1.0,UK")
+    scan_ = uploads.Scan(spark, str(tmp_path))
+    # Votes, lines, refused lines and the report all start from the judged table.
+    for df in (scan_.rows, scan_.rejected(), scan_.report()):
+        read = {path.split("/")[-2] for path in df.inputFiles()}
+        assert "upload_rows" in read and "upload_lines" not in read
+    assert scan_.rejected().count() == 3 and scan_.accepted().count() == 3
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        codegen = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        code = scan_.undated._jdf.queryExecution().explainString(codegen)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # The JVM compiles no method of more than 8,000 bytes.
+    assert max(map(int, re.findall(r"maxMethodCodeSize: *(\d+)", code))) < 8000
+
+
+def test_a_header_is_found_without_sorting_cells(spark, tmp_path):
+    from weathermart.sources import csv_scan
+
+    put(tmp_path, "a.csv", *(f"{i},A,plain,1,12/1/2010 8:26,2.5,1.0,UK" for i in range(500)))
+    put(tmp_path, "b.csv", "1,A,plain,1,12/1/2010 8:26,2.5,1.0,UK", header=HEADER.replace("Country", "Land"))
+    found = {r.name: r for r in csv_scan.stage(spark, str(tmp_path)).files.collect()}
+    assert found["a.csv"].names == HEADER.strip().split(",") and found["a.csv"].lines == 500
+    assert found["b.csv"].names[-1] == "Land" and found["b.csv"].width == 8

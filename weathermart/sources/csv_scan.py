@@ -9,7 +9,7 @@ the plan is the same for one header or a million; only distinct column names are
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +67,15 @@ def _from_latin(cell: Column, charset: str) -> Column:
     return F.decode(F.encode(cell, "ISO-8859-1"), charset)
 
 
+def _apart(value: Column, rare: Callable[[Column], Column]) -> Column:
+    """``rare(value)``, for branches that few rows take.
+
+    As a function over an array it is interpreted. So the step around it is no part of one long
+    method, which the JVM would not compile, but of several short ones that it does compile.
+    """
+    return F.get(F.transform(F.array(value), rare), F.lit(0))
+
+
 def _split(line: Column) -> Column:
     """Cells of a line; a quoted cell may hold commas and doubled quotes."""
     raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1))
@@ -174,22 +183,37 @@ def stage(
     decoded = F.transform("header", lambda cell: F.when(F.col("utf8"), _from_latin(cell, charset)).otherwise(cell))
     if encoding and encoding.upper() != "UTF-8":
         decoded = F.transform("header", lambda cell: _from_latin(cell, encoding))
-    files = materialize(
-        lines.groupBy("uri", "name")
-        .agg(
+    # Of all lines, in any order, so that every task adds up its own. Sums are of the hash's upper
+    # and lower half, which longs hold.
+    whole = F.xxhash64("cells")
+    facts = materialize(
+        lines.groupBy("uri", "name").agg(
             utf8.alias("utf8"),
             F.min("at").alias("head"),
-            F.min_by("cells", "at").alias("header"),
             (F.count(F.lit(1)) - 1).alias("lines"),
-            # Of all lines, in any order, so that every task adds up its own.
-            F.sum(F.xxhash64("cells").cast("decimal(38,0)")).alias("sum"),
+            F.sum(F.shiftright(whole, 32)).alias("high"),
+            F.sum(whole.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
             F.bit_xor(F.xxhash64(F.lit(1), "cells")).alias("xor"),
-        )
-        .withColumn("names", _unique(decoded))
-        .select(
+        ),
+        "upload_facts",
+    )
+    # The header is fetched by its place; as an aggregate, cells would be sorted by file.
+    heads = lines.filter(F.col("at").isNotNull()).select(
+        F.col("uri").alias("_uri"), "at", F.col("cells").alias("header")
+    )
+    headed = facts.join(
+        heads.join(F.broadcast(facts.select("uri", "head")), (F.col("_uri") == F.col("uri")) & (F.col("at") == F.col("head")))
+        .select("_uri", "header"),
+        F.col("uri") == F.col("_uri"),
+        "left",
+    )
+    # Twice the width of a long, so decimals.
+    total = F.col("high").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("low").cast("decimal(19,0)")
+    files = materialize(
+        headed.withColumn("names", _unique(decoded)).select(
             "uri", "name", plain_path(F.col("uri")).alias("path"), "utf8", "head", "names",
             first_date_column(F.col("names")).alias("date_name"), F.size("names").alias("width"), "lines",
-            F.md5(F.concat_ws(":", "header", F.col("lines").cast("string"), F.col("sum").cast("string"),
+            F.md5(F.concat_ws(":", "header", F.col("lines").cast("string"), total.cast("string"),
                               F.col("xor").cast("string")).cast("binary")).alias("digest"),
         ),
         "upload_files",
@@ -205,26 +229,32 @@ def typed(text: Column, kind: DataType, name: str, is_number: bool = False) -> t
     """
     if isinstance(kind, StringType):
         return text.cast(kind), F.lit(None).cast("string")
-    shown = text.cast("string")
 
-    def because(problem: str) -> Column:
-        return F.concat(F.lit(f"{name} {problem}: "), shown)
+    def because(shown: Column, problem: str) -> Column:
+        return F.concat(F.lit(f"{name} {problem}: "), shown.cast("string"))
+
+    def rest(shown: Column) -> Column:
+        number = shown.try_cast("double")
+        whole = number.try_cast(kind)
+        return F.struct(
+            F.when(number == F.floor(number), whole).alias("value"),
+            F.when(number.isNull(), because(shown, "is not a number"))
+            .when(number != F.floor(number), because(shown, "is not a whole number"))
+            .when(whole.isNull(), because(shown, f"overflows {kind.simpleString()}"))
+            .alias("reason"),
+        )
 
     # The plain cast goes first: it is the common case, and the rest is for what it refuses.
     plain = text.try_cast(kind)
     if not isinstance(kind, (IntegerType, LongType)):
         of_kind = "a number" if isinstance(kind, (DoubleType, FloatType)) else f"of type {kind.simpleString()}"
-        return plain, F.when(text.isNotNull() & plain.isNull(), because(f"is not {of_kind}"))
-    number = text.try_cast("double")
-    whole = F.when(number == F.floor(number), number.try_cast(kind))
+        refused = _apart(text, lambda shown: because(shown, f"is not {of_kind}"))
+        return plain, F.when(text.isNotNull() & plain.isNull(), refused)
     if is_number:
-        plain = whole
-    reason = (
-        F.when(number.isNull(), because("is not a number"))
-        .when(number != F.floor(number), because("is not a whole number"))
-        .when(number.try_cast(kind).isNull(), because(f"overflows {kind.simpleString()}"))
-    )
-    return F.coalesce(plain, whole), F.when(text.isNotNull() & plain.isNull(), reason)
+        number = text.try_cast("double")
+        plain = F.when(number == F.floor(number), number.try_cast(kind))
+    slow = _apart(text, rest)
+    return F.coalesce(plain, slow["value"]), F.when(text.isNotNull() & plain.isNull(), slow["reason"])
 
 
 def or_fail(value: Column, reason: Column, place: Column) -> Column:
@@ -307,7 +337,7 @@ def rows(
     files = staged.files.select(
         F.col("uri").alias("_uri"), "utf8", "head", "width", "date_name",
         plain_path(F.col("name")).alias("source"),
-        F.array(*(slot(c) for c in columns)).alias("slots"),
+        *(slot(c).alias(f"slot_{i}") for i, c in enumerate(columns)),
         (F.array_position("names", F.col("date_name")) - 1).cast("int").alias("date_slot"),
         *([_expected_header(schema).alias("expected")] if encoding else []),
     )
@@ -316,19 +346,20 @@ def rows(
     def decoded(cell: Column) -> Column:
         foreign = F.octet_length(cell) != F.char_length(cell)
         if encoding and encoding.upper() not in ("UTF-8", "ISO-8859-1"):
-            return F.when(foreign, _from_latin(cell, encoding)).otherwise(cell)
-        return F.when(utf8 & foreign, _from_latin(cell, "UTF-8")).otherwise(cell)
+            return F.when(foreign, _apart(cell, lambda c: _from_latin(c, encoding))).otherwise(cell)
+        return F.when(utf8 & foreign, _apart(cell, lambda c: _from_latin(c, "UTF-8"))).otherwise(cell)
 
     def present(cell: Column) -> Column:
         return F.when(~cell.isin(*null_markers), cell)
 
     # Three steps, so that no step's code grows too long to be compiled: pick the cells, decode
     # the texts, type the numbers. Each uses the step before several times, which keeps the
-    # optimizer from joining them.
+    # optimizer from joining them. Cells are picked one by one: where only some columns are asked
+    # for, the others are left.
     texts, values, reasons = {}, {}, []
     for i, column in enumerate(columns):
         kind = declared.get(column.name.lower(), StringType())
-        cell = F.get("picked", F.lit(i))
+        cell = F.col(f"__picked_{i}")
         if column.as_date:
             values[column.name] = F.lit(None).cast("timestamp")
             continue
@@ -354,21 +385,22 @@ def rows(
     checked = staged.lines.join(files, F.col("uri") == F.col("_uri")).filter(data)
     if encoding:
         checked = checked.filter("expected")
-    picked = F.transform(
-        F.concat("slots", F.array("date_slot")), lambda slot: present(F.get("cells", slot))
-    )
+    picked = [present(F.get("cells", F.col(f"slot_{i}"))).alias(f"__picked_{i}") for i in range(len(columns))]
+    date = present(F.get("cells", F.col("date_slot"))).alias("__picked_date")
     facts = ["uri", "source", "utf8", "width", "open", "odd", "cells", "date_name"]
-    cells = checked.select(*facts, data.alias("data"), picked.alias("picked")).select(
+    cells = checked.select(*facts, data.alias("data"), *picked, date).select(
         *facts,
         "data",
         *(cell.alias(name) for name, cell in texts.items()),
-        decoded(F.get("picked", F.lit(len(columns)))).alias("__date_cell"),
+        decoded(F.col("__picked_date")).alias("__date_cell"),
     )
+    refused = F.when(F.col("data"), problem)
     return cells.select(
         *(value.alias(name) for name, value in values.items()),
         F.struct(F.col("uri").alias("file_path"), F.col("source").alias("plain_name")).alias("_metadata"),
-        F.when(F.col("data"), problem).alias(REASON),
-        decoded(F.array_join("cells", ",", "")).alias(LINE),
+        refused.alias(REASON),
+        # Shown for refused lines only.
+        F.when(refused.isNotNull(), decoded(F.array_join("cells", ",", ""))).alias(LINE),
         F.col("__date_cell").alias(DATE_TEXT),
         F.lit(None).cast("timestamp").alias(DATE_MOMENT),
         F.col("date_name").alias(DATE_NAME),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timezone
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -164,13 +164,14 @@ def with_year_month(df: DataFrame, moment: Column | None = None) -> tuple[DataFr
     if moment is None:
         name = date_column(df.columns)
         moment = F.lit(None).cast("timestamp") if name is None else F.col(name)
-    parts = {"year": F.year(moment), "month": F.date_format(moment, "MM")}
+    parts = {"year": F.year(moment), "month": F.lpad(F.month(moment).cast("string"), 2, "0")}
     return df.withColumns(parts), list(parts)
 
 
 def short(path: str | Column) -> Column:
     """One spelling of local paths: readers and listings write one slash or three."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
+    path = F.col(path) if isinstance(path, str) else path
+    return F.when(path.startswith("file:"), F.regexp_replace(path, "^file:/+", "file:/")).otherwise(path)
 
 
 class Scan:
@@ -178,7 +179,7 @@ class Scan:
 
     ``rows`` holds every line, with ``csv_scan.REASON`` where it cannot be taken; it is ``None``
     if there are no uploads. ``votes`` and ``files`` tell how dates are read, and the number of
-    data lines, by file.
+    data lines, by file. ``only`` and ``facts_only`` come before these two are asked for.
     """
 
     def __init__(
@@ -212,12 +213,26 @@ class Scan:
         frames = [df for df in frames if df is not None]
         self.files = reduce(DataFrame.unionByName, facts)
         self.formats = formats
-        self.rows = self.votes = None
-        if frames:
-            union = _union(frames)
-            uri = F.col("_metadata.file_path").alias("uri")
-            self.votes = date_votes.vote(union.select(uri, F.col(DATE_TEXT).alias("text")), formats)
-            self.rows = self._dated(union)
+        self.undated = _union(frames) if frames else None
+
+    @cached_property
+    def scanned(self) -> DataFrame | None:
+        """The lines before their dates are read. Where lines may be refused, these are judged
+        once, into scratch: votes, rows, report and refused lines all start from that table."""
+        if self.undated is None or self.strict:
+            return self.undated
+        return materialize(self.undated, "upload_rows")
+
+    @cached_property
+    def votes(self) -> DataFrame | None:
+        if self.scanned is None:
+            return None
+        uri = F.col("_metadata.file_path").alias("uri")
+        return date_votes.vote(self.scanned.select(uri, F.col(DATE_TEXT).alias("text")), self.formats)
+
+    @cached_property
+    def rows(self) -> DataFrame | None:
+        return None if self.scanned is None else self._dated(self.scanned)
 
     def _dated(self, rows: DataFrame) -> DataFrame:
         """Each file's date column as a timestamp, read as the file's own votes have it."""
@@ -240,9 +255,15 @@ class Scan:
         """Go on with the uploads whose ``path`` is among ``files``."""
         wanted = files.select(short("path").alias("_wanted"))
         path = short(plain_path(F.col("_metadata.file_path")))
-        self.rows = self.rows.join(wanted, path == F.col("_wanted"), "left_semi")
+        self.undated = self.undated.join(F.broadcast(wanted), path == F.col("_wanted"), "left_semi")
         self.listed = self.listed.join(wanted, short("path") == F.col("_wanted"), "left_semi")
 
+    def facts_only(self) -> Scan:
+        """Go on without the uploads' own columns, for a report."""
+        if self.undated is not None:
+            self.undated = self.undated.select("_metadata", *_SCANNED)
+        return self
+
     def accepted(self) -> DataFrame:
         """Lines that can be taken. With ``on_error="fail"`` any other is an error."""
         reason = F.col(REASON)
@@ -253,7 +274,7 @@ class Scan:
 
     def rejected(self) -> DataFrame:
         """``path, line, reason`` of the lines that cannot be taken."""
-        return self.rows.filter(F.col(REASON).isNotNull()).select(
+        return self.scanned.filter(F.col(REASON).isNotNull()).select(
             plain_path(F.col("_metadata.file_path")).alias("path"),
             F.col(LINE).alias("line"),
             F.col(REASON).alias("reason"),
@@ -271,11 +292,11 @@ class Scan:
         files = self.files.select(short("path").alias("_path"), "lines", "digest")
         out = listed.join(files, F.col("path") == F.col("_path"), "left").drop("_path")
         dates = None
-        if self.rows is not None:
+        if self.scanned is not None:
             dates = self.votes.select(
                 short(plain_path(F.col("uri"))).alias("_path"), "layout", "exceptions", "ambiguous", "unreadable"
             )
-        if self.rows is None or self.strict:
+        if self.scanned is None or self.strict:
             out = out.withColumn("rejected", F.lit(0).cast("long"))
         else:
             bad = self.rejected().groupBy(short("path").alias("_path")).agg(F.count(F.lit(1)).alias("bad"))
@@ -327,7 +348,7 @@ def validate_uploads(
     encoding: str | None = None,
 ) -> DataFrame:
     """The report that landing these uploads would give, without landing them; see ``Scan.report``."""
-    return Scan(spark, directory, None, schema, multiline, encoding).report()
+    return Scan(spark, directory, None, schema, multiline, encoding).facts_only().report()
 
 
 def land_uploads(
@@ -368,7 +389,7 @@ def land_uploads(
         raise ValueError(f"Unsupported output format: {format}")
     with scratch_scope(spark):
         scan = Scan(spark, directory, file_name, schema, multiline, encoding, formats, on_error)
-        if scan.rows is None:
+        if scan.undated is None:
             return None
         stamp = ingested_at or utc_now()
         path = layer_path(lake_root, "raw", entity, source)
