@@ -580,6 +580,44 @@ def test_phrases_repeated_before_a_passage_do_not_widen_it():
     assert [(a, b, c, d) for a, b, c, d, _ in found] == [(0, 45, 32, 77)]
 
 
+def test_near_passages_inside_a_longer_part_are_found():
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    for _ in range(40):
+        # Two words changed in 90: too many for the whole, not for the part with one of them.
+        own = draw.integers(1, 2**62, 86).astype(np.uint64)
+        other = own.copy()
+        for word in (int(draw.integers(8, 18)), int(draw.integers(24, 30))):
+            other[word - 4 : word + 1] = draw.integers(1, 2**62, 5)
+        other[78:86] = draw.integers(1, 2**62, 8)
+        found = passages.matched_passages(own, other, 50, 80)
+        held = {i for a, b, *_ in found for i in range(a, b + 1)}
+        for a in range(86):
+            for b in range(a + 45, 86):
+                both = len(set(own[a : b + 1].tolist()) & set(other[a : b + 1].tolist()))
+                if own[a] == other[a] and own[b] == other[b] and 100 * both >= 80 * (2 * (b - a + 1) - both):
+                    assert held >= set(range(a, b + 1))
+
+
+def test_copies_are_searched_once_and_all_reported(spark, monkeypatch):
+    draw = random.Random(9)
+    text = " ".join(f"u{draw.randrange(10**6)}" for _ in range(80))
+    rows = [(i, text) for i in range(3, 43)] + [(50, text + " end"), (51, " ".join(text.split()[:40]))] * 2
+    searched = []
+    windows = passages.windows
+    monkeypatch.setattr(
+        passages, "windows", lambda docs, *more: (searched.append(docs.count()), windows(docs, *more))[1]
+    )
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # One of the 40 copies; the repeated rows have one doc_id.
+    assert searched == [1 + 4]
+    assert {(r.doc_id, r.start, r.end, r.of_doc_id) for r in found} == {
+        *((i, 0, 80, 3) for i in range(3, 43)),
+        (50, 0, 80, 3),
+    }
+
+
 # --- Jaccard join ----------------------------------------------------------------------
 
 
