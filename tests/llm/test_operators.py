@@ -618,6 +618,32 @@ def test_copies_are_searched_once_and_all_reported(spark, monkeypatch):
     }
 
 
+def test_passages_of_many_holders_are_compared_and_listed_in_proportion(spark, monkeypatch):
+    draw = random.Random(12)
+    fresh = lambda n: [f"u{draw.randrange(10**7)}" for _ in range(n)]
+    pairs, rows = [], {}
+    verified = passages._verified
+    monkeypatch.setattr(
+        passages,
+        "_verified",
+        lambda candidates, *more: (pairs.append(candidates.count()), verified(candidates, *more))[1],
+    )
+    for n in (20, 80):
+        # A line that is no passage, in all documents; behind it every second one has a passage of another.
+        line, texts = fresh(40), []
+        for _ in range(n // 2):
+            passage = fresh(60)
+            texts += [fresh(30) + line + fresh(40) + passage + fresh(10), fresh(60) + line + passage[:55]]
+        docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+        pairs.clear()
+        found = passages.repeated_passages(docs).collect()
+        assert {r.doc_id for r in found} == set(range(n))
+        rows[n] = sum(pairs), len(found)
+    # Four times the documents, not their square.
+    assert rows[80][0] <= 5 * rows[20][0]
+    assert rows[80][1] <= 5 * rows[20][1]
+
+
 # --- Jaccard join ----------------------------------------------------------------------
 
 
